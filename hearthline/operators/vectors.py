@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -46,16 +47,11 @@ def cosine_topk(
     """
     if rows_at_most(queries, queries_per_pass):
         return _topk_pass(corpus, queries, k)
-    passes = -(-queries.count() // (queries_per_pass // 2))
+    # Passes of half the size on average: the hash does not fill them evenly.
+    passes = 2 * queries.count() // queries_per_pass + 1
     block = F.pmod(F.xxhash64("id"), F.lit(passes))
-    parts = [
-        cosine_topk(corpus, queries.where(block == number), k, queries_per_pass)
-        for number in range(passes)
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionAll(part)
-    return whole
+    parts = (_topk_pass(corpus, queries.where(block == number), k) for number in range(passes))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _topk_pass(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:

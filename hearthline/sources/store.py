@@ -12,10 +12,9 @@ from collections.abc import Callable, Iterator
 from itertools import islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from hearthline.model import UPSERT_CHUNK
-from hearthline.operators.dedup import any_per_key, latest_per_key
+from hearthline.operators.dedup import latest_per_key
 
 BATCH = "store_batch"
 
@@ -28,15 +27,21 @@ def upsert(rows: DataFrame, path: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch}")
 
 
-def read_store(spark: SparkSession, path: str, keys: tuple[str, ...] = ("_id",), order: str = BATCH) -> DataFrame:
+def read_store(
+    spark: SparkSession,
+    path: str,
+    keys: tuple[str, ...] = ("_id",),
+    order: str = BATCH,
+    ties: tuple[str, ...] = (),
+) -> DataFrame:
     """Current row per key: of the newest batch, or the newest by ``order``."""
-    ties = () if order == BATCH else (BATCH,)
-    return latest_per_key(spark.read.parquet(path), keys, order, ties).drop(BATCH)
+    last = () if order == BATCH else (BATCH,)
+    return latest_per_key(spark.read.parquet(path), keys, order, (*ties, *last)).drop(BATCH)
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: tuple[str, ...] = ("_id",), order: str = BATCH) -> None:
+def compact(spark: SparkSession, path: str, target: str, keys: tuple[str, ...] = ("_id",)) -> None:
     """Write the current rows as the first batch of a new store."""
-    upsert(read_store(spark, path, keys, order), target, 0)
+    upsert(read_store(spark, path, keys), target, 0)
 
 
 def chunked(rows: Iterator[Row], size: int = UPSERT_CHUNK) -> Iterator[list[dict]]:
@@ -52,4 +57,4 @@ def push_records(records: DataFrame, writer: RecordWriter, size: int = UPSERT_CH
         for chunk in chunked(rows, size):
             writer(chunk)
 
-    any_per_key(records, ["_id"]).select("_id", "embedding_text").foreachPartition(push)
+    records.select("_id", "embedding_text").foreachPartition(push)
