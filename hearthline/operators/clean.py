@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthline.functions.clock import day
 from hearthline.functions.text import is_number
 
 
@@ -17,11 +18,10 @@ def valid_zip(listings: DataFrame, kind: str = "double") -> DataFrame:
 
 def with_defaults(listings: DataFrame, as_of: date | datetime | None = None) -> DataFrame:
     """``mls#`` renamed, no fee means ``'0'``, and the age of the house."""
-    today = F.current_date() if as_of is None else F.lit(as_of)
     return (
         listings.withColumnRenamed("mls#", "house_mls")
         .withColumn("hoa", F.coalesce("hoa", F.lit("0")))
-        .withColumn("age", F.year(today) - F.col("yearBuilt"))
+        .withColumn("age", F.year(day(as_of)) - F.col("yearBuilt"))
     )
 
 

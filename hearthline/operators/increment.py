@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.functions.clock import day
 from hearthline.model import CONTROL_SCHEMA, FIRST_WATERMARK, MAX_DAYS_BACK
 from hearthline.sources.tables import find_table, write_table
 
@@ -41,8 +42,7 @@ def control_watermark(
     the scan as a pushed filter, which it could not do with a ``coalesce``
     around the subquery.
     """
-    today = F.current_date() if as_of is None else F.to_date(F.lit(as_of))
-    fallback = F.date_sub(today, days_back).cast("timestamp")
+    fallback = F.date_sub(day(as_of), days_back).cast("timestamp")
     return control.agg(F.coalesce(F.max("last_processed_ts"), fallback).alias("bound")).scalar()
 
 

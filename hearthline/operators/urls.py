@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearthline.functions.clock import instant
 from hearthline.model import AREAS_PER_BATCH, DATE_HOUR
 
 _KEPT = ("zip", "state_id", "state_name", "population")
@@ -39,7 +40,7 @@ def build_urls(
     ``api_url`` has one ``%s`` for the zip; ``referral_url`` three, for zip,
     state id and state name (with dashes for spaces unless told otherwise).
     """
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    now = instant(as_of)
     if dashes:
         areas = areas.withColumn("state_name", F.replace("state_name", F.lit(" "), F.lit("-")))
     zipcode, state = F.col("zip").cast("string"), F.col("state_id").cast("string")
@@ -56,7 +57,7 @@ def build_batch_urls(
     batches: DataFrame, api_url: str, referral_url: str, as_of: datetime | None = None, dashes: bool = True
 ) -> DataFrame:
     """The same over CSV batches; ``batch_id`` becomes the time of processing."""
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    now = instant(as_of)
     return build_urls(batches, api_url, referral_url, as_of, dashes).withColumn("batch_id", now)
 
 

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.functions.clock import instant
 from hearthline.model import NEARBY_HOMES
 from hearthline.operators.clean import reference_rows
 from hearthline.operators.dedup import latest_per_key
@@ -65,7 +66,7 @@ def run_stream_chain(
 
     urls = stage("urls", build_batch_urls(stream_area_batches(spark, batches), api_url, referral_url, as_of))
     raw = stage("responses", fetch_responses(urls, transport, as_of))
-    parsed = stage("listings", parse_listings(raw, ingested=None if as_of is None else F.lit(as_of)))
+    parsed = stage("listings", parse_listings(raw, ingested=instant(as_of)))
     unique = stage("reference", first_arrival(reference_rows(parsed, as_of), ["propertyId"]))
     stage("located", join_location(unique, areas))
     stage("features", top_features(unique, model))

@@ -35,7 +35,7 @@ def push_new(
     The control row comes last and names the newest time really pushed: a crash
     before it repeats the push, and the upsert by key absorbs that.
     """
-    now = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+    now = as_of or datetime.now(timezone.utc)
     fresh = new_listings(listings, features, read_control(spark, control, base), now, days_back)
     held = run_folder(spark, "push")
     write_table(embedding_texts(fresh), "texts", held)

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.functions.clock import instant
 from hearthline.model import AREA_BATCH_SCHEMA, AREA_SCHEMA, BATCH_STAMP
 
 
@@ -20,7 +21,7 @@ def export_area_batch(sample: DataFrame, folder: str, as_of: datetime) -> str:
 
     Only for samples: one file means one task, and a sample has a fixed size.
     """
-    stamp = F.date_format(F.lit(as_of), BATCH_STAMP)
+    stamp = F.date_format(instant(as_of), BATCH_STAMP)
     target = f"{folder.rstrip('/')}/zips/batch_{as_of:%Y%m%d_%H%M%S}"
     (
         sample.withColumn("batch_id", stamp)

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthline.functions.clock import instant
 from hearthline.functions.text import error_body
 from hearthline.model import RESPONSE_SCHEMA
 
@@ -67,7 +68,7 @@ def captured_responses(urls: DataFrame, captures: DataFrame, as_of: datetime) ->
     A plain outer join: Spark broadcasts the captures if they are small, and
     splits a hot url's partition if they are not.
     """
-    now = F.lit(as_of).cast("timestamp")
+    now = instant(as_of)
     hit = F.col("url").isNotNull()
     return urls.join(captures.select("url", "body"), F.col("api_url") == F.col("url"), "left").select(
         F.col("zip").cast("string").alias("zipcode"),

@@ -131,7 +131,7 @@ def dirty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every response, with one kind of defect per line number (1 is sound).
 
     2 error body, 3 cut off, 4 elements that are no homes beside the home,
-    5 price null, 6 price missing, 7 empty fee block and single quotes beside.
+    5 price null, 6 price missing, 7 single quotes.
     """
     whole = F.to_json(home())
     no_price = F.to_json(home().dropFields("price"))
