@@ -9,6 +9,7 @@ a null block, and only for them, the keys are looked up.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,20 +29,20 @@ def _nested_ddl(tree: dict) -> str:
     return ",".join(parts)
 
 
-def _field_tree() -> dict:
+def _home_tree(columns: Collection[str]) -> dict:
+    """What to read of a home: every block, but in them only what is asked for."""
     tree: dict = {}
-    for _, path, kind in LISTING_FIELDS:
+    for name, path, kind in LISTING_FIELDS:
         *blocks, leaf = path.split(".")
         node = tree
         for block in blocks:
             node = node.setdefault(block, {})
-        node[leaf] = kind
+        if name in columns:
+            node[leaf] = kind
     return tree
 
 
-HOME_TREE = _field_tree()
-HOME_DDL = f"struct<{_nested_ddl(HOME_TREE)}>"
-BLOCKS = tuple(name for name, sub in HOME_TREE.items() if isinstance(sub, dict))
+BLOCKS = tuple(name for name, sub in _home_tree(()).items() if isinstance(sub, dict))
 
 
 def home_texts(text: Column, homes_path: str = NEARBY_HOMES) -> Column:
@@ -96,12 +97,14 @@ def parse_listings(
     body: str = "raw_json",
     zipcode: str | None = "zipcode",
     ingested: Column | None = None,
+    columns: Collection[str] = LISTING_COLUMNS,
 ) -> DataFrame:
     """43 listing columns and ``ingestion_timestamp``, one row per sound home.
 
     ``ingested`` is the time of the parse unless given, e.g. as the response's
     own time.  A body that is null, short, an error or not JSON gives no row.
-    The status code is not looked at.
+    The status code is not looked at.  Name the ``columns`` you need: Spark
+    does not see through the two reads, so only this spares it the others.
     """
     stamp = F.current_timestamp() if ingested is None else ingested
     area = F.lit(None).cast("string") if zipcode is None else F.col(zipcode)
@@ -117,13 +120,11 @@ def parse_listings(
     )
     # The typed read sits in a generator: a filter moves below a projection and
     # would make Spark read each home twice, but it stays above a generator.
-    typed = F.struct("text", F.from_json("text", HOME_DDL, JSON_OPTIONS).alias("home"))
+    home_ddl = f"struct<{_nested_ddl(_home_tree(columns))}>"
+    typed = F.struct("text", F.from_json("text", home_ddl, JSON_OPTIONS).alias("home"))
     homes = texts.select("search_zipcode", "ingestion_timestamp", F.explode(F.array(typed)).alias("h"))
     for condition in _sound(F.col("h.text"), F.col("h.home")):
         homes = homes.where(condition)
-    fields = [F.col(f"h.home.{path}").alias(name) for name, path, _ in LISTING_FIELDS]
-    return homes.select("search_zipcode", *fields, "ingestion_timestamp")
-
-
-def listing_columns() -> list[str]:
-    return [*LISTING_COLUMNS, "ingestion_timestamp"]
+    fields = [F.col(f"h.home.{path}").alias(name) for name, path, _ in LISTING_FIELDS if name in columns]
+    area_field = ["search_zipcode"] if "search_zipcode" in columns else []
+    return homes.select(*area_field, *fields, "ingestion_timestamp")

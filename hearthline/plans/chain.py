@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.functions.clock import instant
-from hearthline.model import NEARBY_HOMES
+from hearthline.model import LISTING_COLUMNS, NEARBY_HOMES
 from hearthline.operators.clean import reference_rows
 from hearthline.operators.dedup import latest_per_key
 from hearthline.operators.features import TextModel, top_features
@@ -23,21 +24,34 @@ from hearthline.streaming.stages import run_stage
 
 # A total order among rows of one property and time.
 TIES = ("house_mls", "house_price")
+# Listing columns that cleaning and dedup look at.
+NEEDED = ("mls#", "house_price", "hoa", "zip", "propertyId", "yearBuilt")
 
 
 def latest_listings(
-    responses: DataFrame, as_of: datetime | None = None, homes_path: str = NEARBY_HOMES, kind: str = "double"
+    responses: DataFrame,
+    as_of: datetime | None = None,
+    homes_path: str = NEARBY_HOMES,
+    kind: str = "double",
+    columns: Collection[str] = LISTING_COLUMNS,
 ) -> DataFrame:
-    """Responses -> reference listings, the latest row per property."""
-    parsed = parse_listings(responses, homes_path, ingested=F.col("ingestion_timestamp"))
+    """Responses -> reference listings, the latest row per property.
+
+    ``columns`` must hold those of ``NEEDED``.
+    """
+    parsed = parse_listings(responses, homes_path, ingested=F.col("ingestion_timestamp"), columns=columns)
     return latest_per_key(reference_rows(parsed, as_of, kind), ["propertyId"], "ingestion_timestamp", TIES)
 
 
 def located_listings(
-    responses: DataFrame, locations: DataFrame, as_of: datetime | None = None, homes_path: str = NEARBY_HOMES
+    responses: DataFrame,
+    locations: DataFrame,
+    as_of: datetime | None = None,
+    homes_path: str = NEARBY_HOMES,
+    columns: Collection[str] = LISTING_COLUMNS,
 ) -> DataFrame:
     """The same with the statistics of each listing's zip."""
-    return join_location(latest_listings(responses, as_of, homes_path), locations)
+    return join_location(latest_listings(responses, as_of, homes_path, columns=columns), locations)
 
 
 def run_stream_chain(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hearthline import testframes as tf
 from hearthline.functions.text import feature_prompt, is_number, json_map
-from hearthline.model import CONTROL_SCHEMA, EXACT_HOMES, NEARBY_HOMES_OLD
+from hearthline.model import CONTROL_SCHEMA, EXACT_HOMES, LISTING_COLUMNS, NEARBY_HOMES_OLD
 from hearthline.operators import clean, dedup, features, increment, joins, profile, urls, vectors
 from hearthline.operators.parse import parse_listings
 from hearthline.plans import batch, chain, views
@@ -38,7 +38,7 @@ API_URL = "https://api.example/search?zip=%s"
 REFERRAL_URL = "https://www.example/zip/%s/%s/%s"
 SAMPLE = 100
 
-BRIEF = ("search_zipcode", "`mls#`", "house_price", "hoa", "baths", "zip", "propertyId", "yearBuilt", "isHot")
+BRIEF = ("search_zipcode", "mls#", "house_price", "hoa", "baths", "zip", "propertyId", "yearBuilt", "isHot")
 
 
 def query(build: Query) -> Query:
@@ -50,17 +50,22 @@ def _items(spark, sf_dir):
     return tf.table(spark, sf_dir, "lineitem")
 
 
-def _parsed(spark, sf_dir):
-    return parse_listings(tf.responses(spark, sf_dir), ingested=F.col("ingestion_timestamp"))
+def _parsed(spark, sf_dir, *columns):
+    """Listings of all responses; only ``columns``, where some are named."""
+    return parse_listings(
+        tf.responses(spark, sf_dir),
+        ingested=F.col("ingestion_timestamp"),
+        columns=columns or LISTING_COLUMNS,
+    )
 
 
-def _latest(spark, sf_dir):
-    return chain.latest_listings(tf.responses(spark, sf_dir), AS_OF)
+def _latest(spark, sf_dir, columns=LISTING_COLUMNS):
+    return chain.latest_listings(tf.responses(spark, sf_dir), AS_OF, columns=columns)
 
 
 def _brief(listings: DataFrame) -> DataFrame:
     """Fields of every type, under names plain in both dialects."""
-    return listings.select(*BRIEF).withColumnRenamed("mls#", "mls")
+    return listings.select(*[f"`{name}`" for name in BRIEF]).withColumnRenamed("mls#", "mls")
 
 
 # -- areas and URLs -----------------------------------------------------------
@@ -148,23 +153,23 @@ def parse_all_columns(spark, sf_dir):
 @query
 def parse_alt_path(spark, sf_dir):
     """Two homes a response, under the path of the exact search."""
-    return _brief(parse_listings(tf.pair_responses(spark, sf_dir, EXACT_HOMES), EXACT_HOMES))
+    return _brief(parse_listings(tf.pair_responses(spark, sf_dir, EXACT_HOMES), EXACT_HOMES, columns=BRIEF))
 
 
 @query
 def parse_old_path(spark, sf_dir):
-    return _brief(parse_listings(tf.responses(spark, sf_dir, NEARBY_HOMES_OLD), NEARBY_HOMES_OLD))
+    return _brief(parse_listings(tf.responses(spark, sf_dir, NEARBY_HOMES_OLD), NEARBY_HOMES_OLD, columns=BRIEF))
 
 
 @query
 def parse_dirty(spark, sf_dir):
     """Seven kinds of response, one per line number."""
-    return _brief(parse_listings(tf.dirty_responses(spark, sf_dir)))
+    return _brief(parse_listings(tf.dirty_responses(spark, sf_dir), columns=BRIEF))
 
 
 @query
 def parse_listings_brief(spark, sf_dir):
-    return _brief(parse_listings(tf.responses(spark, sf_dir)))
+    return _brief(parse_listings(tf.responses(spark, sf_dir), columns=BRIEF))
 
 
 @query
@@ -192,7 +197,7 @@ def castable_filter(spark, sf_dir):
 
 @query
 def clean_defaults(spark, sf_dir):
-    rows = clean.reference_rows(_parsed(spark, sf_dir), TODAY)
+    rows = clean.reference_rows(_parsed(spark, sf_dir, *chain.NEEDED), TODAY)
     return rows.select("house_mls", "propertyId", "house_price", "hoa", "yearBuilt", "age", "zip")
 
 
@@ -227,7 +232,7 @@ def latest_view(spark, sf_dir):
 
 @query
 def join_location(spark, sf_dir):
-    located = joins.join_location(_latest(spark, sf_dir), tf.locations(spark, sf_dir))
+    located = joins.join_location(_latest(spark, sf_dir, chain.NEEDED), tf.locations(spark, sf_dir))
     return located.select(
         "zip", "propertyId", "house_mls", "house_price", "zip_lat", "zip_lng", "zip_population", "zip_density"
     )
@@ -254,7 +259,7 @@ def located_view(spark, sf_dir):
 def join_features(spark, sf_dir):
     """Latest listings with the features found in the document of their id."""
     found = features.top_features(tf.remarks(spark, sf_dir))
-    return joins.join_features(_latest(spark, sf_dir), found).select(
+    return joins.join_features(_latest(spark, sf_dir, chain.NEEDED), found).select(
         "propertyId", "house_mls", "house_price", "top_features"
     )
 
@@ -265,7 +270,7 @@ def join_features(spark, sf_dir):
 @query
 def profile_global(spark, sf_dir):
     return profile.profile(
-        _parsed(spark, sf_dir),
+        _parsed(spark, sf_dir, "search_zipcode", "propertyId", "listingId", "mls#"),
         {
             "total_zip_codes": "search_zipcode",
             "total_property": "propertyId",
@@ -279,7 +284,7 @@ def profile_global(spark, sf_dir):
 @query
 def profile_daily(spark, sf_dir):
     return profile.profile_daily(
-        _parsed(spark, sf_dir),
+        _parsed(spark, sf_dir, "search_zipcode", "mls#", "zip", "propertyId"),
         "ingestion_timestamp",
         {
             "mls_unique_count": "mls#",
@@ -301,7 +306,7 @@ def profile_raw(spark, sf_dir):
 @query
 def profile_located(spark, sf_dir):
     """Rows against distinct properties after the dedup and the join."""
-    located = chain.located_listings(tf.responses(spark, sf_dir), tf.locations(spark, sf_dir), AS_OF)
+    located = chain.located_listings(tf.responses(spark, sf_dir), tf.locations(spark, sf_dir), AS_OF, columns=chain.NEEDED)
     return profile.profile(
         located, {"total_zip_codes": "zip", "total_property": "propertyId", "mls_count": "house_mls"}
     )
@@ -329,12 +334,12 @@ def status_counts(spark, sf_dir):
 
 @query
 def count_by_zip(spark, sf_dir):
-    return profile.count_by(_latest(spark, sf_dir), "zip").orderBy("row_count")
+    return profile.count_by(_latest(spark, sf_dir, chain.NEEDED), "zip").orderBy("row_count")
 
 
 @query
 def count_by_time(spark, sf_dir):
-    counted = profile.count_by(_parsed(spark, sf_dir), "ingestion_timestamp", "total")
+    counted = profile.count_by(_parsed(spark, sf_dir, "propertyId"), "ingestion_timestamp", "total")
     return counted.select(F.col("ingestion_timestamp").cast("timestamp_ntz").alias("ingested"), "total").orderBy(
         F.desc("ingested")
     )
@@ -342,7 +347,7 @@ def count_by_time(spark, sf_dir):
 
 @query
 def distinct_limit(spark, sf_dir):
-    return profile.distinct_values(_parsed(spark, sf_dir), "zip", 10)
+    return profile.distinct_values(_parsed(spark, sf_dir, "zip"), "zip", 10)
 
 
 # -- increments ---------------------------------------------------------------
@@ -505,14 +510,17 @@ def cosine_topk(spark, sf_dir):
 
 
 def _stream(spark, sf_dir, name):
-    """A test table as a stream; the braces make its path a pattern, which may
-    name a file as well as a folder."""
-    return stream_table(spark, f"{{{name}.parquet}}", sf_dir, tf.table(spark, sf_dir, name).schema)
+    """A test table as a stream, dealt out to all cores like its batch form; the
+    braces make its path a pattern, which may name a file as well as a folder."""
+    whole = tf.table(spark, sf_dir, name)
+    stream = stream_table(spark, f"{{{name}.parquet}}", sf_dir, whole.schema)
+    cores = spark.sparkContext.defaultParallelism
+    return stream.repartition(cores) if whole.rdd.getNumPartitions() < cores else stream
 
 
-def _parsed_stream(spark, sf_dir):
+def _parsed_stream(spark, sf_dir, columns):
     raw = tf.as_responses(_stream(spark, sf_dir, "lineitem"))
-    return parse_listings(raw, ingested=F.col("ingestion_timestamp"))
+    return parse_listings(raw, ingested=F.col("ingestion_timestamp"), columns=columns)
 
 
 @query
@@ -536,13 +544,13 @@ def stream_fetch(spark, sf_dir):
 
 @query
 def stream_parse(spark, sf_dir):
-    return _brief(run_stage(_parsed_stream(spark, sf_dir), "listings", run_folder(spark, "stream")))
+    return _brief(run_stage(_parsed_stream(spark, sf_dir, BRIEF), "listings", run_folder(spark, "stream")))
 
 
 @query
 def stream_dedup(spark, sf_dir):
     """First arrival per property; which one that is, is open within a batch."""
-    rows = clean.reference_rows(_parsed_stream(spark, sf_dir), TODAY)
+    rows = clean.reference_rows(_parsed_stream(spark, sf_dir, chain.NEEDED), TODAY)
     done = run_stage(first_arrival(rows, ["propertyId"]), "reference", run_folder(spark, "stream"))
     return done.groupBy("propertyId").agg(F.count(F.lit(1)).alias("kept"))
 
@@ -560,7 +568,7 @@ def stream_dedup_bounded(spark, sf_dir):
 @query
 def stream_join(spark, sf_dir):
     """Stream of listings against the static lookup."""
-    rows = clean.reference_rows(_parsed_stream(spark, sf_dir), TODAY)
+    rows = clean.reference_rows(_parsed_stream(spark, sf_dir, chain.NEEDED), TODAY)
     joined = joins.join_location(rows, tf.locations(spark, sf_dir)).select(
         "zip", "house_mls", "propertyId", "house_price", "age", "zip_lat", "zip_population"
     )
@@ -580,7 +588,7 @@ def stream_features(spark, sf_dir):
 def stream_latest(spark, sf_dir):
     """Latest per property by merging every micro-batch into a keyed store."""
     base = run_folder(spark, "stream")
-    rows = clean.reference_rows(_parsed_stream(spark, sf_dir), TODAY)
+    rows = clean.reference_rows(_parsed_stream(spark, sf_dir, chain.NEEDED), TODAY)
     start_latest(rows, "latest", base, ["propertyId"], "ingestion_timestamp", chain.TIES).awaitTermination()
     merged = read_latest(spark, "latest", base, ["propertyId"], "ingestion_timestamp", chain.TIES)
     return merged.select("propertyId", "house_mls", "house_price", "zip", "age")
@@ -607,7 +615,7 @@ def stream_chain(spark, sf_dir):
 @query
 def flagship(spark, sf_dir):
     """Located latest listings, counted and summed by state."""
-    located = chain.located_listings(tf.responses(spark, sf_dir), tf.locations(spark, sf_dir), AS_OF)
+    located = chain.located_listings(tf.responses(spark, sf_dir), tf.locations(spark, sf_dir), AS_OF, columns=chain.NEEDED)
     by_zip = located.groupBy("zip").agg(
         F.count(F.lit(1)).alias("homes"),
         F.sum("house_price").alias("price"),

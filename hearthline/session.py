@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every plan here relies on.  AQE splits hot join
 # partitions, also where that costs one more shuffle; RocksDB keeps the state
@@ -55,3 +55,13 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it has fewer partitions.
+
+    For costly steps over a few small files; a large table has partitions
+    enough and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.functions.text import error_body
+from hearthline.session import spread
 
 PREFIX = "{}&&"
 
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, dealt out to all cores where the table is one small file."""
+    return spread(table(spark, sf_dir, "lineitem"))
+
+
 def zip_text(key: Column) -> Column:
     return F.lpad(key.cast("string"), 9, "0")
 
@@ -110,21 +116,21 @@ def _response(body: Column, status: Column) -> list[Column]:
     ]
 
 
-def as_responses(items: DataFrame, path: str = "payload.homes", homes: Column | None = None) -> DataFrame:
+def as_responses(rows: DataFrame, path: str = "payload.homes", homes: Column | None = None) -> DataFrame:
     """Line items -> responses; works on a stream of line items just as well."""
     homes = F.array(F.to_json(home())) if homes is None else homes
-    return items.select(*_response(body_of(homes, path), F.lit(200)))
+    return rows.select(*_response(body_of(homes, path), F.lit(200)))
 
 
 def responses(spark: SparkSession, sf_dir: str, path: str = "payload.homes") -> DataFrame:
-    return as_responses(table(spark, sf_dir, "lineitem"), path)
+    return as_responses(items(spark, sf_dir), path)
 
 
 def pair_responses(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """Two homes per response: the line item's, and the same at half the price."""
     half = F.expr("cast(l_extendedprice as bigint) div 2")
     both = F.array(F.to_json(home()), F.to_json(home(half)))
-    return as_responses(table(spark, sf_dir, "lineitem"), path, both)
+    return as_responses(items(spark, sf_dir), path, both)
 
 
 def dirty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,14 +152,13 @@ def dirty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 7, body_of(F.array(F.lit("{'propertyId':1}"))))
         .otherwise(F.col("raw"))
     )
-    items = table(spark, sf_dir, "lineitem")
-    return items.withColumns({"raw": sound, "bare": no_price}).select(
+    return items(spark, sf_dir).withColumns({"raw": sound, "bare": no_price}).select(
         *_response(body, F.when(kind == 2, 500).otherwise(200))
     )
 
 
 def remarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long free text as listing remarks, one listing per document."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("propertyId"), F.col("text").alias("listingRemarks")
     )
