@@ -8,3 +8,11 @@ Packages:
 * ``plans``      the steps put together: batch tasks, SQL views, vector job
 * ``streaming``  one ``writeStream`` per stage, each with its own checkpoint
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions handed to the executors travel with the job: no executor needs this
+# package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -427,13 +427,21 @@ def model_features(spark, sf_dir):
     )
 
 
+def _held(spark, df: DataFrame, name: str) -> DataFrame:
+    """Written out and read again, as between two steps of the chain: what is
+    read twice is then computed once."""
+    base = run_folder(spark, name)
+    write_table(df, name, base)
+    return read_table(spark, name, base)
+
+
 def _plain_density(located: DataFrame) -> DataFrame:
     """A whole number, which every engine prints alike."""
     return located.withColumn("zip_density", F.col("zip_population") * 2)
 
 
 def _texts(spark, sf_dir):
-    latest = _latest(spark, sf_dir)
+    latest = _held(spark, _latest(spark, sf_dir), "reference")
     located = _plain_density(joins.join_location(latest, tf.locations(spark, sf_dir)))
     return vectors.embedding_texts(joins.join_features(located, features.top_features(latest)))
 
@@ -451,7 +459,7 @@ def vector_records(spark, sf_dir):
 @query
 def vectorize(spark, sf_dir):
     """Document vectors, by their non-zero positions."""
-    texts = tf.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("embedding_text"))
+    texts = tf.remarks(spark, sf_dir).toDF("doc_id", "embedding_text")
     spread = vectors.vectorize(texts).select("doc_id", F.posexplode("vector").alias("slot", "value"))
     return spread.where("value <> 0").select("doc_id", "slot", F.round(F.col("value").cast("double"), 5).alias("value"))
 
@@ -475,7 +483,7 @@ def upsert_replay(spark, sf_dir):
 def vector_job(spark, sf_dir):
     """The job run three times over growing input; what store and control hold then."""
     base = run_folder(spark, "vectors")
-    latest = _latest(spark, sf_dir)
+    latest = _held(spark, _latest(spark, sf_dir), "reference")
     write_table(_plain_density(joins.join_location(latest, tf.locations(spark, sf_dir))), "located", base)
     write_table(features.top_features(latest), "features", base)
     listings, found = read_table(spark, "located", base), read_table(spark, "features", base)

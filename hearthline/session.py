@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,18 +41,22 @@ def build(master: str = "local[*]", app: str = "hearthline", **conf: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, as named in ``spark.checkpoint.dir``.
 
-    Only a local session may do without: there a temporary folder is made once
-    and set, because driver and executors are one process.
+    Only a local session may do without: there driver and executors are one
+    process, and one temporary folder serves for as long as it lives.
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="hearthline-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="hearthline-")
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

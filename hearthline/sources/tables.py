@@ -29,7 +29,7 @@ def find_table(spark: SparkSession, name: str, base: str | None = None) -> DataF
 
 
 def stream_table(
-    spark: SparkSession, name: str, base: str | None = None, schema=None, max_bytes: str | None = None
+    spark: SparkSession, name: str, base: str | None = None, schema=None, max_bytes: int | None = None
 ) -> DataFrame:
     """The table as a stream; ``max_bytes`` bounds what one micro-batch reads."""
     if base is None:

@@ -1,0 +1,182 @@
+import json
+import random
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hearthline.model import EXACT_HOMES, LISTING_COLUMNS, LISTING_FIELDS, NEARBY_HOMES_OLD
+from hearthline.operators.parse import BLOCKS, parse_listings
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+SOUND = {
+    "mlsId": {"value": "A1"}, "mlsStatus": "Active", "price": {"value": 350000}, "hoa": {"value": 25},
+    "sqFt": {"value": 1800}, "pricePerSqFt": {"value": 194}, "lotSize": {"value": 7000}, "beds": 3,
+    "baths": 2.5, "fullbaths": 2, "partialBaths": 1, "location": {"value": "Oak Park"}, "stories": 1.0,
+    "latLong": {"value": {"latitude": 30.1, "longitude": -94.1}}, "streetLine": {"value": "1 Main St"},
+    "city": "X", "state": "TX", "zip": "77713", "postalCode": {"value": "77713"}, "countryCode": "US",
+    "searchStatus": 1, "propertyType": 6, "uiPropertyType": 1, "listingType": 1, "propertyId": 38910260,
+    "listingId": 205114738, "dataSourceId": 1, "marketId": 1, "yearBuilt": {"value": 1999}, "isHot": False,
+    "listingRemarks": "Spacious floor plan, fenced yard",
+}
+
+
+def body(*homes, path=("payload", "homes")):
+    inner = "[" + ",".join(h if isinstance(h, str) else json.dumps(h) for h in homes) + "]"
+    for part in reversed(path):
+        inner = '{"%s":%s}' % (part, inner)
+    return "{}&&" + inner
+
+
+def parse(spark, *bodies, **options):
+    rows = [(str(i), b) for i, b in enumerate(bodies)]
+    return parse_listings(spark.createDataFrame(rows, "zipcode string, raw_json string"), **options)
+
+
+def ids(df):
+    return sorted(row.propertyId for row in df.select("propertyId").collect())
+
+
+def test_all_columns_and_types(spark):
+    parsed = parse(spark, body(SOUND))
+    assert parsed.columns == [*LISTING_COLUMNS, "ingestion_timestamp"]
+    assert len(LISTING_COLUMNS) == 43
+    kinds = dict(parsed.dtypes)
+    assert (kinds["house_price"], kinds["latitude"], kinds["yearBuilt"], kinds["isHot"]) == (
+        "bigint", "double", "int", "boolean",
+    )
+    row = parsed.first().asDict()
+    assert row["search_zipcode"] == "0" and row["mls#"] == "A1" and row["house_price"] == 350000
+    assert (row["hoa"], row["sqft"], row["beds"], row["baths"], row["stories"]) == ("25", "1800", "3", "2.5", "1.0")
+    assert (row["latitude"], row["longitude"], row["yearBuilt"]) == (30.1, -94.1, 1999)
+    assert row["isHot"] is False and row["scanUrl"] is None and row["ingestion_timestamp"] is not None
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        None, "", "abc", "{}&&", "{}&&not json", '{"error": "timed out"}', '{}&&{"payload":{"homes":[{"propertyId":1}',
+        '{}&&{"payload":null}', '{}&&{"payload":{}}', '{}&&{"payload":{"homes":null}}',
+        '{}&&{"payload":{"homes":{"propertyId":1}}}', '{}&&{"payload":[{"homes":[{"propertyId":1}]}]}',
+        '{}&&[{"payload":{"homes":[{"propertyId":1}]}}]', "{}&&{'payload':{'homes':[{'propertyId':1}]}}",
+        '{}&&{"payload":{"homes":[{"propertyId":1}]}} tail', '{}&&{"payload":{"homes":[]}}',
+    ],
+)
+def test_bodies_without_listings(spark, text):
+    assert parse(spark, text, body({"propertyId": 9})).count() == 1
+
+
+def test_broken_homes_spoil_only_themselves(spark):
+    good = {"propertyId": 1}
+    mixed = body(good, "3", "null", '"x"', "[1]", "[%s]" % json.dumps(SOUND), {"propertyId": 2})
+    assert ids(parse(spark, mixed)) == [1, 2]
+
+
+@pytest.mark.parametrize("block", BLOCKS)
+def test_blocks(spark, block):
+    def variant(number, value):
+        return {**SOUND, "propertyId": number, block: value}
+
+    missing = {k: v for k, v in SOUND.items() if k != block} | {"propertyId": 1}
+    homes = [missing, variant(2, {}), variant(3, None), variant(4, 5), variant(5, True)]
+    homes += [variant(6, "value"), variant(7, ["value"]), variant(8, "text"), variant(9, [1])]
+    tolerated = [8, 9] if block == "hoa" else []
+    assert ids(parse(spark, body(*homes))) == [1, 2, *tolerated]
+
+
+def test_position_one_level_down(spark):
+    homes = [
+        {"propertyId": 1, "latLong": {"value": None}},
+        {"propertyId": 2, "latLong": {"value": 3}},
+        {"propertyId": 3, "latLong": {"other": 1}},
+        {"propertyId": 4, "latLong": {"value": {}}},
+    ]
+    assert ids(parse(spark, body(*homes))) == [3, 4]
+
+
+def test_values_that_do_not_fit(spark):
+    text = body('{"propertyId":1,"price":{"value":350000.0},"listingId":"7","beds":2.50,"baths":1e7,"stories":true}')
+    row = parse(spark, text).first()
+    assert (row.house_price, row.listingId) == (None, None)
+    assert (row.beds, row.baths, row.stories) == ("2.5", "1.0E7", "true")
+
+
+def test_last_of_a_repeated_key_wins(spark):
+    assert ids(parse(spark, body('{"propertyId":1,"propertyId":2}'))) == [2]
+
+
+def test_paths(spark):
+    for path in (EXACT_HOMES, NEARBY_HOMES_OLD):
+        text = body(SOUND, SOUND, path=path.split("."))
+        assert parse(spark, text, homes_path=path).count() == 2
+        assert parse(spark, text).count() == 0
+
+
+def test_named_columns_keep_the_rows(spark):
+    bodies = [body(SOUND, {"propertyId": 1, "price": None}, {"propertyId": 2, "hoa": 3}, {"propertyId": 4})]
+    few = parse(spark, *bodies, columns=("propertyId", "zip"))
+    assert few.columns == ["zip", "propertyId", "ingestion_timestamp"]
+    assert ids(few) == ids(parse(spark, *bodies)) == [4, 38910260]
+
+
+def _value(rng, leaf):
+    return rng.choice([leaf, leaf, leaf, None, 7, "value", "x", 2.5, True, [1], ["value"], {}])
+
+
+def _random_home(rng):
+    home = {"propertyId": rng.randrange(1000)}
+    for _, path, kind in LISTING_FIELDS:
+        *blocks, leaf = path.split(".")
+        if leaf == "propertyId" or rng.random() < 0.3:
+            continue
+        value = {"string": "t", "bigint": 5, "int": 6, "double": 1.5, "boolean": True}[kind]
+        if blocks == ["latLong", "value"]:
+            inner = _value(rng, {leaf: value}) if rng.random() < 0.3 else {leaf: value}
+            home["latLong"] = {"value": inner} if rng.random() < 0.9 else _value(rng, {"value": {}})
+        elif blocks:
+            home[blocks[0]] = {leaf: value} if rng.random() < 0.93 else _value(rng, {leaf: value})
+        else:
+            home[leaf] = value
+    return home if rng.random() < 0.95 else rng.choice([3, None, "x", [1]])
+
+
+def _expected(document, zipcode):
+    """The rules once more, row by row: walk each column's path."""
+    out = []
+    for home in document["payload"]["homes"]:
+        row = [zipcode]
+        try:
+            for _, path, _ in LISTING_FIELDS:
+                *blocks, leaf = path.split(".")
+                node = home
+                if blocks == ["hoa"] and ("hoa" not in node or "value" not in node["hoa"]):
+                    row.append(None)
+                    continue
+                for block in blocks:
+                    node = node.get(block, {})
+                row.append(node.get(leaf))
+        except (AttributeError, TypeError):
+            continue
+        out.append(row)
+    return out
+
+
+@pytest.mark.parametrize("seed", [7, 99])
+def test_against_a_walk_over_random_documents(spark, seed):
+    rng = random.Random(seed)
+    documents = [{"payload": {"homes": [_random_home(rng) for _ in range(rng.randrange(4))]}} for _ in range(400)]
+    kinds = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+    home = T.StructType(
+        [T.StructField("search_zipcode", T.StringType())]
+        + [T.StructField(name, kinds[kind]) for name, _, kind in LISTING_FIELDS]
+    )
+    walk = F.udf(lambda text, area: _expected(json.loads(text[4:]), area), T.ArrayType(home))
+    rows = [(str(i), "{}&&" + json.dumps(d)) for i, d in enumerate(documents)]
+    raw = spark.createDataFrame(rows, "zipcode string, raw_json string")
+    theirs = raw.select(F.explode(walk("raw_json", "zipcode")).alias("h")).select("h.*")
+    ours = parse_listings(raw).drop("ingestion_timestamp")
+    assert ours.count() > 100
+    assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
