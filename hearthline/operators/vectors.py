@@ -14,7 +14,8 @@ from hearthline.functions.text import fill_template, template_columns
 from hearthline.functions.vectors import VECTOR_SIZE, VectorModel, text_vector
 from hearthline.operators.joins import rows_at_most
 
-QUERIES_PER_PASS = 4096
+# Bounds what is shipped, and the scores a task holds: this many per Arrow row.
+QUERIES_PER_PASS = 1024
 
 
 def embedding_texts(listings: DataFrame) -> DataFrame:
@@ -71,14 +72,18 @@ def _topk_pass(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted, units = shipped.value
         kept = [(np.empty(0, np.int64), np.empty(0))] * len(wanted)
+        bounds = np.full(len(wanted), -np.inf)  # the k-th best score so far
         for frame in frames:
             if len(frame) == 0 or len(wanted) == 0:
                 continue
             ids = frame["id"].to_numpy(dtype=np.int64)
             scores = units @ _unit_rows(frame["vector"]).T
-            for row in range(len(wanted)):
+            for row in np.flatnonzero(scores.max(axis=1) >= bounds):
+                near = scores[row] >= bounds[row]
                 old_ids, old_scores = kept[row]
-                kept[row] = best(np.append(old_ids, ids), np.append(old_scores, scores[row]))
+                kept[row] = best(np.append(old_ids, ids[near]), np.append(old_scores, scores[row][near]))
+                if len(kept[row][1]) == k:
+                    bounds[row] = kept[row][1][-1]
         for query, (ids, scores) in zip(wanted, kept):
             if len(ids):
                 yield pd.DataFrame({"query_id": query, "id": ids, "score": scores})

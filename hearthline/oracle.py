@@ -152,6 +152,7 @@ ORACLE: dict[str, str] = {
     "area_batch_export": _SAMPLE.format(
         population="cast(population AS varchar) AS population, '20260131_134500' AS batch_id"
     ),
+    "area_copy": f"WITH {_AREAS} SELECT * FROM areas",
     "fetch_transport": _TRANSPORTED,
     "stream_fetch": _TRANSPORTED,
     "fetch_captured": f"""WITH {_AREAS}, urls AS (SELECT {_URL_COLUMNS} FROM areas), wanted AS (

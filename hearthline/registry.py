@@ -107,6 +107,16 @@ def partitioned_write(spark, sf_dir):
     )
 
 
+@query
+def area_copy(spark, sf_dir):
+    """The lookup as a materialized view, refreshed once, and as a named view."""
+    base = run_folder(spark, "copy")
+    for _ in range(2):
+        write_table(tf.areas(spark, sf_dir), "areas_copy", base, "overwrite")
+    read_table(spark, "areas_copy", base).createOrReplaceTempView("areas_copy")
+    return spark.table("areas_copy")
+
+
 # -- responses ----------------------------------------------------------------
 
 
