@@ -237,7 +237,7 @@ SELECT doc_id, slot, round(cast(cast(n / norm AS real) AS double), 5) AS value F
   CASE WHEN l.doc_id IS NULL THEN source ELSE lang || ':' || n_chars END AS embedding_text
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "vector_job": f"""WITH {_TEXTS}
-SELECT 256 AS size, count(*) AS records, count(DISTINCT "propertyId") AS ids, sum(length(embedding_text)) AS chars,
+SELECT 256 AS size, count(*) AS records, count(DISTINCT "propertyId") AS ids, cast(sum(length(embedding_text)) AS bigint) AS chars,
   2 AS pushes, cast(max(ingestion_timestamp) AS date) AS last_day FROM texts""",
     "cosine_topk": """WITH asked AS (
   SELECT min(vec_id) AS query_id, arg_min(embedding, vec_id) AS wanted FROM embeddings GROUP BY label),
@@ -250,8 +250,8 @@ SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 5""",
     "stream_urls": f"""WITH {_AREAS}
 SELECT {_URL_COLUMNS}, cast(population AS varchar) AS population FROM areas""",
-    "stream_dedup": 'SELECT DISTINCT l_partkey AS "propertyId", 1 AS kept FROM lineitem',
-    "stream_dedup_bounded": "SELECT DISTINCT user_id, 1 AS kept FROM events",
+    "stream_dedup": 'SELECT DISTINCT l_partkey AS "propertyId", cast(1 AS bigint) AS kept FROM lineitem',
+    "stream_dedup_bounded": "SELECT DISTINCT user_id, cast(1 AS bigint) AS kept FROM events",
     "stream_join": f"""WITH {_PARSED}, {_LOCATIONS}
 SELECT parsed.zip, mls AS house_mls, "propertyId", house_price, 2026 - "yearBuilt" AS age,
   lat AS zip_lat, population AS zip_population FROM parsed JOIN locations ON parsed.zip = locations.zip""",
@@ -261,6 +261,6 @@ SELECT cast(zip AS bigint) AS "propertyId", zip, cast(zip AS bigint) * 7 AS hous
   '0' AS hoa, lat AS zip_lat, population AS zip_population, cast(NULL AS varchar) AS top_features
 FROM urls JOIN areas USING (zip) WHERE zip NOT LIKE '%3'""",
     "flagship": f"""WITH {_LATEST}, {_LOCATIONS}
-SELECT state_name, count(*) AS homes, sum(house_price) AS total_price, max(house_price) AS max_price
+SELECT state_name, count(*) AS homes, cast(sum(house_price) AS bigint) AS total_price, max(house_price) AS max_price
 FROM latest JOIN locations ON latest.zip = locations.zip GROUP BY state_name""",
 }
