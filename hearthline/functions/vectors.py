@@ -37,7 +37,9 @@ def slot_vector(slots: Column, size: int = VECTOR_SIZE) -> Column:
 
         return batch.map(dense)
 
-    return F.pandas_udf(count, "array<float>")(slots)
+    # Spark copies a deterministic call into the filters it infers, e.g. for an
+    # explode of the vector, and would then run it twice.
+    return F.pandas_udf(count, "array<float>").asNondeterministic()(slots)
 
 
 def text_vector(text: Column, model: VectorModel | None = None, size: int = VECTOR_SIZE) -> Column:
