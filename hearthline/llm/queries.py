@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
-from hearthline.llm import fingerprints, mixing, packing, sharding
+from hearthline.llm import fingerprints, language, mixing, packing, quality, sharding, tokens
 from hearthline.testframes import table
 
 QUERIES = {}
+TOKENIZERS = "/opt/tokenizers"
 
 
 def query(build):
@@ -25,12 +28,36 @@ def op2_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op4_quality(spark, sf_dir):
+    """All documents under the base rules and the limits of their language and source."""
+    return quality.quality(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query
 def op5_packing(spark, sf_dir):
     """All documents in 16 length buckets, in batches of 16,384 words."""
     return packing.pack(documents(spark, sf_dir))
 
 
+@query
+def op6_language(spark, sf_dir):
+    """The language of all documents, learned from those that are not held out."""
+    docs = documents(spark, sf_dir)
+    texts = language.sample_texts(docs.where(~language.held_out(F.col("doc_id"))))
+    found = language.identify(docs, texts)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op7_token_counts(spark, sf_dir):
+    """Tokens of all documents, from the separators of their token stream."""
+    ranks = Path(TOKENIZERS, "byte_bpe_multi_50k.tiktoken").read_bytes()
+    return tokens.count_tokens(documents(spark, sf_dir), ranks)
+
+
 @query
 def op9_sharding(spark, sf_dir):
     """All documents in 40 shards of nearly equal bytes."""
