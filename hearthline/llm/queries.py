@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from hearthline.llm import fingerprints, language, mixing, packing, quality, sharding, tokens
+from hearthline.llm import fingerprints, language, mixing, near, packing, quality, sharding, tokens
 from hearthline.testframes import table
 
 QUERIES = {}
@@ -58,6 +58,12 @@ def op7_token_counts(spark, sf_dir):
     return tokens.count_tokens(documents(spark, sf_dir), ranks)
 
 
+@query
+def op8_near_duplicates(spark, sf_dir):
+    """All documents with the class of near-duplicates they are in."""
+    return near.near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "class_rows")
+
+
 @query
 def op9_sharding(spark, sf_dir):
     """All documents in 40 shards of nearly equal bytes."""
