@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from hearthline.llm import fingerprints, language, mixing, near, packing, quality, sharding, tokens
+from hearthline.llm import fingerprints, language, lempel_ziv, mixing, near, packing, quality, sharding, suffix_buckets, tokens
 from hearthline.testframes import table
 
 QUERIES = {}
@@ -22,12 +22,24 @@ def documents(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
+@query
+def op1_substrings(spark, sf_dir):
+    """All documents without the words of repeated windows of 20 words."""
+    return lempel_ziv.digest(lempel_ziv.remove_repeats(documents(spark, sf_dir)))
+
+
 @query
 def op2_mixing(spark, sf_dir):
     """All documents mixed: sources weigh 5, 2, 1 in turn and give 3 epochs at most."""
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op3_suffix_buckets(spark, sf_dir):
+    """All documents without the bytes of repeated strings of 100 bytes."""
+    return suffix_buckets.digest(suffix_buckets.remove_repeats(documents(spark, sf_dir)))
+
+
 @query
 def op4_quality(spark, sf_dir):
     """All documents under the base rules and the limits of their language and source."""
