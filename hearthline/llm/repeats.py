@@ -351,12 +351,6 @@ def match_names(new_too: bool):
     return run
 
 
-def _collected(replies: DataFrame) -> DataFrame:
-    """All replies to a document in one row, and how many runs are still open."""
-    parts = F.collect_list(F.struct("pos", "n", "ref", "at"))
-    return replies.groupBy("oid", "node").agg(parts.alias("told"), F.sum("open").alias("open"))
-
-
 def read_told(told) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """pos, n, ref, at of a document's replies, by position."""
     parts = [(f, kind, [np.frombuffer(t[f], dtype=kind) for t in told]) for f, kind in (("pos", "<i4"), ("n", "<i4"), ("ref", "<i8"), ("at", "<i4"))]
@@ -428,15 +422,19 @@ def repeated_windows(docs: DataFrame, units, q: int) -> DataFrame:
     scanned = named.select(oid.alias("oid"), "node", "text").mapInArrow(scan_runs(units, q, buckets), PACKED)
     matched = scanned.groupBy("bucket").applyInArrow(match_grams(buckets), PACKED)
     replies = matched.groupBy("bucket").applyInArrow(match_names(True), REPLIES)
-    runs = written(_collected(replies), "repeat-runs")
+    # all replies to a document in one row, and how many of its runs are still open
+    parts = F.collect_list(F.struct("pos", "n", "ref", "at"))
+    runs = replies.groupBy("oid", "node").agg(parts.alias("told"), F.sum("open").alias("open"))
+    runs = written(runs, "repeat-runs")
 
     def beside(side: DataFrame, how: str) -> DataFrame:
-        side = side.withColumnRenamed("node", "_node")
-        return named.join(side, (order_id(F.col("doc_id")) == F.col("oid")) & (F.col("node") == F.col("_node")), how)
+        return named.join(side, (order_id(F.col("doc_id")) == side.oid) & (named.node == side.node), how).drop(side.node)
 
     unsettled = beside(runs.where("open > 0"), "inner").select("oid", "node", "text", "told")
     windows = unsettled.mapInArrow(scan_windows(units, q, buckets), PACKED)
     more = windows.groupBy("bucket").applyInArrow(match_names(False), REPLIES)
-    told = runs.select("oid", "node", F.explode("told").alias("t")).select("oid", "node", "t.*", F.lit(0).cast("long").alias("open"))
-    both = _collected(told.unionByName(more)).drop("open")
-    return beside(copies.join(both, ["oid", "node"], "full"), "left").select("doc_id", "text", "copy_of", "told")
+    told = runs.select("oid", "node", F.explode("told").alias("t")).select("oid", "node", "t")
+    told = told.union(more.select("oid", "node", F.struct("pos", "n", "ref", "at")))
+    marked = told.withColumn("copy_of", F.lit(None).cast("long")).union(copies.select("oid", "node", F.lit(None), "copy_of"))
+    marked = marked.groupBy("oid", "node").agg(F.collect_list("t").alias("told"), F.min("copy_of").alias("copy_of"))
+    return beside(marked, "left").select("doc_id", "text", "copy_of", "told")
