@@ -68,12 +68,20 @@ def _factor(width: int):
                 pa.array(removed, pa.int64()),
                 pa.array(factors, pa.list_(pa.struct(fields))),
                 pa.array(kept, pa.binary()).cast(pa.string()),
+                batch.column(4),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_removed", "factors", "kept"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_removed", "factors", "kept", "row"])
 
     return run
 
 
+def _parsed(docs: DataFrame, gram: int) -> DataFrame:
+    found = repeats.repeated_windows(docs, repeats.word_units(gram), gram)
+    row = docs.schema["row"].dataType.simpleString()
+    schema = f"doc_id long, n_words long, n_removed long, factors {FACTORS}, kept string, row {row}"
+    return found.mapInArrow(_factor(4 * gram), schema)
+
+
 def remove_repeats(docs: DataFrame, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, factors and kept (the words left, joined by a space)
     of every row of ``docs`` (doc_id, text).
@@ -86,8 +94,25 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM) -> DataFrame:
     same.  Of copies only the one of the least id is factored, the others are one
     factor.  Other columns are not looked at; an empty table gives no rows.
     """
-    found = repeats.repeated_windows(docs, repeats.word_units(gram), gram)
-    return found.mapInArrow(_factor(4 * gram), f"doc_id long, n_words long, n_removed long, factors {FACTORS}, kept string")
+    return _parsed(docs.select("doc_id", "text", F.lit(0).alias("row")), gram).drop("row")
+
+
+def cut_documents(docs: DataFrame, gram: int = GRAM) -> DataFrame:
+    """The documents with their columns, ``text`` without its repeated windows and
+    ``n_chars`` counted again.  A text that loses nothing stays as it is, any other is
+    its kept words joined by a space, an empty text if none is left; no row goes."""
+    inner = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    found = _parsed(docs.select("doc_id", "text", F.struct(*inner).alias("row")), gram)
+    cut = F.col("n_removed") > 0
+    columns = []
+    for i, name in enumerate(docs.columns):
+        column = F.col(f"row.c{i}")
+        if name == "text":
+            column = F.when(cut, F.col("kept")).otherwise(column)
+        elif name == "n_chars":
+            column = F.when(cut, F.char_length("kept").cast(docs.schema[name].dataType)).otherwise(column)
+        columns.append(column.alias(name))
+    return found.select(*columns)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import word_count, written
+from hearthline.llm.common import NO_WORD, word_count, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -47,26 +47,15 @@ def fill_targets(sources: DataFrame, max_epochs: int, budget: Column | None = No
     return level.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target and ``taken`` (words the mix takes).
+def _drawn(docs: DataFrame, seed: str, *more) -> DataFrame:
+    """Sizes and places in the order of the draw."""
+    draw = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw.alias("draw"), *more)
+    return rows.withColumn("bin", F.substring("draw", 1, DIGITS))
 
-    Needs doc_id, text, source; other columns are not looked at.  Sources weigh
-    ``weights`` in turn, by code point, null last and a source like any other.  A
-    null or empty text has size 0 and gives 0 words.  Repeated rows count as often
-    as they are there; rows that tie in the order (same id) may swap what they
-    give, which leaves the rows as a whole alike.  An empty table gives no rows.
 
-    A source's taken words are its target rounded down, exactly; no document gives
-    more than ``max_epochs`` times its size.  No source goes to one task: running
-    sums are taken in bins of the order, and added up over the bins.
-    """
-    rows = docs.select(
-        "doc_id",
-        "source",
-        word_count(F.col("text")).alias("size"),
-        F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("draw"),
-    )
-    rows = written(rows.withColumn("bin", F.substring("draw", 1, DIGITS)), "mix-rows")
+def _taken(rows: DataFrame, weights, max_epochs: int) -> DataFrame:
+    """``rows`` with source_size, target, whole (repetitions) and part (words of one more)."""
     bins = written(rows.groupBy("source", "bin").agg(F.sum("size").alias("words")), "mix-bins")
     sources = bins.groupBy("source").agg(F.sum("words").alias("source_size"))
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())) - 1
@@ -84,7 +73,47 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: st
     before = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     ran = rows.withColumn("before", before)
     joined = ran.join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("bin") == F.col("at")))
-    partial = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start") - F.col("before")))
-    return joined.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + partial).cast("long").alias("taken")
-    )
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start") - F.col("before")))
+    return joined.withColumn("part", part)
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target and ``taken`` (words the mix takes).
+
+    Needs doc_id, text, source; other columns are not looked at.  Sources weigh
+    ``weights`` in turn, by code point, null last and a source like any other.  A
+    null or empty text has size 0 and gives 0 words.  Repeated rows count as often
+    as they are there; rows that tie in the order (same id) may swap what they
+    give, which leaves the rows as a whole alike.  An empty table gives no rows.
+
+    A source's taken words are its target rounded down, exactly; no document gives
+    more than ``max_epochs`` times its size.  No source goes to one task: running
+    sums are taken in bins of the order, and added up over the bins.
+    """
+    found = _taken(written(_drawn(docs, seed), "mix-rows"), weights, max_epochs)
+    taken = (F.col("whole") * F.col("size") + F.col("part")).cast("long")
+    return found.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The mix itself: each document as often as it is taken whole, and once more as its
+    first words, joined by a space, where it is taken in part.  Documents of which
+    nothing is taken, texts without words among them, are not in it."""
+    inner = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    found = _taken(_drawn(docs, seed, inner.alias("row")), weights, max_epochs)
+    full = F.when(F.col("size") > 0, F.col("whole")).otherwise(0) + F.when(F.col("part") == F.col("size"), F.sign("size")).otherwise(0)
+    some = F.when((F.col("part") > 0) & (F.col("part") < F.col("size")), F.col("part")).otherwise(0)
+    cut = F.array_repeat(F.lit(0).cast("long"), full.cast("int"))
+    cut = F.when(some > 0, F.concat(cut, F.array(some.cast("long")))).otherwise(cut)
+    each = found.select("row", F.explode(cut).alias("words"))
+    text = F.col(f"row.c{docs.columns.index('text')}")
+    first = F.array_join(F.slice(F.filter(F.split(text, NO_WORD), lambda w: w != ""), 1, F.greatest(F.lit(1), F.col("words").cast("int"))), " ")
+    columns = []
+    for i, name in enumerate(docs.columns):
+        column = F.col(f"row.c{i}")
+        if name == "text":
+            column = F.when(F.col("words") > 0, first).otherwise(column)
+        elif name == "n_chars":
+            column = F.when(F.col("words") > 0, F.char_length(first).cast(docs.schema[name].dataType)).otherwise(column)
+        columns.append(column.alias(name))
+    return each.select(*columns)

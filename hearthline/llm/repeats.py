@@ -405,7 +405,8 @@ def order_id(doc_id: Column) -> Column:
 
 
 def repeated_windows(docs: DataFrame, units, q: int) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text) as doc_id, text, copy_of, told.
+    """Every row of ``docs`` (doc_id, text, and ``row``, which is handed through) as
+    doc_id, text, copy_of, told, row.
 
     ``copy_of`` is the least id of the documents with the same text, if it is smaller;
     ``told`` lists the repeated runs of windows of any other document, and the places
@@ -414,7 +415,7 @@ def repeated_windows(docs: DataFrame, units, q: int) -> DataFrame:
     """
     buckets = shuffle_partitions(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"), "row")
     oid = order_id(F.col("doc_id"))
     ids = written(named.select(oid.alias("oid"), "node").distinct(), "repeat-ids")
     least = ids.groupBy(F.col("node").alias("of")).agg(F.min("oid").alias("copy_of"))
@@ -430,11 +431,12 @@ def repeated_windows(docs: DataFrame, units, q: int) -> DataFrame:
     def beside(side: DataFrame, how: str) -> DataFrame:
         return named.join(side, (order_id(F.col("doc_id")) == side.oid) & (named.node == side.node), how).drop(side.node)
 
-    unsettled = beside(runs.where("open > 0"), "inner").select("oid", "node", "text", "told")
+    # with ``row``, for the same columns as below: only then one shuffle serves both
+    unsettled = beside(runs.where("open > 0"), "inner").select("oid", "node", "text", "told", "row")
     windows = unsettled.mapInArrow(scan_windows(units, q, buckets), PACKED)
     more = windows.groupBy("bucket").applyInArrow(match_names(False), REPLIES)
     told = runs.select("oid", "node", F.explode("told").alias("t")).select("oid", "node", "t")
     told = told.union(more.select("oid", "node", F.struct("pos", "n", "ref", "at")))
     marked = told.withColumn("copy_of", F.lit(None).cast("long")).union(copies.select("oid", "node", F.lit(None), "copy_of"))
     marked = marked.groupBy("oid", "node").agg(F.collect_list("t").alias("told"), F.min("copy_of").alias("copy_of"))
-    return beside(marked, "left").select("doc_id", "text", "copy_of", "told")
+    return beside(marked, "left").select("doc_id", "text", "copy_of", "told", "row")

@@ -64,6 +64,7 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM) -> DataFrame:
     A cut may fall inside a character, so ``kept`` is binary.  Other columns are not
     looked at; an empty table gives no rows.
     """
+    docs = docs.select("doc_id", "text", F.lit(0).alias("row"))
     found = repeats.repeated_windows(docs, repeats.byte_units(gram), gram)
     schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     return found.mapInArrow(_cut(4 * gram), schema)
