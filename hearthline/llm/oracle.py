@@ -1,3 +1,153 @@
-"""SQL that the queries of this package must agree with, for DuckDB."""
+"""SQL that the queries of this package must agree with, for DuckDB.
 
-ORACLE: dict[str, str] = {}
+Differencing, hashes, compression, signatures, boundaries and strings of bytes are
+no SQL, or far too slow in it: op3 and op5 to op10 are tested in ``tests/llm``.
+"""
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+SUBSTRINGS = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS words FROM documents),
+starts AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS place
+  FROM (
+    SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS w
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM docs)
+  )
+),
+gone AS (
+  SELECT DISTINCT doc_id, i + k AS i
+  FROM (SELECT doc_id, i, unnest(range(0, 20)) AS k FROM starts WHERE place > 1)
+),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM docs) w
+  ANTI JOIN gone ON gone.doc_id = w.doc_id AND gone.i = w.i
+  GROUP BY w.doc_id
+)
+SELECT docs.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept ON docs.doc_id = kept.doc_id
+"""
+
+MIXING = f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
+         md5('mix-7' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+  FROM documents
+),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM sources
+),
+capped AS (SELECT *, 3 * source_size AS cap, CAST(3 * source_size AS DOUBLE) / weight AS ratio FROM weighed),
+levels AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER earlier, 0) AS DOUBLE) / sum(weight) OVER onward AS level
+  FROM capped
+  WINDOW earlier AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         onward AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+),
+targets AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), max(level) OVER () * weight) AS target FROM levels),
+split AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM targets
+),
+placed AS (
+  SELECT sized.*, t.source_size, t.target, t.whole, CAST(floor(t.target) AS BIGINT) - t.whole * t.source_size AS rest,
+         sum(size) OVER (PARTITION BY sized.source ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM sized JOIN split t ON sized.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(whole * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
+FROM placed
+"""
+
+
+def _quartiles(keys: str, name: str) -> str:
+    listed = keys + ", " if keys else ""
+    return f"""
+{name}_cells AS (SELECT {listed}measure, cell, sum(n) AS n FROM cells GROUP BY {listed}measure, cell),
+{name}_ran AS (
+  SELECT {listed}measure, coalesce(pow(CAST(1.02 AS DOUBLE), cell), 0.0) AS value,
+         sum(n) OVER (PARTITION BY {listed}measure ORDER BY cell NULLS FIRST ROWS UNBOUNDED PRECEDING) AS up_to,
+         sum(n) OVER (PARTITION BY {listed}measure) AS total
+  FROM {name}_cells
+),
+{name} AS (
+  SELECT {listed}measure, max(total) AS n, min(value) FILTER (4 * up_to >= total) AS q1,
+         min(value) FILTER (4 * up_to >= 3 * total) AS q3
+  FROM {name}_ran GROUP BY {listed}measure
+)"""
+
+
+QUALITY = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text, {WORDS} AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+),
+windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w) AS times
+  FROM (
+    SELECT r, i, array_to_string(words[i:i + 4], ' ') AS w
+    FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM texts)
+  )
+),
+repeated AS (
+  SELECT r, count(DISTINCT i + k) AS n
+  FROM (SELECT r, i, unnest(range(0, 5)) AS k FROM windows WHERE times > 1) GROUP BY r
+),
+counted AS (
+  SELECT texts.r, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines
+  FROM texts LEFT JOIN repeated ON texts.r = repeated.r
+),
+judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         CAST(word_chars AS DOUBLE) / greatest(n_words, 1) AS word_length,
+         CAST(n_symbols AS DOUBLE) / greatest(n_words, 1) AS symbols,
+         CAST(n_dup_lines AS DOUBLE) / greatest(n_lines, 1) AS dup_lines,
+         CAST(n_repeat_words AS DOUBLE) / greatest(n_words, 1) AS repeats
+  FROM counted
+),
+measured AS (
+  SELECT lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS measure,
+         unnest([word_length, symbols, dup_lines, repeats]) AS value
+  FROM judged WHERE NOT base_failed
+),
+cells AS (
+  SELECT lang, source, measure, CASE WHEN value >= 0.001 THEN floor(ln(value) / ln(CAST(1.02 AS DOUBLE))) END AS cell, count(*) AS n
+  FROM measured GROUP BY ALL
+),
+{_quartiles("lang, source", "own")},
+{_quartiles("lang", "of_lang")},
+{_quartiles("", "overall")},
+chosen AS (
+  SELECT own.lang, own.source, own.measure,
+         CASE WHEN own.n >= 200 THEN own.q1 WHEN of_lang.n >= 200 THEN of_lang.q1 ELSE overall.q1 END AS q1,
+         CASE WHEN own.n >= 200 THEN own.q3 WHEN of_lang.n >= 200 THEN of_lang.q3 ELSE overall.q3 END AS q3
+  FROM own
+  JOIN of_lang ON own.lang IS NOT DISTINCT FROM of_lang.lang AND own.measure = of_lang.measure
+  JOIN overall ON own.measure = overall.measure
+),
+limits AS (
+  SELECT lang, source,
+         max(q3 + greatest(6 * (q3 - q1), 4.0)) FILTER (measure = 'word_length') AS long,
+         max(q1 - greatest(6 * (q3 - q1), 3.0)) FILTER (measure = 'word_length') AS short,
+         max(q3 + greatest(6 * (q3 - q1), 0.1)) FILTER (measure = 'symbols') AS symbols_limit,
+         max(q3 + greatest(6 * (q3 - q1), 0.5)) FILTER (measure = 'dup_lines') AS dup_limit,
+         max(q3 + greatest(6 * (q3 - q1), 0.15)) FILTER (measure = 'repeats') AS repeats_limit
+  FROM chosen GROUP BY lang, source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(word_length BETWEEN short AND long AND symbols <= symbols_limit
+         AND dup_lines <= dup_limit AND repeats <= repeats_limit, false) AS kept
+FROM judged
+LEFT JOIN limits ON judged.lang IS NOT DISTINCT FROM limits.lang AND judged.source IS NOT DISTINCT FROM limits.source
+"""
+
+ORACLE: dict[str, str] = {"op1_substrings": SUBSTRINGS, "op2_mixing": MIXING, "op4_quality": QUALITY}
