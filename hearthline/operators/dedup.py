@@ -18,18 +18,23 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], order: list[Column]) -> Dat
     return df.withColumn("_row", F.row_number().over(ranked)).where("_row = 1").drop("_row")
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash over all columns but maps, which have no order."""
+    return F.xxhash64(*[F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind])
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = ()) -> DataFrame:
     """The newest row of every key; a null key is a key like any other.
 
-    Equal times go to the highest ``ties``, in their order; name enough of them
-    and the same row wins every time.
+    Equal times go to the highest ``ties``, in their order, and then to a hash over
+    the row, so that the same row wins however rows were dealt.
     """
-    return _one_per_key(df, keys, [F.desc(name) for name in (time, *ties)])
+    return _one_per_key(df, keys, [*[F.desc(name) for name in (time, *ties)], F.desc(_row_hash(df))])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str] = ()) -> DataFrame:
-    """The row that came first; equal times go to the lowest ``ties``."""
-    return _one_per_key(df, keys, [F.asc_nulls_first(name) for name in (time, *ties)])
+    """The row that came first; equal times go to the lowest ``ties``, then to a hash."""
+    return _one_per_key(df, keys, [*[F.asc_nulls_first(name) for name in (time, *ties)], F.asc(_row_hash(df))])
 
 
 def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,8 +1,14 @@
-"""Watermarks: what has been processed, and which rows are new."""
+"""Watermarks: what has been processed, and which rows are new.
+
+A run takes the half-open window from the last mark, inclusive, to a fixed upper
+bound, exclusive, and the bound becomes the next mark: rows that share a time are
+either all in a window or all in a later one.  The bound must lie behind every
+write still on its way; without ``as_of`` it is ``SETTLE`` ago.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +18,14 @@ from hearthline.model import CONTROL_SCHEMA, FIRST_WATERMARK, MAX_DAYS_BACK
 from hearthline.sources.tables import find_table, write_table
 
 
+SETTLE = timedelta(hours=1)
+
+
+def upper_bound(as_of: datetime | None) -> datetime:
+    """The end of a window: ``as_of``, or the time by which writes have settled."""
+    return as_of or datetime.now(timezone.utc) - SETTLE
+
+
 def high_watermark(
     spark: SparkSession,
     table: str,
@@ -33,10 +47,16 @@ def newer_than(df: DataFrame, watermark: Column | datetime, column: str = "inges
     return df.where(F.col(column) > bound)
 
 
+def within(df: DataFrame, lower: Column | datetime, upper: datetime, column: str = "ingestion_timestamp") -> DataFrame:
+    """Rows of the window from ``lower`` to just before ``upper``; both bounds reach the scan."""
+    bound = lower if isinstance(lower, Column) else F.lit(lower)
+    return df.where((F.col(column) >= bound) & (F.col(column) < F.lit(upper)))
+
+
 def control_watermark(
     control: DataFrame, as_of: datetime | None = None, days_back: int = MAX_DAYS_BACK
 ) -> Column:
-    """Last processed time in the control table, or ``days_back`` days ago.
+    """Where the last window ended, by the control table, or ``days_back`` days ago.
 
     A scalar subquery of one value: Spark runs it once and hands the result to
     the scan as a pushed filter, which it could not do with a ``coalesce``
@@ -53,11 +73,24 @@ def new_listings(
     as_of: datetime | None = None,
     days_back: int = MAX_DAYS_BACK,
 ) -> DataFrame:
-    """Listings not yet turned into vectors, with their features."""
-    fresh = newer_than(listings, control_watermark(control, as_of, days_back))
+    """Listings of the window not yet turned into vectors, with their features."""
+    fresh = within(listings, control_watermark(control, as_of, days_back), upper_bound(as_of))
     return fresh.join(features.select("propertyId", "top_features"), "propertyId")
 
 
+def oldest_waiting(
+    listings: DataFrame,
+    features: DataFrame,
+    control: DataFrame,
+    as_of: datetime | None = None,
+    days_back: int = MAX_DAYS_BACK,
+) -> datetime | None:
+    """The time of the oldest listing of the window that has no features yet."""
+    fresh = within(listings, control_watermark(control, as_of, days_back), upper_bound(as_of))
+    waiting = fresh.join(features.select("propertyId"), "propertyId", "left_anti")
+    return waiting.agg(F.min("ingestion_timestamp")).first()[0]
+
+
 def empty_control(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CONTROL_SCHEMA)
 

@@ -7,12 +7,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.model import NEARBY_HOMES
-from hearthline.operators.increment import high_watermark, newer_than
+from hearthline.model import FIRST_WATERMARK, NEARBY_HOMES
+from hearthline.operators.increment import read_control, record_push, upper_bound, within
 from hearthline.operators.parse import parse_listings
 from hearthline.operators.urls import sample_areas, url_list
-from hearthline.sources.responses import Transport, fetch_responses
-from hearthline.sources.tables import read_table, write_table
+from hearthline.sources.responses import TIMEOUT, Transport, fetch_responses
+from hearthline.sources.tables import read_table, replace_parts, write_table
 
 
 def generate_urls(
@@ -39,24 +39,39 @@ def gather_responses(
     base: str | None = None,
     tasks: int | None = None,
     threads: int = 1,
+    timeout: float = TIMEOUT,
 ) -> None:
-    """Fetch every URL in the executors and append the responses."""
+    """Fetch every URL in the executors and append the responses, by day."""
     wanted = read_table(spark, urls, base)
-    write_table(fetch_responses(wanted, transport, as_of, tasks, threads), target, base)
+    fetched = fetch_responses(wanted, transport, as_of, tasks, threads, timeout)
+    write_table(fetched, target, base, partition_by=("processed_date",))
 
 
-def new_responses(spark: SparkSession, raw: str, target: str, base: str | None = None) -> DataFrame:
-    """Responses newer than the newest that ``target`` was made from."""
-    return newer_than(read_table(spark, raw, base), high_watermark(spark, target, base=base))
+def new_responses(raw: DataFrame, lower: datetime, upper: datetime) -> DataFrame:
+    """Responses of the window; whole days outside it are not read."""
+    days = F.col("processed_date").between(F.lit(lower.date()), F.lit(upper.date()))
+    return within(raw.where(days), lower, upper)
 
 
 def parse_new(
-    spark: SparkSession, raw: str, target: str, homes_path: str = NEARBY_HOMES, base: str | None = None
+    spark: SparkSession,
+    raw: str,
+    target: str,
+    homes_path: str = NEARBY_HOMES,
+    as_of: datetime | None = None,
+    base: str | None = None,
 ) -> None:
-    """Parse new responses and append their listings.
+    """Parse the responses that have come since the last run and add their listings.
 
-    Listings carry the time of their response, not of the parse: the watermark
-    then compares like with like, and what is fetched during a parse is not lost.
+    The window starts where the last one ended, by the control table
+    ``<target>_control``, and ends at ``as_of``.  A run's listings are one part of
+    the target, which a run that is done again replaces; the control row comes last.
     """
-    fresh = new_responses(spark, raw, target, base)
-    write_table(parse_listings(fresh, homes_path, ingested=F.col("ingestion_timestamp")), target, base)
+    control, end = f"{target}_control", upper_bound(as_of)
+    seen = read_control(spark, control, base)
+    first = F.lit(FIRST_WATERMARK).cast("timestamp")
+    mark, run = seen.agg(F.coalesce(F.max("last_processed_ts"), first), F.coalesce(F.max("batch_id"), F.lit(0)) + 1).first()
+    fresh = new_responses(read_table(spark, raw, base), mark, end)
+    listings = parse_listings(fresh, homes_path, ingested=F.col("ingestion_timestamp"))
+    replace_parts(listings.withColumn("parse_run", F.lit(run)), target, ("parse_run",), base)
+    record_push(spark, control, end, end, base)

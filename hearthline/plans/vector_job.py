@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.model import MAX_DAYS_BACK
-from hearthline.operators.increment import new_listings, read_control, record_push
+from hearthline.operators.increment import new_listings, oldest_waiting, read_control, record_push, upper_bound
 from hearthline.operators.vectors import embedding_texts, vector_records, vectorize
 from hearthline.functions.vectors import VectorModel
-from hearthline.session import run_folder
+from hearthline.operators.dedup import latest_per_key
+from hearthline.session import drop_folder, run_folder
 from hearthline.sources.store import RecordWriter, push_records, upsert
 from hearthline.sources.tables import read_table, write_table
 
@@ -31,23 +32,31 @@ def push_new(
 
     ``store`` is the path of a keyed store, which gets vectors too, or a writer
     that takes chunks of text records.  The texts are written out first, so that
-    the push, a push done again and the control row all speak of the same rows.
-    The control row comes last and names the newest time really pushed: a crash
-    before it repeats the push, and the upsert by key absorbs that.
+    the push, a push done again and the control row all speak of the same rows;
+    they go when the push is over.  One record per property: of several the latest.
+
+    The control row comes last.  Its mark is the end of the window, or the time of
+    the oldest listing that still waits for features: that one and all after it
+    are looked at again, and the upsert by key absorbs those pushed twice.  So does
+    it a push repeated after a crash.
     """
-    now = as_of or datetime.now(timezone.utc)
-    fresh = new_listings(listings, features, read_control(spark, control, base), now, days_back)
+    now, end = as_of or datetime.now(timezone.utc), upper_bound(as_of)
+    seen = read_control(spark, control, base)
+    fresh = latest_per_key(new_listings(listings, features, seen, end, days_back), ["propertyId"], "ingestion_timestamp")
     held = run_folder(spark, "push")
-    write_table(embedding_texts(fresh), "texts", held)
-    texts = read_table(spark, "texts", held)
-    newest, rows = texts.agg(F.max("ingestion_timestamp"), F.count(F.lit(1))).first()
-    if not rows:
-        return 0
-    records = vector_records(texts)
-    if callable(store):
-        push_records(records, store)
-    else:
-        batch = read_control(spark, control, base).agg(F.coalesce(F.max("batch_id"), F.lit(0)) + 1)
-        upsert(vectorize(records, model), store, batch.first()[0])
-    record_push(spark, control, newest, now, base)
-    return rows
+    try:
+        write_table(embedding_texts(fresh), "texts", held)
+        texts = read_table(spark, "texts", held)
+        mark = oldest_waiting(listings, features, seen, end, days_back) or end
+        rows = texts.count()
+        if rows:
+            records = vector_records(texts)
+            if callable(store):
+                push_records(records, store)
+            else:
+                batch = seen.agg(F.coalesce(F.max("batch_id"), F.lit(0)) + 1)
+                upsert(vectorize(records, model), store, batch.first()[0])
+            record_push(spark, control, mark, now, base)
+        return rows
+    finally:
+        drop_folder(spark, held)

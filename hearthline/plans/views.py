@@ -47,7 +47,8 @@ VIEW_COLUMNS = (
 def latest_listings_view(spark: SparkSession, parsed: DataFrame, as_of: date | None = None) -> DataFrame:
     """Numeric zips only, defaults set, the latest row of each property.
 
-    Of rows with one time the highest MLS number wins, then the highest price.
+    Of rows with one time the highest MLS number wins, then the highest price, listing
+    and searched zip, then a hash over the row.
     """
     day = "current_date()" if as_of is None else f"DATE '{as_of:%Y-%m-%d}'"
     return spark.sql(
@@ -59,7 +60,8 @@ def latest_listings_view(spark: SparkSession, parsed: DataFrame, as_of: date | N
                  extract(YEAR FROM {day}) - yearBuilt AS age,
                  row_number() OVER (
                    PARTITION BY propertyId
-                   ORDER BY ingestion_timestamp DESC, `mls#` DESC, house_price DESC
+                   ORDER BY ingestion_timestamp DESC, `mls#` DESC, house_price DESC, listingId DESC,
+                     search_zipcode DESC, xxhash64(*) DESC
                  ) AS newest
           FROM {{parsed}}
           WHERE try_cast(zip AS NUMERIC) IS NOT NULL

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime SQL settings every plan here relies on.  AQE splits hot join
 # partitions, also where that costs one more shuffle; RocksDB keeps the state
@@ -62,11 +62,7 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it has fewer partitions.
-
-    For costly steps over a few small files; a large table has partitions
-    enough and is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``run_folder`` that nothing reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

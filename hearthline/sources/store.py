@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 from hearthline.model import UPSERT_CHUNK
 from hearthline.operators.dedup import latest_per_key
@@ -23,7 +24,9 @@ RecordWriter = Callable[[list[dict]], None]
 
 
 def upsert(rows: DataFrame, path: str, batch: int) -> None:
-    """Write ``rows``, one per key, as batch ``batch`` of the store."""
+    """Write ``rows`` as batch ``batch`` of the store.
+
+    Rows must be one per key: of two in a batch either may be read."""
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch}")
 
 
@@ -39,22 +42,39 @@ def read_store(
     return latest_per_key(spark.read.parquet(path), keys, order, (*ties, *last)).drop(BATCH)
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: tuple[str, ...] = ("_id",)) -> None:
-    """Write the current rows as the first batch of a new store."""
-    upsert(read_store(spark, path, keys), target, 0)
+def compact(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    keys: tuple[str, ...] = ("_id",),
+    order: str = BATCH,
+    ties: tuple[str, ...] = (),
+) -> None:
+    """Write the current rows as the first batch of a new store.
+
+    ``order`` and ``ties`` are those the store is read with.  Reads window over all
+    batches, so a store is to be compacted when it holds some tens of them, and the
+    new path used from then on.
+    """
+    upsert(read_store(spark, path, keys, order, ties), target, 0)
 
 
-def chunked(rows: Iterator[Row], size: int = UPSERT_CHUNK) -> Iterator[list[dict]]:
-    rows = iter(rows)
+def chunked(rows: Iterator[dict], size: int = UPSERT_CHUNK) -> Iterator[list[dict]]:
     while chunk := list(islice(rows, size)):
-        yield [row.asDict() for row in chunk]
+        yield chunk
 
 
 def push_records(records: DataFrame, writer: RecordWriter, size: int = UPSERT_CHUNK) -> None:
-    """Hand records, one per ``_id``, to ``writer`` in chunks, from the executors."""
+    """Hand records, one per ``_id``, to ``writer`` in chunks, from the executors.
 
-    def push(rows: Iterator[Row]) -> None:
+    Records travel in Arrow batches; a chunk never spans two tasks."""
+
+    def push(rows: Iterator[dict]) -> None:
         for chunk in chunked(rows, size):
             writer(chunk)
 
-    records.select("_id", "embedding_text").foreachPartition(push)
+    def hand_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        push(row for batch in batches for row in batch.to_pylist())
+        yield from ()
+
+    records.select("_id", "embedding_text").mapInArrow(hand_over, "_id string").write.format("noop").mode("append").save()

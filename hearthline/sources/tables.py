@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-_MISSING = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
+# A folder without files is a table that has had no rows yet.
+_MISSING = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
 def table_path(name: str, base: str) -> str:
@@ -28,16 +29,17 @@ def find_table(spark: SparkSession, name: str, base: str | None = None) -> DataF
         raise
 
 
+MAX_BYTES = 64 << 30
+
+
 def stream_table(
-    spark: SparkSession, name: str, base: str | None = None, schema=None, max_bytes: int | None = None
+    spark: SparkSession, name: str, base: str | None = None, schema=None, max_bytes: int = MAX_BYTES
 ) -> DataFrame:
-    """The table as a stream; ``max_bytes`` bounds what one micro-batch reads."""
+    """The table as a stream; a micro-batch reads files of ``max_bytes`` at most, or one."""
+    reader = spark.readStream.option("maxBytesPerTrigger", max_bytes)
     if base is None:
-        return spark.readStream.table(name)
-    reader = spark.readStream.schema(schema or read_table(spark, name, base).schema)
-    if max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(table_path(name, base))
+        return reader.table(name)
+    return reader.schema(schema or read_table(spark, name, base).schema).parquet(table_path(name, base))
 
 
 def write_table(
@@ -59,5 +61,17 @@ def write_table(
         writer.parquet(table_path(name, base))
 
 
+def replace_parts(df: DataFrame, name: str, parts: tuple[str, ...], base: str | None = None) -> None:
+    """Write the parts of a table that ``df`` has rows of, in place of what they held."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+    if base is not None:
+        writer.parquet(table_path(name, base))
+    elif df.sparkSession.catalog.tableExists(name):
+        columns = df.sparkSession.table(name).columns
+        df.select(*[f"`{c}`" for c in columns]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    else:
+        writer.saveAsTable(name)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
