@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import queue
+import threading
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -15,10 +17,11 @@ from hearthline.functions.clock import instant
 from hearthline.functions.text import error_body
 from hearthline.model import RESPONSE_SCHEMA
 
-# (url, referer) -> (status code, body); may raise.
-Transport = Callable[[str, str], tuple[int, str]]
+# (url, referer, timeout in seconds) -> (status code, body); may raise.
+Transport = Callable[[str, str, float], tuple[int, str]]
 
 FAILED = 500
+TIMEOUT = 10.0
 _ROWS_PER_FRAME = 64  # bodies are large: few of them are held at a time
 
 
@@ -28,19 +31,25 @@ def fetch_responses(
     as_of: datetime | None = None,
     tasks: int | None = None,
     threads: int = 1,
+    timeout: float = TIMEOUT,
 ) -> DataFrame:
     """Call ``transport`` once per row, in the executors.
 
     ``urls`` has ``zip, api_url, refereral_url``.  A call that raises gives
-    status 500 and its message as JSON; other statuses are kept as they come.
-    ``tasks`` spreads a short list of URLs, ``threads`` overlaps the waiting
-    within a task.  A lost task fetches its rows again, as any retry does.
+    status 500 and its message as JSON; other statuses are kept as they come.  So
+    does one that is not back after ``timeout`` seconds, whatever it does with the
+    timeout it is given: it costs its own row and a thread, not the task.
+
+    URLs are dealt out to ``tasks`` tasks, two per core unless said otherwise: a row
+    is small and its call is slow, so a scan would put far too many in one task.
+    ``threads`` overlaps the waiting within a task.  A lost task fetches its rows
+    again, as any retry does.
     """
 
     def call(row: tuple) -> tuple:
         area, url, referer = row
         try:
-            status, text = transport(url, referer)
+            status, text = _in_time(lambda: transport(url, referer, timeout), timeout)
         except Exception as error:  # a failed request is a result, not a failed job
             status, text = FAILED, json.dumps({"error": str(error)})
         now = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
@@ -57,13 +66,34 @@ def fetch_responses(
                     yield pd.DataFrame(list(done), columns=names)
 
     wanted = urls.select(F.col("zip").cast("string"), "api_url", "refereral_url")
-    if tasks:
-        wanted = wanted.repartition(tasks)
-    return wanted.mapInPandas(run, RESPONSE_SCHEMA)
+    tasks = tasks or 2 * urls.sparkSession.sparkContext.defaultParallelism
+    return wanted.repartition(tasks).mapInPandas(run, RESPONSE_SCHEMA)
+
+
+def _in_time(call: Callable, seconds: float):
+    """The result of ``call``, or a TimeoutError; a call that hangs is left behind."""
+    done: queue.SimpleQueue = queue.SimpleQueue()
+
+    def run() -> None:
+        try:
+            done.put((call(), None))
+        except Exception as error:
+            done.put((None, error))
+
+    threading.Thread(target=run, daemon=True).start()
+    try:
+        result, error = done.get(timeout=seconds)
+    except queue.Empty:
+        raise TimeoutError(f"no response in {seconds:g} s") from None
+    if error is not None:
+        raise error
+    return result
 
 
 def captured_responses(urls: DataFrame, captures: DataFrame, as_of: datetime) -> DataFrame:
-    """The same rows from a table of captured bodies (``url, body``), one per url.
+    """The same rows from a table of captured bodies (``url, body``).
+
+    ``captures`` must have one row per url: every further one gives one more response.
 
     A plain outer join: Spark broadcasts the captures if they are small, and
     splits a hot url's partition if they are not.

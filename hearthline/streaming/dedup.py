@@ -3,30 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from hearthline.operators.dedup import latest_per_key
-from hearthline.sources.store import read_store, upsert
-from hearthline.sources.tables import table_path
+from hearthline.sources.store import BATCH, read_store, upsert
+from hearthline.sources.tables import find_table, table_path
 
-SALTS = 8
+def run_first_arrival(stream: DataFrame, name: str, base: str, keys: Sequence[str]) -> DataFrame:
+    """Keep the first row of every key ever seen, in the table ``base/name``.
 
-
-def first_arrival(stream: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """Keep the first row of every key ever seen; the state grows with the keys.
-
-    A stream has no combining before the shuffle, so a hot key would go to one
-    task whole.  With ``salts`` it is first cut down by (key, salt), then by
-    key: the second step sees at most ``salts`` rows of a key per run of the
-    stream.  Rows of one input partition share a salt.
+    There is no stream state: a micro-batch is a batch, cut to one row per key
+    before its shuffle, so a hot key sends one row per task.  Of those rows only
+    keys not in the table yet are added, as one part named by the batch, which a
+    batch that is run again replaces.  Which row of a micro-batch is kept is open.
     """
-    if salts > 1:
-        stream = stream.withColumn("_salt", F.spark_partition_id() % salts)
-        stream = stream.dropDuplicates([*keys, "_salt"]).drop("_salt")
-    return stream.dropDuplicates(list(keys))
+    spark, path = stream.sparkSession, table_path(name, base)
+    schema = StructType([*stream.schema, StructField(BATCH, LongType())])
+
+    def add(rows: DataFrame, batch: int) -> None:
+        known = rows.sparkSession.read.schema(schema).parquet(path) if find_table(rows.sparkSession, name, base) else None
+        rows = rows.dropDuplicates(list(keys))
+        if known is not None:
+            same = [rows[key].eqNullSafe(known[key]) for key in keys]
+            rows = rows.join(known.where(F.col(BATCH) != batch), reduce(and_, same), "left_anti")
+        upsert(rows, path, batch)
+
+    (
+        stream.writeStream.queryName(name)
+        .foreachBatch(add)
+        .option("checkpointLocation", table_path(f"_checkpoints/{name}", base))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    if find_table(spark, name, base) is None:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(schema).parquet(path).drop(BATCH)
 
 
 def first_arrival_within(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
