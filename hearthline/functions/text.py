@@ -27,8 +27,8 @@ def cut_prefix(raw: Column, length: int = BODY_PREFIX_LENGTH) -> Column:
 def object_text(text: Column) -> Column:
     """The text if it opens and closes a brace, else null.
 
-    Throws out error bodies, arrays and trailing text before any JSON is read;
-    blanks around the text must be gone.
+    Throws out error bodies and arrays before any JSON is read; blanks around the
+    text must be gone.
     """
     return F.when(text.startswith("{") & text.endswith("}"), text)
 

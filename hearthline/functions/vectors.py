@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VECTOR_SIZE = 256
+ROWS = 1024  # counted at a time
 
 # A batch of texts in, one list of floats per text out.
 VectorModel = Callable[[pd.Series], pd.Series]
@@ -27,19 +29,23 @@ def token_slots(text: Column, size: int = VECTOR_SIZE) -> Column:
 def slot_vector(slots: Column, size: int = VECTOR_SIZE) -> Column:
     """Slots counted into one vector of length 1 (all zeros without any slot)."""
 
-    def count(batch: pd.Series) -> pd.Series:
-        def dense(row):
-            if row is None:
-                return None
-            counts = np.bincount(np.asarray(row, dtype=np.int64), minlength=size).astype(np.float64)
-            norm = np.sqrt(np.dot(counts, counts))
-            return (counts / norm if norm else counts).astype(np.float32)
+    def count(batch: pa.Array) -> pa.Array:
+        parts = [dense(batch.slice(start, ROWS)) for start in range(0, max(1, len(batch)), ROWS)]
+        return pa.concat_arrays(parts)
 
-        return batch.map(dense)
+    def dense(rows: pa.Array) -> pa.Array:
+        lengths = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(rows)), lengths)
+        counts = np.bincount(row * size + rows.flatten().to_numpy(zero_copy_only=False), minlength=len(rows) * size)
+        counts = counts.reshape(len(rows), size).astype(np.float64)
+        norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        unit = (counts / np.where(norms == 0, 1, norms)).astype(np.float32)
+        offsets = pa.array(np.arange(len(rows) + 1) * size, pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()), mask=rows.is_null())
 
     # Spark copies a deterministic call into the filters it infers, e.g. for an
     # explode of the vector, and would then run it twice.
-    return F.pandas_udf(count, "array<float>").asNondeterministic()(slots)
+    return F.arrow_udf(count, "array<float>").asNondeterministic()(slots)
 
 
 def text_vector(text: Column, model: VectorModel | None = None, size: int = VECTOR_SIZE) -> Column:

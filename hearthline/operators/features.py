@@ -32,6 +32,11 @@ def top_features(listings: DataFrame, model: TextModel | None = None) -> DataFra
     Without a model the first four phrases of the remarks are taken.  That rule
     is a stand-in, not a language model.
     """
+    return with_features(listings, model).select("propertyId", "listingRemarks", "top_features")
+
+
+def with_features(listings: DataFrame, model: TextModel | None = None) -> DataFrame:
+    """Listings with their ``top_features`` as one more column."""
     remarks = F.col("listingRemarks")
     answer = leading_phrases(remarks) if model is None else ask_model(feature_prompt(remarks), model)
-    return listings.select("propertyId", "listingRemarks", answer.alias("top_features"))
+    return listings.withColumn("top_features", answer)

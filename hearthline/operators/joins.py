@@ -5,59 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# 200,000 rows of a short text and four numbers are some 20 MB.
-BROADCAST_ROWS = 200_000
-ROWS_PER_PART = 5_000_000
-
-
-def rows_at_most(df: DataFrame, n: int) -> bool:
-    """Whether ``df`` has at most ``n`` rows; reads no more than ``n + 1``."""
-    return df.limit(n + 1).count() <= n
-
-
-def split_join(
-    facts: DataFrame, lookup: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART
-) -> DataFrame:
-    """Inner join in which every key with many facts is split into parts.
-
-    Keys are counted first (combined before the shuffle).  A key with more than
-    ``rows_per_part`` facts gets one part per that many; its lookup rows are
-    copied once per part, all others stay single.  At most
-    ``rows(facts) / rows_per_part`` keys can be that hot, which bounds what is
-    broadcast.  The part of a fact hangs on its values and its input partition:
-    copies of one row are spread too, and a task that is run again gives the
-    same parts.
-    """
-    hot = (
-        facts.groupBy(key)
-        .count()
-        .where(F.col("count") > rows_per_part)
-        .select(key, F.ceil(F.col("count") / rows_per_part).cast("int").alias("_parts"))
-    )
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(facts)), F.col("_parts"))
-    facts = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "_part", F.when(F.col("_parts").isNull(), 0).otherwise(spread).cast("int")
-    )
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    lookup = lookup.join(F.broadcast(hot), key, "left").withColumn("_part", F.explode(copies))
-    return facts.drop("_parts").join(lookup.drop("_parts"), [key, "_part"]).drop("_part")
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    simple = ("string", "int", "bigint", "double", "boolean", "date", "timestamp", "timestamp_ntz")
-    return [f"`{name}`" for name, kind in df.dtypes if kind in simple]
-
-
-def join_location(
-    listings: DataFrame, locations: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def join_location(listings: DataFrame, locations: DataFrame) -> DataFrame:
     """Listings with their zip's position, population and density (inner).
 
-    The lookup is broadcast only once it is known to be small; then listings are
-    not shuffled and no zip can be too hot.  A larger one is joined by shuffle,
-    with hot zips split.  Of the two only the broadcast leaves a stream's rows
-    in place; a stream with a large lookup gets the plain shuffle join, whose
-    size the micro-batch bounds.
+    Spark broadcasts the lookup if its size is below the session's threshold, and
+    then listings are not shuffled; if it is not, adaptive execution splits the
+    partitions of busy zips.
     """
     stats = locations.select(
         "zip",
@@ -66,11 +19,7 @@ def join_location(
         F.col("population").alias("zip_population"),
         F.col("density").alias("zip_density"),
     )
-    if rows_at_most(stats, broadcast_rows):
-        return listings.join(F.broadcast(stats), "zip")
-    if listings.isStreaming:
-        return listings.join(stats, "zip")
-    return split_join(listings, stats, "zip")
+    return listings.join(stats, "zip")
 
 
 def join_features(listings: DataFrame, features: DataFrame) -> DataFrame:

@@ -3,19 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.functions.text import fill_template, template_columns
 from hearthline.functions.vectors import VECTOR_SIZE, VectorModel, text_vector
-from hearthline.operators.joins import rows_at_most
 
-# Bounds what is shipped, and the scores a task holds: this many per Arrow row.
-QUERIES_PER_PASS = 1024
+BLOCK = 1024  # vectors packed together; two blocks make a million scores
 
 
 def embedding_texts(listings: DataFrame) -> DataFrame:
@@ -36,67 +33,56 @@ def vectorize(
     return records.withColumn("vector", text_vector(F.col(text), model, size))
 
 
-def cosine_topk(
-    corpus: DataFrame, queries: DataFrame, k: int, queries_per_pass: int = QUERIES_PER_PASS
-) -> DataFrame:
+def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """The ``k`` corpus vectors closest to each query vector, exactly.
 
-    Both sides are ``id bigint, vector array<float>``; result ``query_id, rank,
-    id, score``, ties to the lower id.  Queries of one pass are shipped to the
-    tasks as one matrix, of a size checked here; every task keeps ``k`` rows per
-    query, and only those are shuffled.  More queries take more passes.
+    Both sides are ``id bigint, vector array<float>``, all of one length; result
+    ``query_id, rank, id, score``, ties to the lower id.  Null vectors are not
+    compared.
+
+    Each side is packed into blocks of at most ``block`` rows, one row each.  Every
+    block of the corpus meets every block of queries once, as one matrix product,
+    and only its ``k`` best per query go on; the ``k`` best of those are found per
+    task before anything is shuffled.  It is one job, nothing passes through the
+    driver, and whether the packed queries are small enough to broadcast is left
+    to Spark's size check.
     """
-    if rows_at_most(queries, queries_per_pass):
-        return _topk_pass(corpus, queries, k)
-    # Passes of half the size on average: the hash does not fill them evenly.
-    passes = 2 * queries.count() // queries_per_pass + 1
-    block = F.pmod(F.xxhash64("id"), F.lit(passes))
-    parts = (_topk_pass(corpus, queries.where(block == number), k) for number in range(passes))
-    return reduce(DataFrame.unionAll, parts)
-
-
-def _topk_pass(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    asked = queries.select("id", "vector").toPandas()
-    query_ids = asked["id"].to_numpy(dtype=np.int64)
-    matrix = _unit_rows(asked["vector"])
-    shipped = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix))
-
-    def best(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(ids) > k:
-            bound = np.partition(scores, len(scores) - k)[len(scores) - k]
-            near = scores >= bound
-            ids, scores = ids[near], scores[near]
-        order = np.lexsort((ids, -scores))[:k]
-        return ids[order], scores[order]
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted, units = shipped.value
-        kept = [(np.empty(0, np.int64), np.empty(0))] * len(wanted)
-        bounds = np.full(len(wanted), -np.inf)  # the k-th best score so far
-        for frame in frames:
-            if len(frame) == 0 or len(wanted) == 0:
-                continue
-            ids = frame["id"].to_numpy(dtype=np.int64)
-            scores = units @ _unit_rows(frame["vector"]).T
-            for row in np.flatnonzero(scores.max(axis=1) >= bounds):
-                near = scores[row] >= bounds[row]
-                old_ids, old_scores = kept[row]
-                kept[row] = best(np.append(old_ids, ids[near]), np.append(old_scores, scores[row][near]))
-                if len(kept[row][1]) == k:
-                    bounds[row] = kept[row][1][-1]
-        for query, (ids, scores) in zip(wanted, kept):
-            if len(ids):
-                yield pd.DataFrame({"query_id": query, "id": ids, "score": scores})
-
-    found = corpus.select("id", "vector").mapInPandas(search, "query_id bigint, id bigint, score double")
+    rows = _packed(corpus, block).toDF("ids", "units")
+    asked = _packed(queries, block).toDF("query_ids", "query_units")
+    found = rows.crossJoin(asked).mapInArrow(_best_of_blocks(k), "query_id bigint, id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", "score")
 
 
-def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    if len(vectors) == 0:
-        return np.empty((0, 0))
-    rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-    return rows / np.where(norms == 0, 1, norms)
+def _packed(vectors: DataFrame, block: int) -> DataFrame:
+    """Blocks of rows as one row: their ids, and their vectors at length 1, as bytes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, block):
+                part = batch.slice(start, block)
+                units = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, -1)
+                norms = np.sqrt((units * units).sum(axis=1, keepdims=True))
+                units = units / np.where(norms == 0, 1, norms)
+                ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                arrays = [pa.array([ids.tobytes()], pa.binary()), pa.array([units.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["ids", "units"])
+
+    there = vectors.where("id IS NOT NULL AND vector IS NOT NULL").select("id", "vector")
+    return there.mapInArrow(pack, "ids binary, units binary")
+
+
+def _best_of_blocks(k: int):
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, units, query_ids, query_units in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                ids, asked = np.frombuffer(ids, np.int64), np.frombuffer(query_ids, np.int64)
+                scores = np.frombuffer(query_units).reshape(len(asked), -1) @ np.frombuffer(units).reshape(len(ids), -1).T
+                order = np.argsort(ids, kind="stable")  # equal scores go to the lower id
+                ids, scores = ids[order], scores[:, order]
+                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                columns = (np.repeat(asked, best.shape[1]), ids[best].ravel(), np.take_along_axis(scores, best, 1).ravel())
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "id", "score"])
+
+    return search

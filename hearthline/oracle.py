@@ -5,8 +5,6 @@ None of it goes through JSON, vectors or streams: it states what should come out
 
 from __future__ import annotations
 
-from hearthline.model import FEATURE_PROMPT
-from hearthline.plans.views import VIEW_COLUMNS
 
 _ZIP = "lpad(cast({0} AS varchar), 9, '0')"
 
@@ -143,7 +141,18 @@ FROM parsed WHERE try_cast(zip AS double) IS NOT NULL"""
 
 _FEATURES = f"SELECT doc_id AS \"propertyId\", {_phrases('text')} AS top_features FROM documents"
 
-_PROMPT = FEATURE_PROMPT.replace("'", "''")
+# Fixed values, stated here once more so that the SQL does not follow the code.
+_PROMPT = (
+    "Extract the top 4 key features from the home description below as a comma-separated list. "
+    "Example:\n"
+    "Input: Very nice home with Spacious floor plan, Multiple living areas, Desirable location, "
+    "Fenced and gated property. "
+    "Output should be: Spacious floor plan, Multiple living areas, Desirable location, "
+    "Fenced and gated property\n"
+)
+_VIEW = """house_mls, mls_status, house_price, hoa, sqft, price_per_sqft, lot_size, beds, baths, fullbaths,
+  "partialBaths", location, stories, latitude, longitude, "streetLine", city, state, zip, "propertyId", "yearBuilt",
+  age, url, "isHot", "hasVirtualTour", "hasVideoTour", "has3DTour", "isNewConstruction", "listingRemarks\""""
 
 ORACLE: dict[str, str] = {
     "url_build": f"WITH {_AREAS} SELECT {_URL_COLUMNS} FROM areas",
@@ -180,13 +189,18 @@ FROM listed WHERE try_cast(zip AS double) IS NOT NULL""",
     "clean_defaults": _REFERENCE,
     "latest_per_key": _one_item("DESC"),
     "first_per_key": _one_item("ASC"),
-    "any_per_key": "SELECT DISTINCT l_partkey FROM lineitem",
-    "latest_view": f"WITH {_LATEST} SELECT {', '.join(f'{chr(34)}{c}{chr(34)}' for c in VIEW_COLUMNS)} FROM latest",
+    "any_per_key": """SELECT count(DISTINCT l_partkey) AS kept, count(DISTINCT l_partkey) AS keys,
+  count(DISTINCT l_partkey) AS found FROM lineitem""",
+    "latest_found_twice": f"""WITH {_LATEST}
+SELECT "propertyId", house_mls, '9' || substr(search_zipcode, 2) AS search_zipcode, ingestion_timestamp FROM latest""",
+    "store_compact": _one_item("DESC"),
+    "push_chunks": """SELECT count(*) AS records, cast(sum(length(text)) AS bigint) AS chars, cast(0 AS bigint) AS too_large
+FROM documents""",
+    "sample_random": f"""WITH {_AREAS}, sample AS (SELECT least(100, count(*)) AS n FROM areas WHERE population IS NOT NULL)
+SELECT n AS areas, n AS different, n AS populated FROM sample""",
+    "latest_view": f"WITH {_LATEST} SELECT {_VIEW} FROM latest",
     "join_location": f"""WITH {_LOCATED}
 SELECT zip, "propertyId", house_mls, house_price, zip_lat, zip_lng, zip_population, zip_density FROM located""",
-    "join_location_split": f"""WITH {_LOCATIONS}
-SELECT zip, l_orderkey, l_linenumber, l_partkey, l_extendedprice, state_id, population
-FROM lineitem JOIN locations ON {_ZIP.format("l_suppkey")} = zip""",
     "located_view": f"""WITH {_LOCATED}
 SELECT "propertyId", zip, house_price, age, zip_lat, zip_population FROM located""",
     "join_features": f"""WITH {_LATEST}, found AS ({_FEATURES})
@@ -215,14 +229,14 @@ FROM events GROUP BY 1, 2, 3""",
     "count_by_time": "SELECT l_shipdate AS ingested, count(*) AS total FROM lineitem GROUP BY 1",
     "distinct_limit": f"WITH {_PARSED} SELECT DISTINCT zip FROM parsed ORDER BY zip LIMIT 10",
     "select_new": """SELECT event_id AS "propertyId", user_id AS area, event_type AS top_features
-FROM events WHERE ts > TIMESTAMP '2024-01-14 06:30:00'""",
+FROM events WHERE ts >= TIMESTAMP '2024-01-14 06:30:00'""",
     "select_new_first_run": """SELECT event_id AS "propertyId", user_id AS area, event_type AS top_features
-FROM events WHERE ts > TIMESTAMP '2024-01-08 00:00:00'""",
+FROM events WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-28 09:00:00'""",
     "top_features": _FEATURES,
     "stream_features": _FEATURES,
     "feature_prompts": f"SELECT doc_id AS \"propertyId\", '{_PROMPT}' || text AS prompt FROM documents",
     "model_features": f"""SELECT doc_id AS "propertyId",
-  CASE WHEN text IS NOT NULL THEN 'chars ' || ({len(FEATURE_PROMPT)} + length(text)) END AS top_features
+  CASE WHEN text IS NOT NULL THEN 'chars ' || ({len(_PROMPT)} + length(text)) END AS top_features
 FROM documents""",
     "embedding_text": f'WITH {_TEXTS} SELECT "propertyId", embedding_text FROM texts',
     "vector_records": f'WITH {_TEXTS} SELECT cast("propertyId" AS varchar) AS id, embedding_text FROM texts',
@@ -238,7 +252,7 @@ SELECT doc_id, slot, round(cast(cast(n / norm AS real) AS double), 5) AS value F
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "vector_job": f"""WITH {_TEXTS}
 SELECT 256 AS size, count(*) AS records, count(DISTINCT "propertyId") AS ids, cast(sum(length(embedding_text)) AS bigint) AS chars,
-  2 AS pushes, cast(max(ingestion_timestamp) AS date) AS last_day FROM texts""",
+  2 AS pushes, DATE '2026-01-31' AS last_day FROM texts""",
     "cosine_topk": """WITH asked AS (
   SELECT min(vec_id) AS query_id, arg_min(embedding, vec_id) AS wanted FROM embeddings GROUP BY label),
 scored AS (

@@ -10,13 +10,15 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline import testframes as tf
 from hearthline.functions.text import feature_prompt, is_number, json_map
-from hearthline.model import CONTROL_SCHEMA, EXACT_HOMES, LISTING_COLUMNS, NEARBY_HOMES_OLD
+from hearthline.model import CONTROL_SCHEMA, EXACT_HOMES, LISTING_COLUMNS, NEARBY_HOMES_OLD, UPSERT_CHUNK
 from hearthline.operators import clean, dedup, features, increment, joins, profile, urls, vectors
 from hearthline.operators.parse import parse_listings
 from hearthline.plans import batch, chain, views
@@ -24,9 +26,9 @@ from hearthline.plans.vector_job import push_new
 from hearthline.session import run_folder
 from hearthline.sources.areas import export_area_batch, read_area_batches, stream_area_batches
 from hearthline.sources.responses import captured_responses, fetch_responses
-from hearthline.sources.store import read_store, upsert
+from hearthline.sources.store import compact, push_records, read_store, upsert
 from hearthline.sources.tables import read_table, stream_table, write_table
-from hearthline.streaming.dedup import first_arrival, first_arrival_within, read_latest, start_latest
+from hearthline.streaming.dedup import first_arrival_within, read_latest, run_first_arrival, start_latest
 from hearthline.streaming.stages import run_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +82,14 @@ def url_build(spark, sf_dir):
 
 @query
 def sample_random(spark, sf_dir):
-    return urls.sample_areas(tf.areas(spark, sf_dir), SAMPLE, seed=7)
+    """Which areas is open: how many, how many different ones, and that all are
+    populated areas of the table."""
+    areas = tf.areas(spark, sf_dir)
+    sample = urls.sample_areas(areas, SAMPLE, seed=7)
+    known = areas.where("population IS NOT NULL").select("zip", F.lit(1).alias("known"))
+    return sample.join(known, "zip", "left").agg(
+        F.count(F.lit(1)).alias("areas"), F.count_distinct("zip").alias("different"), F.count("known").alias("populated")
+    )
 
 
 @query
@@ -120,7 +129,7 @@ def area_copy(spark, sf_dir):
 # -- responses ----------------------------------------------------------------
 
 
-def _transport(url: str, referer: str) -> tuple[int, str]:
+def _transport(url: str, referer: str, timeout: float) -> tuple[int, str]:
     """Answers with the request itself; some areas fail, some are refused."""
     area = url.rsplit("=", 1)[1]
     if area.endswith("3"):
@@ -218,6 +227,48 @@ def latest_per_key(spark, sf_dir):
     ).select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
 
 
+@query
+def latest_found_twice(spark, sf_dir):
+    """Every home found at one instant by two searches: the higher zip's row stays."""
+    raw = tf.responses(spark, sf_dir)
+    again = raw.withColumn("zipcode", F.concat(F.lit("9"), F.substring("zipcode", 2, 8)))
+    latest = chain.latest_listings(raw.unionByName(again), AS_OF, columns=chain.NEEDED)
+    return latest.select("propertyId", "house_mls", "search_zipcode", "ingestion_timestamp").withColumn(
+        "ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz")
+    )
+
+
+@query
+def store_compact(spark, sf_dir):
+    """A store whose newest row is decided by time, batches out of order, compacted."""
+    path = run_folder(spark, "store")
+    items = _items(spark, sf_dir).select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    ties = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    for number, line in enumerate((7, 1, 6, 2, 5, 3, 4)):
+        rows = items.where(F.col("l_linenumber") == line)
+        upsert(dedup.latest_per_key(rows, ["l_partkey"], "l_shipdate", ties), path, number)
+    compact(spark, path, f"{path}-packed", ("l_partkey",), "l_shipdate", ties)
+    return read_store(spark, f"{path}-packed", ("l_partkey",), "l_shipdate", ties)
+
+
+@query
+def push_chunks(spark, sf_dir):
+    """Records handed to a writer: how many, and how many chunks were too large."""
+    texts = tf.remarks(spark, sf_dir).select(
+        F.col("propertyId").cast("string").alias("_id"), F.col("listingRemarks").alias("embedding_text")
+    )
+    context = spark.sparkContext
+    records, chars, over = (context.accumulator(0) for _ in range(3))
+
+    def write(chunk):
+        records.add(len(chunk))
+        chars.add(sum(len(row["embedding_text"] or "") for row in chunk))
+        over.add(int(len(chunk) > UPSERT_CHUNK))
+
+    push_records(texts, write)
+    return spark.createDataFrame([(records.value, chars.value, over.value)], "records long, chars long, too_large long")
+
+
 @query
 def first_per_key(spark, sf_dir):
     return dedup.first_per_key(
@@ -227,8 +278,13 @@ def first_per_key(spark, sf_dir):
 
 @query
 def any_per_key(spark, sf_dir):
-    """Which row is kept is open, so only its key is shown."""
-    return dedup.any_per_key(_items(spark, sf_dir), ["l_partkey"]).select("l_partkey")
+    """Which row is kept is open: kept rows, keys, and kept rows that are in the table whole."""
+    items = _items(spark, sf_dir)
+    kept = dedup.any_per_key(items, ["l_partkey"])
+    same = [kept[name].eqNullSafe(items[name]) for name in items.columns]
+    found = kept.join(items, reduce(and_, same), "left_semi")
+    counts = kept.agg(F.count(F.lit(1)).alias("kept"), F.count_distinct("l_partkey").alias("keys"))
+    return counts.crossJoin(found.agg(F.count(F.lit(1)).alias("found")))
 
 
 @query
@@ -248,16 +304,6 @@ def join_location(spark, sf_dir):
     )
 
 
-@query
-def join_location_split(spark, sf_dir):
-    """The join for large lookups, over all line items, busy zips split."""
-    items = _items(spark, sf_dir).select(
-        tf.zip_text(F.col("l_suppkey")).alias("zip"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"
-    )
-    lookup = tf.locations(spark, sf_dir).select("zip", "state_id", "population")
-    return joins.split_join(items, lookup, "zip", rows_per_part=300)
-
-
 @query
 def located_view(spark, sf_dir):
     """The SQL views, one over the other, through their names."""
@@ -404,15 +450,19 @@ def select_new_first_run(spark, sf_dir):
 
 @query
 def watermark_parse(spark, sf_dir):
-    """Two parse runs: older responses, then what has come in since."""
+    """Three parse runs: older responses, what has come in since, nothing.
+
+    The first run ends at an instant that responses of both writes have."""
     base = run_folder(spark, "parse")
     raw = tf.responses(spark, sf_dir)
-    split = F.to_timestamp(F.lit("1998-06-01 00:00:00"))
-    write_table(raw.where(F.col("ingestion_timestamp") <= split), "raw_data", base)
-    batch.parse_new(spark, "raw_data", "parsed_data", base=base)
-    write_table(raw.where(F.col("ingestion_timestamp") > split), "raw_data", base)
-    batch.parse_new(spark, "raw_data", "parsed_data", base=base)
-    batch.parse_new(spark, "raw_data", "parsed_data", base=base)
+    split = datetime(1998, 6, 1)
+    at, late = F.col("ingestion_timestamp"), F.col("source_url").endswith("7")
+    days = ("processed_date",)
+    write_table(raw.where((at < split) | ((at == split) & ~late)), "raw_data", base, partition_by=days)
+    batch.parse_new(spark, "raw_data", "parsed_data", as_of=split, base=base)
+    write_table(raw.where((at > split) | ((at == split) & late)), "raw_data", base, partition_by=days)
+    batch.parse_new(spark, "raw_data", "parsed_data", as_of=AS_OF, base=base)
+    batch.parse_new(spark, "raw_data", "parsed_data", as_of=AS_OF, base=base)
     return _brief(read_table(spark, "parsed_data", base))
 
 
@@ -451,9 +501,9 @@ def _plain_density(located: DataFrame) -> DataFrame:
 
 
 def _texts(spark, sf_dir):
-    latest = _held(spark, _latest(spark, sf_dir), "reference")
-    located = _plain_density(joins.join_location(latest, tf.locations(spark, sf_dir)))
-    return vectors.embedding_texts(joins.join_features(located, features.top_features(latest)))
+    """Features as a column of the listing they come from: no join, one parse."""
+    latest = features.with_features(_latest(spark, sf_dir))
+    return vectors.embedding_texts(_plain_density(joins.join_location(latest, tf.locations(spark, sf_dir))))
 
 
 @query
@@ -491,16 +541,19 @@ def upsert_replay(spark, sf_dir):
 
 @query
 def vector_job(spark, sf_dir):
-    """The job run three times over growing input; what store and control hold then."""
+    """The job run three times over growing input, features late; what store and
+    control hold then."""
     base = run_folder(spark, "vectors")
     latest = _held(spark, _latest(spark, sf_dir), "reference")
     write_table(_plain_density(joins.join_location(latest, tf.locations(spark, sf_dir))), "located", base)
     write_table(features.top_features(latest), "features", base)
     listings, found = read_table(spark, "located", base), read_table(spark, "features", base)
     store = f"{base}/store"
-    early = listings.where(F.col("ingestion_timestamp") <= F.to_timestamp(F.lit("2001-06-01 00:00:00")))
-    for rows in (early, listings, listings):
-        push_new(spark, rows, found, "control", store, AS_OF, days_back=20_000, base=base)
+    middle = datetime(2001, 6, 1)
+    early = listings.where(F.col("ingestion_timestamp") < F.lit(middle))
+    some = found.where("propertyId % 7 <> 0")  # the features of the others are late
+    for rows, known, at in ((early, some, middle), (listings, found, AS_OF), (listings, found, AS_OF)):
+        push_new(spark, rows, known, "control", store, at, days_back=20_000, base=base)
     pushes = read_table(spark, "control", base).select(
         "batch_id", F.col("last_processed_ts").cast("date").alias("last_day")
     )
@@ -528,12 +581,9 @@ def cosine_topk(spark, sf_dir):
 
 
 def _stream(spark, sf_dir, name):
-    """A test table as a stream, dealt out to all cores like its batch form; the
-    braces make its path a pattern, which may name a file as well as a folder."""
-    whole = tf.table(spark, sf_dir, name)
-    stream = stream_table(spark, f"{{{name}.parquet}}", sf_dir, whole.schema)
-    cores = spark.sparkContext.defaultParallelism
-    return stream.repartition(cores) if whole.rdd.getNumPartitions() < cores else stream
+    """A test table as a stream; the braces make its path a pattern, which may name a
+    file as well as a folder."""
+    return stream_table(spark, f"{{{name}.parquet}}", sf_dir, tf.table(spark, sf_dir, name).schema)
 
 
 def _parsed_stream(spark, sf_dir, columns):
@@ -569,7 +619,7 @@ def stream_parse(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """First arrival per property; which one that is, is open within a batch."""
     rows = clean.reference_rows(_parsed_stream(spark, sf_dir, chain.NEEDED), TODAY)
-    done = run_stage(first_arrival(rows, ["propertyId"]), "reference", run_folder(spark, "stream"))
+    done = run_first_arrival(rows, "reference", run_folder(spark, "stream"), ["propertyId"])
     return done.groupBy("propertyId").agg(F.count(F.lit(1)).alias("kept"))
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.functions.text import error_body
-from hearthline.session import spread
 
 PREFIX = "{}&&"
 
@@ -20,8 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items, dealt out to all cores where the table is one small file."""
-    return spread(table(spark, sf_dir, "lineitem"))
+    return table(spark, sf_dir, "lineitem")
 
 
 def zip_text(key: Column) -> Column:
@@ -159,6 +157,6 @@ def dirty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def remarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long free text as listing remarks, one listing per document."""
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("propertyId"), F.col("text").alias("listingRemarks")
     )

@@ -6,14 +6,17 @@ import pytest
 
 import __spark_entry__ as registered
 import check
+from hearthline import registry
+from hearthline.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
-def test_only_sampling_has_no_sql():
-    assert set(registered.queries()) - set(registered.oracle_sql()) == {"sample_random"}
+def test_every_query_has_its_sql():
+    assert set(registry.QUERIES) == set(ORACLE)
+    assert set(registry.QUERIES) <= set(registered.queries())
     assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
@@ -21,7 +24,7 @@ def test_entry(spark):
     assert registered.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, name):
     outcome = check.compare(spark, SF_DIR, name)
     assert not outcome.startswith("FAILED"), outcome

@@ -2,11 +2,14 @@
 
 import json
 import os
+import shutil
 import sys
+import threading
 from datetime import datetime
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -105,10 +108,11 @@ def test_shared_folder_is_the_named_one():
     assert session.shared_folder(local) == session.shared_folder(local)
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    assert session.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 16)
-    assert session.spread(many) is many
+def test_dropped_folders_are_gone(spark):
+    folder = session.run_folder(spark, "gone")
+    spark.range(3).write.parquet(folder)
+    session.drop_folder(spark, folder)
+    assert not os.path.exists(folder)
 
 
 # -- stores
@@ -116,10 +120,7 @@ def test_spread_leaves_large_tables_alone(spark):
 
 @pytest.mark.parametrize("n,sizes", [(0, []), (1, [1]), (100, [100]), (101, [100, 1]), (250, [100, 100, 50])])
 def test_chunks(n, sizes):
-    class Record(dict):
-        asDict = dict
-
-    assert [len(c) for c in store.chunked(iter([Record(i=i) for i in range(n)]))] == sizes
+    assert [len(c) for c in store.chunked(iter([{"i": i} for i in range(n)]))] == sizes
 
 
 def test_push_hands_over_every_record_once(spark):
@@ -150,6 +151,15 @@ def test_upsert_replay_and_compact(spark, folder):
     assert sorted(store.read_store(spark, f"{folder}/packed").collect()) == once
 
 
+def test_compact_keeps_the_newest_by_time(spark, folder):
+    path = f"{folder}/store"
+    for number, (day, price) in enumerate([(3, 30), (1, 10)]):
+        store.upsert(spark.createDataFrame([("a", day, price)], "_id string, day int, price int"), path, number)
+    assert store.read_store(spark, path, order="day").first().price == 30
+    store.compact(spark, path, f"{folder}/packed", order="day")
+    assert [r.price for r in store.read_store(spark, f"{folder}/packed", order="day").collect()] == [30]
+
+
 def _listings(spark, rows):
     names = [n for n in vectors.template_columns() if n != "top_features"]
     return spark.createDataFrame(rows, "propertyId long, ingestion_timestamp timestamp").select(
@@ -157,18 +167,53 @@ def _listings(spark, rows):
     )
 
 
+def _control(spark, folder):
+    rows = sorted(increment.read_control(spark, "control", folder).collect())
+    return [(r.last_processed_ts, r.last_pushed_ts, r.batch_id) for r in rows]
+
+
 def test_vector_job(spark, folder):
     found = spark.range(10).select(F.col("id").alias("propertyId"), F.lit("f").alias("top_features"))
     day = [datetime(2026, 1, d) for d in range(1, 31)]
     one = _listings(spark, [(i, day[20 + i]) for i in range(3)])
     path = f"{folder}/store"
-    assert push_new(spark, one, found, "control", path, AS_OF, base=folder) == 3
-    assert push_new(spark, one, found, "control", path, AS_OF, base=folder) == 0
-    two = one.union(_listings(spark, [(7, day[28]), (1, day[27]), (99, day[29])]))
+    assert push_new(spark, one, found, "control", path, day[24], base=folder) == 3
+    assert push_new(spark, one, found, "control", path, day[24], base=folder) == 0
+    two = one.union(_listings(spark, [(7, day[28]), (1, day[27])]))
     assert push_new(spark, two, found, "control", path, AS_OF, base=folder) == 2
     assert {r._id for r in store.read_store(spark, path).collect()} == {"0", "1", "2", "7"}
-    control = sorted(increment.read_control(spark, "control", folder).collect())
-    assert [(r.last_processed_ts, r.last_pushed_ts, r.batch_id) for r in control] == [(day[22], AS_OF, 1), (day[28], AS_OF, 2)]
+    assert _control(spark, folder) == [(day[24], day[24], 1), (AS_OF, AS_OF, 2)]
+
+
+def test_late_features_are_not_lost(spark, folder):
+    day = [datetime(2026, 1, d) for d in range(1, 31)]
+    rows = _listings(spark, [(1, day[20]), (2, day[25]), (3, day[18])])
+    found = spark.createDataFrame([(2, "f"), (3, "f")], "propertyId long, top_features string")
+    path = f"{folder}/store"
+    assert push_new(spark, rows, found, "control", path, day[26], base=folder) == 2
+    assert _control(spark, folder) == [(day[20], day[26], 1)]  # waits for the features of 1
+    late = found.union(spark.createDataFrame([(1, "late")], found.schema))
+    assert push_new(spark, rows, late, "control", path, day[27], base=folder) == 2
+    assert {r._id for r in store.read_store(spark, path).collect()} == {"1", "2", "3"}
+    assert _control(spark, folder)[-1] == (day[27], day[27], 2)
+
+
+def test_equal_times_are_not_lost(spark, folder):
+    at, later = datetime(2026, 1, 20), datetime(2026, 1, 21)
+    found = spark.range(10).select(F.col("id").alias("propertyId"), F.lit("f").alias("top_features"))
+    path = f"{folder}/store"
+    assert push_new(spark, _listings(spark, [(1, datetime(2026, 1, 19)), (2, at)]), found, "control", path, at, base=folder) == 1
+    more = _listings(spark, [(1, datetime(2026, 1, 19)), (2, at), (3, at), (3, at)])
+    assert push_new(spark, more, found, "control", path, later, base=folder) == 2
+    assert sorted(r._id for r in store.read_store(spark, path).collect()) == ["1", "2", "3"]
+
+
+def test_push_leaves_no_folder(spark, folder):
+    found = spark.range(10).select(F.col("id").alias("propertyId"), F.lit("f").alias("top_features"))
+    before = set(os.listdir(session.shared_folder(spark)))
+    push_new(spark, _listings(spark, [(1, datetime(2026, 1, 19))]), found, "control", f"{folder}/store", AS_OF, base=folder)
+    push_new(spark, _listings(spark, []), found, "control", f"{folder}/store", AS_OF, base=folder)
+    assert {f for f in set(os.listdir(session.shared_folder(spark))) - before if f.startswith("push")} == set()
 
 
 def test_failed_push_writes_no_control_row(spark, folder):
@@ -197,15 +242,16 @@ def test_vectors_have_length_one_and_follow_the_words(spark):
     assert np.dot(got[0], got[2]) < 0.99
 
 
-@pytest.mark.parametrize("per_pass", [4096, 7])
-def test_cosine_topk_is_exact(spark, per_pass):
+@pytest.mark.parametrize("block", [4096, 7])
+def test_cosine_topk_is_exact(spark, block):
     rng = np.random.default_rng(5)
     points = rng.normal(size=(300, 8)).astype(np.float32)
     points[17] = points[3]
     points[40] = 0
     corpus = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, vector array<float>")
     asked = corpus.where("id < 20")
-    got = vectors.cosine_topk(corpus.repartition(5), asked, 4, per_pass)
+    nothing = spark.createDataFrame([(900, None), (5, None)], corpus.schema)
+    got = vectors.cosine_topk(corpus.union(nothing).repartition(5), asked.union(nothing), 4, block)
     rows = {(r.query_id, r["rank"]): r.id for r in got.collect()}
     unit = points.astype(np.float64)
     norms = np.linalg.norm(unit, axis=1, keepdims=True)
@@ -225,7 +271,7 @@ def _wanted(spark, n=20):
     )
 
 
-def _answer(url, referer):
+def _answer(url, referer, timeout):
     number = int(url[1:])
     if number % 5 == 0:
         raise ValueError(f'no "{url}"')
@@ -242,6 +288,24 @@ def test_fetch(spark, options):
     assert (rows["8"].ingestion_timestamp, rows["8"].processed_date, rows["8"].processed_hour) == (AS_OF, AS_OF.date(), 13)
 
 
+def test_fetch_uses_all_cores(spark):
+    many = responses.fetch_responses(_wanted(spark, 15_000).coalesce(1), _answer, AS_OF)
+    parts = many.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 5_000
+
+
+def test_a_hung_call_costs_one_row(spark):
+    def hang(url, referer, timeout):
+        assert timeout == 0.5
+        if url == "u3":
+            threading.Event().wait()
+        return 200, url
+
+    rows = {r.zipcode: r for r in responses.fetch_responses(_wanted(spark, 8), hang, AS_OF, tasks=1, timeout=0.5).collect()}
+    assert len(rows) == 8 and [z for z, r in rows.items() if r.http_status_code != 200] == ["3"]
+    assert json.loads(rows["3"].raw_json) == {"error": "no response in 0.5 s"}
+
+
 def test_captured(spark):
     captures = spark.createDataFrame([("u1", "one"), ("u3", None)], "url string, body string")
     rows = {r.zipcode: r for r in responses.captured_responses(_wanted(spark, 4), captures, AS_OF).collect()}
@@ -286,16 +350,35 @@ def test_batch_tasks(spark, folder):
     batch.generate_urls(known, "urls", "https://a/%s", "https://r/%s/%s/%s", 20, 1, AS_OF, folder)
     assert os.path.isdir(f"{folder}/urls/processed_datehour=2026-01-31-13")
 
-    def answer(url, referer):
+    def answer(url, referer, timeout):
         return 200, "{}&&" + json.dumps({"payload": {"homes": [_home(int(url[-5:]), 5)]}})
 
     batch.gather_responses(spark, "urls", "raw", answer, AS_OF, folder, tasks=2)
-    batch.parse_new(spark, "raw", "parsed", base=folder)
-    batch.parse_new(spark, "raw", "parsed", base=folder)
+    day = ("processed_date",)
+    assert os.path.isdir(f"{folder}/raw/processed_date=2026-01-31")
+    batch.parse_new(spark, "raw", "parsed", as_of=AS_OF, base=folder)  # ends before the responses' time
+    assert tables.find_table(spark, "parsed", folder) is None
+    batch.parse_new(spark, "raw", "parsed", as_of=datetime(2026, 1, 31, 14), base=folder)
+    batch.parse_new(spark, "raw", "parsed", as_of=datetime(2026, 1, 31, 14), base=folder)
     assert tables.read_table(spark, "parsed", folder).count() == 20
-    tables.write_table(_responses(spark, (datetime(2026, 2, 1), [_home(1, 9), _home(2, 9)])), "raw", folder)
-    batch.parse_new(spark, "raw", "parsed", base=folder)
+    end = datetime(2026, 2, 1)
+    tables.write_table(_responses(spark, (datetime(2026, 1, 31, 14), [_home(1, 9), _home(2, 9)]), (end, [_home(3, 9)])), "raw", folder, partition_by=day)
+    batch.parse_new(spark, "raw", "parsed", as_of=end, base=folder)
     assert tables.read_table(spark, "parsed", folder).count() == 22
+    tables.write_table(_responses(spark, (end, [_home(4, 9)])), "raw", folder, partition_by=day)
+    batch.parse_new(spark, "raw", "parsed", as_of=datetime(2026, 2, 2), base=folder)
+    assert tables.read_table(spark, "parsed", folder).count() == 24
+    raw = tables.read_table(spark, "raw", folder)
+    plan = plan_of(batch.new_responses(raw, end, datetime(2026, 2, 2)))
+    assert "PartitionFilters: [isnotnull(processed_date" in plan
+
+
+def test_a_run_done_again_replaces_its_listings(spark, folder):
+    tables.write_table(_responses(spark, (datetime(2026, 1, 5), [_home(1, 9), _home(2, 9)])), "raw", folder)
+    batch.parse_new(spark, "raw", "parsed", as_of=AS_OF, base=folder)
+    shutil.rmtree(f"{folder}/parsed_control")  # as if the run had ended before its last step
+    batch.parse_new(spark, "raw", "parsed", as_of=AS_OF, base=folder)
+    assert tables.read_table(spark, "parsed", folder).count() == 2
 
 
 # -- streams
@@ -326,12 +409,23 @@ def test_stream_is_batch_and_goes_on(spark, folder):
 def test_stream_dedup_keeps_the_first_to_arrive(spark, folder):
     for raw in _days(spark):
         tables.write_table(raw, "raw", folder)
-        unique = dedup.first_arrival(_reference(tables.stream_table(spark, "raw", folder)), ["propertyId"])
-        done = stages.run_stage(unique, "unique", folder)
+        rows = _reference(tables.stream_table(spark, "raw", folder, max_bytes=1))
+        done = dedup.run_first_arrival(rows, "unique", folder, ["propertyId"])
     kept = {r.propertyId: r.house_price for r in done.collect()}
     assert set(kept) == {1, 2, 3} and done.count() == 3 and kept[1] in (10, 30)
 
 
+def test_micro_batches_are_bounded(spark, folder):
+    for number in range(5):
+        tables.write_table(_responses(spark, (datetime(2026, 1, 1 + number), [_home(1, 5), _home(number, 6)])), "raw", folder)
+    seen = tables.stream_table(spark, "raw", folder, max_bytes=1)
+    query = stages.start_stage(seen, "copied", folder)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 5
+    done = dedup.run_first_arrival(_reference(tables.stream_table(spark, "raw", folder, max_bytes=1)), "unique", folder, ["propertyId"])
+    assert sorted(r.propertyId for r in done.collect()) == [0, 1, 2, 3, 4]
+
+
 def test_stream_dedup_within_a_delay(spark, folder):
     times = [datetime(2026, 1, 1, 0), datetime(2026, 1, 1, 1), datetime(2026, 1, 9), datetime(2026, 1, 20)]
     for time in times:
@@ -358,9 +452,8 @@ def test_stream_static_join(spark, folder):
     known = spark.createDataFrame([("77713", 1.0, 2.0, "TX", "T", 3, 4.0)], AREA_SCHEMA)
     tables.write_table(_days(spark)[0], "raw", folder)
     rows = _reference(tables.stream_table(spark, "raw", folder))
-    for name, limit in (("small", 10), ("large", 0)):
-        done = stages.run_stage(joins.join_location(rows, known, limit), name, folder)
-        assert done.count() == 3 and done.first().zip_population == 3
+    done = stages.run_stage(joins.join_location(rows, known), "joined", folder)
+    assert done.count() == 3 and done.first().zip_population == 3
 
 
 def test_whole_chain_twice(spark, folder):
@@ -369,7 +462,7 @@ def test_whole_chain_twice(spark, folder):
         F.lit("T").alias("state_name"), F.col("id").alias("population"), F.lit(3.0).alias("density"),
     )
 
-    def answer(url, referer):
+    def answer(url, referer, timeout):
         number = int(url[-5:])
         if number == 4:
             raise TimeoutError("slow")
