@@ -28,12 +28,12 @@ _PARSED = f"""parsed AS (
          cast(trunc(l_extendedprice) AS bigint) AS house_price,
          CASE WHEN l_returnflag <> 'N' THEN cast(l_linenumber * 25 AS varchar) END AS hoa,
          cast(cast(trunc(l_quantity) AS int) * 100 AS varchar) AS sqft,
-         cast(NULL AS varchar) AS price_per_sqft,
+         CASE WHEN l_returnflag = 'A' THEN cast(l_linenumber * 10 AS varchar) END AS price_per_sqft,
          '7000' AS lot_size,
          cast(l_linenumber AS varchar) AS beds,
          cast(cast(l_linenumber AS double) / 2 AS varchar) AS baths,
          '1' AS fullbaths,
-         cast(NULL AS varchar) AS "partialBaths",
+         CASE WHEN l_returnflag <> 'R' THEN cast(l_linenumber % 3 AS varchar) END AS "partialBaths",
          'Ward ' || l_returnflag AS location,
          '1.0' AS stories,
          l_tax + 30 AS latitude,
@@ -41,31 +41,31 @@ _PARSED = f"""parsed AS (
          l_orderkey || ' Main St' AS "streetLine",
          'City ' || l_suppkey AS city,
          'TX' AS state,
-         {_ZIP.format("l_suppkey")} AS zip,
+         {_ZIP.format("l_suppkey")} || CASE WHEN l_linenumber = 7 THEN '-1234' ELSE '' END AS zip,
          {_ZIP.format("l_suppkey")} AS "postalCode",
          'US' AS "countryCode",
-         cast(NULL AS int) AS "searchStatus",
+         cast(l_linenumber % 4 AS int) AS "searchStatus",
          l_linenumber AS "propertyType",
-         cast(NULL AS int) AS "uiPropertyType",
-         cast(NULL AS int) AS "listingType",
+         cast(l_linenumber + 1 AS int) AS "uiPropertyType",
+         cast(l_suppkey % 3 AS int) AS "listingType",
          l_partkey AS "propertyId",
          l_orderkey AS "listingId",
-         cast(NULL AS int) AS "dataSourceId",
-         cast(NULL AS int) AS "marketId",
+         cast(l_suppkey % 11 AS int) AS "dataSourceId",
+         cast(l_partkey % 13 AS int) AS "marketId",
          cast(1950 + l_suppkey % 70 AS int) AS "yearBuilt",
-         cast(NULL AS varchar) AS "openHouseStartFormatted",
-         cast(NULL AS varchar) AS "openHouseEventName",
-         cast(NULL AS varchar) AS url,
+         CASE WHEN l_linestatus = 'O' THEN 'May ' || l_linenumber END AS "openHouseStartFormatted",
+         CASE WHEN l_linestatus = 'O' THEN 'Open House - ' || l_linenumber END AS "openHouseEventName",
+         '/TX/home/' || l_partkey AS url,
          l_linestatus = 'O' AS "isHot",
-         cast(NULL AS boolean) AS "hasVirtualTour",
-         cast(NULL AS boolean) AS "hasVideoTour",
-         cast(NULL AS boolean) AS "has3DTour",
-         cast(NULL AS boolean) AS "isActiveKeyListing",
-         cast(NULL AS boolean) AS "isNewConstruction",
+         l_linenumber % 2 = 0 AS "hasVirtualTour",
+         l_linenumber % 3 = 0 AS "hasVideoTour",
+         l_suppkey % 2 = 0 AS "has3DTour",
+         l_suppkey % 3 = 0 AS "isActiveKeyListing",
+         l_partkey % 5 = 0 AS "isNewConstruction",
          'Part ' || l_partkey || ', flag ' || l_returnflag || '. Line ' || l_linenumber
            || ', , status ' || l_linestatus || chr(10) || ' quiet street, fenced yard' AS "listingRemarks",
-         cast(NULL AS varchar) AS "scanUrl",
-         cast(NULL AS varchar) AS "posterFrameUrl",
+         'https://scan.example/' || l_orderkey AS "scanUrl",
+         CASE WHEN l_linestatus = 'O' THEN 'https://poster.example/' || l_linenumber END AS "posterFrameUrl",
          l_shipdate AS ingestion_timestamp,
          l_linenumber AS line
   FROM lineitem)"""
@@ -74,7 +74,7 @@ _LATEST = f"""{_PARSED}, latest AS (
   SELECT * EXCLUDE (mls, hoa, line), mls AS house_mls, coalesce(hoa, '0') AS hoa, 2026 - "yearBuilt" AS age,
          'Part ' || "propertyId" || ', flag ' || right(location, 1) || ', Line ' || line
            || ', status ' || CASE WHEN "isHot" THEN 'O' ELSE 'F' END AS top_features
-  FROM parsed
+  FROM parsed WHERE try_cast(zip AS double) IS NOT NULL
   QUALIFY row_number() OVER (
     PARTITION BY "propertyId" ORDER BY ingestion_timestamp DESC, mls DESC, house_price DESC) = 1)"""
 
@@ -87,7 +87,8 @@ _TEXTS = f"""{_LOCATED}, texts AS (
          'Property Type: ' || "propertyType" || '. Located in ' || location || ', ' || city || ', ' || state
          || ', ' || "countryCode" || ', ZIP ' || "postalCode" || '. Built in ' || "yearBuilt"
          || ', approximately ' || sqft || ' sqft on a ' || lot_size || ' sqft lot with ' || beds
-         || ' bedrooms and ' || baths || ' bathrooms (' || fullbaths || ' full, N/A partial). Listed price is $'
+         || ' bedrooms and ' || baths || ' bathrooms (' || fullbaths || ' full, ' || coalesce("partialBaths", 'N/A')
+         || ' partial). Listed price is $'
          || house_price || '. Stories: ' || stories || '. Additional Features: ' || top_features
          || '. Neighborhood population: ' || coalesce(cast(zip_population AS varchar), 'N/A')
          || ', density: ' || coalesce(cast(zip_population * 2 AS varchar), 'N/A') || '.' AS embedding_text
@@ -264,7 +265,7 @@ SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 5""",
     "stream_urls": f"""WITH {_AREAS}
 SELECT {_URL_COLUMNS}, cast(population AS varchar) AS population FROM areas""",
-    "stream_dedup": 'SELECT DISTINCT l_partkey AS "propertyId", cast(1 AS bigint) AS kept FROM lineitem',
+    "stream_dedup": 'SELECT DISTINCT l_partkey AS "propertyId", cast(1 AS bigint) AS kept FROM lineitem WHERE l_linenumber <> 7',
     "stream_dedup_bounded": "SELECT DISTINCT user_id, cast(1 AS bigint) AS kept FROM events",
     "stream_join": f"""WITH {_PARSED}, {_LOCATIONS}
 SELECT parsed.zip, mls AS house_mls, "propertyId", house_price, 2026 - "yearBuilt" AS age,

@@ -59,38 +59,58 @@ def _value(column: Column) -> Column:
 
 
 def home(price: Column | None = None) -> Column:
-    """One home object per line item."""
+    """One home object per line item: every field there in some rows, most in all.
+
+    Line 7 has a zip that is no number."""
     price = F.expr("cast(l_extendedprice as bigint)") if price is None else price
     zipcode = zip_text(F.col("l_suppkey"))
+    open_house, line = F.col("l_linestatus") == "O", F.col("l_linenumber").cast("string")
     return F.struct(
         _value(F.concat_ws("-", F.lit("M"), "l_orderkey", "l_linenumber")).alias("mlsId"),
         F.when(F.col("l_linestatus") == "O", "Active").otherwise("Sold").alias("mlsStatus"),
         _value(price).alias("price"),
         F.when(F.col("l_returnflag") != "N", _value(F.col("l_linenumber") * 25)).alias("hoa"),
         _value(F.expr("cast(l_quantity as int) * 100")).alias("sqFt"),
+        F.when(F.col("l_returnflag") == "A", _value(F.col("l_linenumber") * 10)).alias("pricePerSqFt"),
         _value(F.lit(7000)).alias("lotSize"),
         F.col("l_linenumber").alias("beds"),
         F.expr("cast(l_linenumber as double) / 2").alias("baths"),
         F.lit(1).alias("fullbaths"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_linenumber") % 3).alias("partialBaths"),
         _value(F.concat(F.lit("Ward "), F.col("l_returnflag"))).alias("location"),
         F.lit(1.0).alias("stories"),
         _value(F.struct((F.col("l_tax") + 30).alias("latitude"), (-F.col("l_tax") - 94).alias("longitude"))).alias("latLong"),
         _value(F.concat(F.col("l_orderkey").cast("string"), F.lit(" Main St"))).alias("streetLine"),
         F.concat(F.lit("City "), F.col("l_suppkey").cast("string")).alias("city"),
         F.lit("TX").alias("state"),
-        zipcode.alias("zip"),
+        F.when(F.col("l_linenumber") == 7, F.concat(zipcode, F.lit("-1234"))).otherwise(zipcode).alias("zip"),
         _value(zipcode).alias("postalCode"),
         F.lit("US").alias("countryCode"),
+        (F.col("l_linenumber") % 4).alias("searchStatus"),
         F.col("l_linenumber").alias("propertyType"),
+        (F.col("l_linenumber") + 1).alias("uiPropertyType"),
+        (F.col("l_suppkey") % 3).alias("listingType"),
         F.col("l_partkey").alias("propertyId"),
         F.col("l_orderkey").alias("listingId"),
+        (F.col("l_suppkey") % 11).alias("dataSourceId"),
+        (F.col("l_partkey") % 13).alias("marketId"),
         _value(F.expr("cast(1950 + l_suppkey % 70 as int)")).alias("yearBuilt"),
-        (F.col("l_linestatus") == "O").alias("isHot"),
+        F.when(open_house, F.concat(F.lit("May "), line)).alias("openHouseStartFormatted"),
+        F.when(open_house, F.concat(F.lit("Open House - "), line)).alias("openHouseEventName"),
+        F.concat(F.lit("/TX/home/"), F.col("l_partkey").cast("string")).alias("url"),
+        open_house.alias("isHot"),
+        (F.col("l_linenumber") % 2 == 0).alias("hasVirtualTour"),
+        (F.col("l_linenumber") % 3 == 0).alias("hasVideoTour"),
+        (F.col("l_suppkey") % 2 == 0).alias("has3DTour"),
+        (F.col("l_suppkey") % 3 == 0).alias("isActiveKeyListing"),
+        (F.col("l_partkey") % 5 == 0).alias("isNewConstruction"),
         F.concat(
             F.lit("Part "), F.col("l_partkey").cast("string"), F.lit(", flag "), F.col("l_returnflag"),
             F.lit(". Line "), F.col("l_linenumber").cast("string"), F.lit(", , status "),
             F.col("l_linestatus"), F.lit("\n quiet street, fenced yard"),
         ).alias("listingRemarks"),
+        F.concat(F.lit("https://scan.example/"), F.col("l_orderkey").cast("string")).alias("scanUrl"),
+        F.when(open_house, F.concat(F.lit("https://poster.example/"), line)).alias("posterFrameUrl"),
     )
 
 

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 import check
@@ -28,3 +29,9 @@ def test_entry(spark):
 def test_query(spark, name):
     outcome = check.compare(spark, SF_DIR, name)
     assert not outcome.startswith("FAILED"), outcome
+
+
+def test_no_listing_column_is_null_throughout(spark):
+    rows = registered.queries()["parse_all_columns"](spark, SF_DIR)
+    counts = rows.agg(*[F.count(f"`{name}`").alias(name) for name in rows.columns]).first()
+    assert len(rows.columns) == 44 and all(counts)
