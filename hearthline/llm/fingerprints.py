@@ -119,31 +119,32 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", to_text(vector(F.col("text"))).alias("fingerprint"))
 
 
+def order_id(doc_id: Column) -> Column:
+    """The id to order and join by: a null one is below all others."""
+    return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
+
+
 def next_documents(ids: DataFrame, bins: int) -> DataFrame:
-    """``ids`` (doc_id, mark; distinct) with ``next_id``, ``next_mark``: the row after
-    it by descending id, ids without a value last, the first after the last.
+    """``ids`` (id, mark; distinct, no nulls) with ``next_id``, ``next_mark``: the row
+    after it by descending id, the first after the last.
 
     Rows are dealt to ranges of the order; only one row of each range meets those
     of the others, so no task sees all ids.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.col("mark").desc_nulls_last()]
-    ranged = ids.repartitionByRange(bins, *order).select(
-        "doc_id", "mark", F.spark_partition_id().alias("bin")
-    )
+    order = [F.col("id").desc(), F.col("mark").desc()]
+    ranged = ids.repartitionByRange(bins, *order).select("id", "mark", F.spark_partition_id().alias("bin"))
     ranged = written(ranged, "next-ids")
     inside = Window.partitionBy("bin").orderBy(*order)
-    row = F.struct("doc_id", "mark")
-    found = ranged.select(
-        "doc_id", "mark", "bin", F.lead(row).over(inside).alias("next"), F.row_number().over(inside).alias("place")
-    )
+    row = F.struct("id", "mark")
+    found = ranged.select("id", "mark", "bin", F.lead(row).over(inside).alias("next"), F.row_number().over(inside).alias("place"))
     found = written(found, "next-found")
-    heads = found.where("place = 1").select("bin", F.struct("doc_id", "mark").alias("head"))
+    heads = found.where("place = 1").select("bin", F.struct("id", "mark").alias("head"))
     # one row per range: the head of the range after it, of the first for the last
     ring = Window.partitionBy(F.lit(0)).orderBy("bin")
     first = F.first("head").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     after = heads.select("bin", F.coalesce(F.lead("head").over(ring), first).alias("after"))
-    joined = found.join(after, "bin").select("doc_id", "mark", F.coalesce("next", "after").alias("next"))
-    return joined.select("doc_id", "mark", F.col("next.doc_id").alias("next_id"), F.col("next.mark").alias("next_mark"))
+    joined = found.join(after, "bin").select("id", "mark", F.coalesce("next", "after").alias("next"))
+    return joined.select("id", "mark", F.col("next.id").alias("next_id"), F.col("next.mark").alias("next_mark"))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -161,32 +162,26 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows.  Texts are shuffled once, by id, and that shuffle serves both joins: only
     the part of the next text that is needed travels to its reader.
     """
-    told = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    told = told.withColumn("mark", F.xxhash64("text")).withColumn("n_chars", F.char_length("text").cast("long"))
-    partitions = shuffle_partitions(docs.sparkSession)
-    ids = told.select("doc_id", "mark", "n_chars").distinct()
+    text = F.coalesce("text", F.lit(""))
+    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    n_chars = F.char_length("text").cast("long")
+    third = F.floor(n_chars / 3).cast("int")
+    ids = told.select(order_id(F.col("doc_id")).alias("id"), "mark", third.alias("need")).distinct()
     ids = written(ids, "fingerprint-ids")
-    after = next_documents(ids.select("doc_id", "mark"), partitions)
-    wanted = after.join(
-        ids.select(F.col("doc_id").alias("i"), F.col("mark").alias("m"), F.floor(F.col("n_chars") / 3).alias("need")),
-        F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")),
-    ).select(F.col("doc_id").alias("to_id"), F.col("mark").alias("to_mark"), "next_id", "next_mark", F.col("need").cast("int").alias("need"))
+    after = next_documents(ids.select("id", "mark"), shuffle_partitions(docs.sparkSession))
+    wanted = after.join(ids, ["id", "mark"]).select(F.col("id").alias("to_id"), F.col("mark").alias("to_mark"), "next_id", "next_mark", "need")
     wanted = written(wanted, "fingerprint-wanted")
+    # both joins ask for the same columns of the same rows, so they share one shuffle
     full = told.withColumn("vector", vector(F.col("text")))
-    given = (
-        full.join(wanted, F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("mark") == F.col("next_mark")))
-        .select(
-            "to_id",
-            "to_mark",
-            F.when(F.col("need") > 0, F.left("text", "need")).otherwise("").alias("tail"),
-            F.col("vector").alias("next_vector"),
-        )
-        .dropDuplicates(["to_id", "to_mark"])
+    key = order_id(F.col("doc_id"))
+    given = full.join(wanted, (key == F.col("next_id")) & (F.col("mark") == F.col("next_mark"))).select(
+        "to_id", "to_mark", F.when(F.col("need") > 0, F.left("text", "need")).otherwise("").alias("tail"), F.col("vector").alias("next_vector")
     )
-    joined = full.join(given, F.col("doc_id").eqNullSafe(F.col("to_id")) & (F.col("mark") == F.col("to_mark")))
-    keep = (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")
+    given = given.dropDuplicates(["to_id", "to_mark"])
+    joined = full.join(given, (key == F.col("to_id")) & (F.col("mark") == F.col("to_mark")))
+    keep = F.char_length("text") - third
     kept = F.when(keep > 0, F.left("text", keep)).otherwise("")
-    edited = joined.select("doc_id", "n_chars", "vector", "next_vector", F.concat(kept, "tail").alias("edited"))
+    edited = joined.select("doc_id", n_chars.alias("n_chars"), "vector", "next_vector", F.concat(kept, "tail").alias("edited"))
     measured = edited.select(
         "doc_id",
         "n_chars",
