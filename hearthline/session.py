@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -54,12 +56,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="hearthline-")
+    folder = tempfile.mkdtemp(prefix="hearthline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+_run_folders: list[str] = []
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _run_folders.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _run_folders[-1]
+
+
+def drop_run_folders(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this process; for when results are saved.
+
+    A frame that an operator returned may still read them, so only the caller can
+    tell when they are done with."""
+    while _run_folders:
+        drop_folder(spark, _run_folders.pop())
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

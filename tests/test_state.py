@@ -108,6 +108,17 @@ def test_shared_folder_is_the_named_one():
     assert session.shared_folder(local) == session.shared_folder(local)
 
 
+def test_run_folders_go_together(spark):
+    made = [session.run_folder(spark, "a"), session.run_folder(spark, "b")]
+    kept = list(session._run_folders[:-2])
+    session._run_folders[:] = made
+    for path in made:
+        spark.range(2).write.parquet(path)
+    session.drop_run_folders(spark)
+    assert not any(map(os.path.exists, made)) and session._run_folders == []
+    session._run_folders[:] = kept
+
+
 def test_dropped_folders_are_gone(spark):
     folder = session.run_folder(spark, "gone")
     spark.range(3).write.parquet(folder)
