@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 
 SAMPLE = 256
 PIECE = 512
-BLOCK = 4096
-LEVEL = 5
+BLOCK = 1024
+LEVEL = 9
+MIN_MATCH = 4  # bytes a match has at least: syllables count
 MARGIN = 0.01  # of the second size, that the smallest must be smaller by
 LETTER = regex.compile(r"\p{L}")
+MARKS = regex.compile(r"[^\w\s]+")  # punctuation tells no language
 
 
 def sample_texts(labelled: DataFrame, sample: int = SAMPLE, piece: int = PIECE) -> dict[str, str]:
@@ -39,23 +41,29 @@ def sample_texts(labelled: DataFrame, sample: int = SAMPLE, piece: int = PIECE)
     found = rows.where(F.col("place") <= sample).collect()
     texts: dict[str, list[str]] = {}
     for row in sorted(found, key=lambda r: (r["lang"], r["place"])):
-        texts.setdefault(row["lang"], []).append(row["piece"].lower())
+        texts.setdefault(row["lang"], []).append(row["piece"])
     return {lang: "\n".join(pieces) for lang, pieces in texts.items()}
 
 
+def plain(text: str) -> bytes:
+    """What is compressed of a text: lower case, without marks."""
+    return MARKS.sub("", text.lower()).encode("utf-8", "surrogatepass")
+
+
 def compressors(texts: dict[str, str], level: int = LEVEL) -> list[tuple[str, zstandard.ZstdCompressor]]:
     made = []
     for lang in sorted(texts):
-        content = zstandard.ZstdCompressionDict(texts[lang].encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        content.precompute_compress(level=level)
-        made.append((lang, zstandard.ZstdCompressor(dict_data=content, write_content_size=False, write_dict_id=False)))
+        how = zstandard.ZstdCompressionParameters.from_level(level, min_match=MIN_MATCH, write_content_size=False, write_dict_id=False)
+        content = zstandard.ZstdCompressionDict(plain(texts[lang]), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        content.precompute_compress(compression_params=how)
+        made.append((lang, zstandard.ZstdCompressor(dict_data=content, compression_params=how)))
     return made
 
 
 def smallest(made, text: str, block: int = BLOCK) -> tuple[str, float]:
     """The language and by which share of the second size it is smaller (1 if it is
     the only one).  Ties go to the language first by code point."""
-    data = text.lower().encode("utf-8", "surrogatepass")
+    data = plain(text)
     blocks = [data[i : i + block] for i in range(0, len(data), block)]
     sizes = sorted((sum(len(coder.compress(part)) for part in blocks), lang) for lang, coder in made)
     if len(sizes) == 1:
