@@ -110,13 +110,12 @@ judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          CAST(word_chars AS DOUBLE) / greatest(n_words, 1) AS word_length,
          CAST(n_symbols AS DOUBLE) / greatest(n_words, 1) AS symbols,
-         CAST(n_dup_lines AS DOUBLE) / greatest(n_lines, 1) AS dup_lines,
-         CAST(n_repeat_words AS DOUBLE) / greatest(n_words, 1) AS repeats
+         CAST(n_dup_lines AS DOUBLE) / greatest(n_lines, 1) AS dup_lines
   FROM counted
 ),
 measured AS (
-  SELECT lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS measure,
-         unnest([word_length, symbols, dup_lines, repeats]) AS value
+  SELECT lang, source, unnest(['word_length', 'symbols', 'dup_lines']) AS measure,
+         unnest([word_length, symbols, dup_lines]) AS value
   FROM judged WHERE NOT base_failed
 ),
 cells AS (
@@ -139,13 +138,12 @@ limits AS (
          max(q3 + greatest(6 * (q3 - q1), 4.0)) FILTER (measure = 'word_length') AS long,
          max(q1 - greatest(6 * (q3 - q1), 3.0)) FILTER (measure = 'word_length') AS short,
          max(q3 + greatest(6 * (q3 - q1), 0.1)) FILTER (measure = 'symbols') AS symbols_limit,
-         max(q3 + greatest(6 * (q3 - q1), 0.5)) FILTER (measure = 'dup_lines') AS dup_limit,
-         max(q3 + greatest(6 * (q3 - q1), 0.15)) FILTER (measure = 'repeats') AS repeats_limit
+         max(q3 + greatest(6 * (q3 - q1), 0.5)) FILTER (measure = 'dup_lines') AS dup_limit
   FROM chosen GROUP BY lang, source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(word_length BETWEEN short AND long AND symbols <= symbols_limit
-         AND dup_lines <= dup_limit AND repeats <= repeats_limit, false) AS kept
+         AND dup_lines <= dup_limit, false) AS kept
 FROM judged
 LEFT JOIN limits ON judged.lang IS NOT DISTINCT FROM limits.lang AND judged.source IS NOT DISTINCT FROM limits.source
 """

@@ -29,7 +29,6 @@ MEASURES = {
     "word_length": ("word_chars", "n_words", 4.0, 3.0),
     "symbols": ("n_symbols", "n_words", 0.1, None),
     "dup_lines": ("n_dup_lines", "n_lines", 0.5, None),
-    "repeats": ("n_repeat_words", "n_words", 0.15, None),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
