@@ -14,8 +14,8 @@ links are then decided on the exact Jaccard similarity of the shingle sets:
 1. in each band's bucket every document meets the least one; the pair with the
    most bands per document is checked first, the other pairs if it is not
    already linked through others;
-2. buckets that still hold several components are checked in blocks of ``BLOCK``
-   documents, every block with every other, between components only.
+2. in buckets that still hold several components, every document outside the
+   largest one is checked with all documents of other components, in blocks.
 
 So every two candidates end up compared or in one class, however large the bucket,
 and pairs are written for the first kind only, at most one per document and band.
@@ -37,7 +37,7 @@ from hearthline.llm.common import let, written
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 36, 7  # two texts of similarity 0.8 meet with a chance of 0.9998
-BLOCK = 64
+BLOCK, TARGETS = 64, 4096  # documents checked together with documents
 FIRST_SLAB = 1 / 32  # rank at which the first slab ends
 U64 = np.uint64
 
@@ -215,28 +215,61 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _check_block(least: float):
+    """Links between the outsiders of a block (role 1) and its other documents (role 0)
+    of another component, by the shingles that they share."""
+
     def run(table: pa.Table) -> pa.Table:
-        node, label, block = (table.column(c).to_pylist() for c in ("node", "label", "block"))
-        sets = [np.sort(np.array(x, dtype=np.int64)) for x in table.column("shingles").to_pylist()]
-        first, second = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        rows = sorted(range(len(node)), key=lambda r: node[r])
+        node, label, role = (table.column(c).to_numpy() for c in ("node", "label", "role"))
+        lists = table.column("shingles").combine_chunks()
+        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        sizes = np.diff(offsets)
+        owner = np.repeat(np.arange(len(node)), sizes)
+        inside = role[owner] == 0
+        elements, owner = values[offsets[0] : offsets[-1]][inside], owner[inside]
+        order = np.argsort(elements, kind="stable")
+        elements, owner = elements[order], owner[order]
         left, right = [], []
-        for r in (r for r in rows if block[r] == first):
-            for s in (s for s in rows if block[s] == second):
-                if label[r] == label[s] or (first == second and node[r] >= node[s]):
-                    continue
-                small, large = sorted((len(sets[r]), len(sets[s])))
-                if small < least * large:
-                    continue
-                both = len(np.intersect1d(sets[r], sets[s], assume_unique=True))
-                if both >= least * (small + large - both):
-                    left.append(node[r])
-                    right.append(node[s])
-        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+        for row in np.flatnonzero(role == 1):
+            mine = values[offsets[row] : offsets[row + 1]]
+            low, high = np.searchsorted(elements, mine, "left"), np.searchsorted(elements, mine, "right")
+            many = high - low
+            at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            shared = np.bincount(owner[at], minlength=len(node))
+            near = (shared > 0) & (label != label[row]) & (shared >= least * (sizes + len(mine) - shared))
+            right.append(node[near])
+            left.append(np.full(near.sum(), node[row]))
+        found = [np.concatenate(side) if side else np.zeros(0, dtype=np.int64) for side in (left, right)]
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
     return run
 
 
+def unlinked_in_buckets(members: DataFrame, labels: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links between documents of different components in the same bucket.
+
+    The largest component of a bucket is not compared with itself: only its
+    outsiders are, ``BLOCK`` at a time, with ``TARGETS`` documents at a time, so a
+    bucket's rows travel once per ``BLOCK`` outsiders, and no task gets a bucket whole.
+    """
+    rest = written(_labelled(members.where("n > 2"), "node", labels).withColumnRenamed("node_label", "label"), "near-rest")
+    sizes = rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("main"), F.sum("k").alias("n"))
+    main = main.where("n > main.k").select("bucket", F.col("main.label").alias("main"), (F.col("n") - F.col("main.k")).alias("outside"))
+    rest = rest.join(main, "bucket")
+    last_i = F.floor((F.col("n") - 1) / TARGETS).cast("int")
+    last_j = F.floor((F.col("outside") - 1) / BLOCK).cast("int")
+    place = F.xxhash64("node")
+    fields = ["bucket", "node", "label"]
+    targets = rest.select(
+        *fields, F.lit(0).alias("role"), F.pmod(place, last_i + 1).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), last_j)).alias("j")
+    )
+    outsiders = rest.where("label <> main").select(
+        *fields, F.lit(1).alias("role"), F.explode(F.sequence(F.lit(0), last_i)).alias("i"), F.pmod(place, last_j + 1).cast("int").alias("j")
+    )
+    both = targets.union(outsiders).join(sets, "node")
+    return both.groupBy("bucket", "i", "j").applyInArrow(_check_block(least), "a long, b long").distinct()
+
+
 def text_node() -> Column:
     """A text's name, a 64-bit hash: n different texts share one with a chance of
     about n^2 / 2^65.  A null text is named by its row's id."""
@@ -268,16 +301,9 @@ def near_links(docs: DataFrame, ids: DataFrame, least: float = SIMILARITY, bands
     others = _labelled(_labelled(others, "a", labels), "b", labels).where("a_label <> b_label")
     links = links.union(written(_verified(others, sets, least), "near-links"))
     labels = components(links)
-    # buckets of three and more that still hold several components, in blocks
-    rest = _labelled(members.where("n > 2"), "node", labels).withColumnRenamed("node_label", "label")
-    mixed = rest.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
-    rest = rest.join(mixed.select("bucket"), "bucket", "left_semi")
-    last = F.floor((F.col("n") - 1) / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), last + 1).cast("int")
-    rest = rest.select("bucket", "node", "label", own.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
-    rest = rest.select("bucket", "node", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    checked = rest.join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(_check_block(least), "a long, b long")
-    return components(links.union(written(checked.distinct(), "near-links")))
+    # two in a bucket are a star, checked above
+    more = written(unlinked_in_buckets(members, labels, sets, least), "near-links")
+    return components(links.union(more))
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -128,6 +128,7 @@ def family(seed, many, edits, size=150):
 
 def test_families_with_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 4)
+    monkeypatch.setattr(near, "TARGETS", 9)
     texts = family(1, 40, 1) + family(2, 40, 2) + family(3, 30, 3) + family(4, 20, 5) + family(5, 10, 15)
     rows = list(enumerate(texts))
     random.Random(1).shuffle(rows)
@@ -145,3 +146,23 @@ def test_keep_one(spark):
     ids = {r["class_id"] for r in near.near_duplicates(docs).collect()}
     assert {r["doc_id"] for r in got} == ids
     assert near.keep_one(empty(spark)).count() == 0
+
+
+def test_outsiders_meet_all_others(spark, monkeypatch):
+    """Every link across components is found, whatever the blocks."""
+    monkeypatch.setattr(near, "BLOCK", 3)
+    monkeypatch.setattr(near, "TARGETS", 4)
+    texts = family(6, 25, 4, 60) + family(7, 10, 1, 60)
+    rows = [(i, 0, len(texts)) for i in range(len(texts))]
+    members = spark.createDataFrame(rows, "node long, bucket long, n long")
+    labels = spark.createDataFrame([(i, i // 6) for i in range(len(texts))], "node long, label long")
+    docs = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    sets = docs.select("node", near.shingle_set(near.F.col("text")).alias("shingles"))
+    got = {frozenset(r) for r in near.unlinked_in_buckets(members, labels, sets, 0.5).collect()}
+    cut = [shingles(t) for t in texts]
+    want = set()
+    for i in range(len(texts)):
+        for j in range(i):
+            if i // 6 != j // 6 and len(cut[i] & cut[j]) >= 0.5 * len(cut[i] | cut[j]):
+                want.add(frozenset((i, j)))
+    assert got == want and want
