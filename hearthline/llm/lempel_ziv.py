@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm import repeats, rolling
+from hearthline.llm.repeats import read_told, repeated_windows, word_units
+from hearthline.llm.rolling import text_buffer, words_of
 
 GRAM = 5  # words; windows of four grams count as repeated
 FACTORS = "array<struct<start: long, length: long, ref_id: long, ref_start: long>>"
@@ -41,8 +42,8 @@ def parse(pos: np.ndarray, n: np.ndarray, ref: np.ndarray, at: np.ndarray, width
 def _factor(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = rolling.text_buffer(batch.column(1))
-            starts, ends, rows = rolling.words_of(data, offsets)
+            data, offsets = text_buffer(batch.column(1))
+            starts, ends, rows = words_of(data, offsets)
             raw = data.tobytes()
             factors, removed, kept = [], [], []
             for i, (copy_of, told) in enumerate(zip(batch.column(2), batch.column(3))):
@@ -50,7 +51,7 @@ def _factor(width: int):
                 if copy_of.is_valid:
                     found = [(0, count, copy_of.as_py(), 0)] if count >= width else []
                 elif told.is_valid:
-                    pos, n, ref, at = repeats.read_told(told.as_py())
+                    pos, n, ref, at = read_told(told.as_py())
                     old = at >= 0
                     found = parse(pos[old], n[old], ref[old], at[old], width)
                 stay = np.ones(count, dtype=bool)
@@ -76,7 +77,7 @@ def _factor(width: int):
 
 
 def _parsed(docs: DataFrame, gram: int) -> DataFrame:
-    found = repeats.repeated_windows(docs, repeats.word_units(gram), gram)
+    found = repeated_windows(docs, word_units(gram), gram)
     row = docs.schema["row"].dataType.simpleString()
     schema = f"doc_id long, n_words long, n_removed long, factors {FACTORS}, kept string, row {row}"
     return found.mapInArrow(_factor(4 * gram), schema)

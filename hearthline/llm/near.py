@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm import rolling
 from hearthline.llm.common import let, written
+from hearthline.llm.rolling import CHUNK, join_hashes, mix, span_hashes, text_buffer, whole_windows, window_hashes, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -64,18 +64,18 @@ def _darts(elements, low, width, weight, owner, slab_low, slab_width, salt):
     cells = np.maximum(1, np.ceil(area)).astype(np.int64)
     which = np.repeat(np.arange(len(elements)), cells)
     cell = np.arange(len(which)) - np.repeat(np.cumsum(cells) - cells, cells)
-    seed = rolling.mix(elements[which] + rolling.mix((cell.astype(np.uint64) << U64(16)) + U64(salt)))
+    seed = mix(elements[which] + mix((cell.astype(np.uint64) << U64(16)) + U64(salt)))
     chance, count = _unit(seed), np.zeros(len(which), dtype=np.int64)
     for mean in np.unique(area / cells):
         here = np.flatnonzero((area / cells)[which] == mean)
         count[here] = np.searchsorted(_poisson_table(mean), chance[here], side="right")
     hit = np.repeat(np.arange(len(which)), count)
     number = np.arange(len(hit)) - np.repeat(np.cumsum(count) - count, count)
-    dart = rolling.mix(seed[hit] + (number.astype(np.uint64) + U64(1)) * U64(0x9E3779B97F4A7C15))
+    dart = mix(seed[hit] + (number.astype(np.uint64) + U64(1)) * U64(0x9E3779B97F4A7C15))
     at = which[hit]
-    below = low[at] + _unit(rolling.mix(dart ^ U64(0x5851F42D4C957F2D))) * width[at] <= weight[at]
+    below = low[at] + _unit(mix(dart ^ U64(0x5851F42D4C957F2D))) * width[at] <= weight[at]
     hit, dart, at = hit[below], dart[below], at[below]
-    inside = (cell[hit] + _unit(rolling.mix(dart ^ U64(0x14057B7EF767814F)))) / cells[at]
+    inside = (cell[hit] + _unit(mix(dart ^ U64(0x14057B7EF767814F)))) / cells[at]
     return owner[at], slab_low + inside * slab_width, dart
 
 
@@ -94,14 +94,14 @@ def dart_signatures(elements: np.ndarray, weights: np.ndarray, owners: np.ndarra
     strip = np.arange(len(entry)) - np.repeat(np.cumsum(strips) - strips, strips)
     low = np.where(strip == 0, 0.0, 2.0 ** (strip - 1.0))
     width = np.where(strip == 0, 1.0, low)
-    names = rolling.mix(elements[entry] ^ rolling.mix(strip.astype(np.uint64) + U64(seed) * U64(0x632BE59BD9B4E019)))
+    names = mix(elements[entry] ^ mix(strip.astype(np.uint64) + U64(seed) * U64(0x632BE59BD9B4E019)))
     weight, owner = weights[entry], owners[entry]
     active = np.bincount(owners, minlength=n) > 0
     slab_low, slab_high, slab = 0.0, FIRST_SLAB, 0
     while active.any():
         here = active[owner]
         who, rank, dart = _darts(names[here], low[here], width[here], weight[here], owner[here], slab_low, slab_high - slab_low, slab)
-        place = who * k + (rolling.mix(dart ^ U64(0xA0761D6478BD642F)) % U64(k)).astype(np.int64)
+        place = who * k + (mix(dart ^ U64(0xA0761D6478BD642F)) % U64(k)).astype(np.int64)
         order = np.lexsort((dart, rank, place))
         place, rank, dart = place[order], rank[order], dart[order]
         first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else np.zeros(0, dtype=np.int64)
@@ -115,16 +115,16 @@ def dart_signatures(elements: np.ndarray, weights: np.ndarray, owners: np.ndarra
 def _shingles(column: pa.Array, counted: bool):
     """Element, weight and owner of each row's shingles; fewer than five words make
     one shingle of all words."""
-    data, offsets = rolling.text_buffer(column)
-    starts, ends, rows = rolling.words_of(data, offsets)
-    hashes = rolling.span_hashes(data, starts, ends)
-    windows = rolling.window_hashes(hashes, SHINGLE)
-    whole = np.flatnonzero(rolling.whole_windows(rows, SHINGLE, len(windows)))
+    data, offsets = text_buffer(column)
+    starts, ends, rows = words_of(data, offsets)
+    hashes = span_hashes(data, starts, ends)
+    windows = window_hashes(hashes, SHINGLE)
+    whole = np.flatnonzero(whole_windows(rows, SHINGLE, len(windows)))
     owner = np.searchsorted(rows, whole, side="right") - 1
     found = windows[whole]
     counts = np.diff(rows)
     for row in np.flatnonzero((counts > 0) & (counts < SHINGLE)):
-        found = np.append(found, rolling.window_hashes(hashes[rows[row] : rows[row + 1]], int(counts[row])))
+        found = np.append(found, window_hashes(hashes[rows[row] : rows[row + 1]], int(counts[row])))
         owner = np.append(owner, row)
     order = np.lexsort((found, owner))
     found, owner = found[order], owner[order]
@@ -142,15 +142,15 @@ def signature_bands(texts: DataFrame, bands: int = BANDS, rows: int = ROWS, coun
         for batch in batches:
             column, node = batch.column(1), batch.column(0)
             at = 0
-            sizes = np.diff(rolling.text_buffer(column)[1])
+            sizes = np.diff(text_buffer(column)[1])
             while at < len(column):  # about a megabyte at a time
-                many = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), rolling.CHUNK, side="right")))
+                many = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), CHUNK, side="right")))
                 elements, weights, owners, n = _shingles(column.slice(at, many), counted)
                 sign = dart_signatures(elements, weights, owners, n, bands * rows).reshape(n * bands, rows)
                 code = sign[:, 0]
                 for r in range(1, rows):
-                    code = rolling.join_hashes(code, sign[:, r])
-                code = rolling.join_hashes(code, np.tile(np.arange(bands, dtype=np.uint64), n)).view(np.int64)
+                    code = join_hashes(code, sign[:, r])
+                code = join_hashes(code, np.tile(np.arange(bands, dtype=np.uint64), n)).view(np.int64)
                 none = np.bincount(owners, minlength=n) == 0
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(code), mask=pa.array(none) if none.any() else None
@@ -287,6 +287,7 @@ def near_links(docs: DataFrame, ids: DataFrame, least: float = SIMILARITY, bands
     signed = written(signed.dropDuplicates(["node"]), "near-bands")
     placed = signed.select("node", F.explode("bands").alias("bucket"))
     buckets = placed.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = written(buckets, "near-buckets")  # a table, so that the join can split a hot bucket
     members = written(placed.join(buckets, "bucket"), "near-members")  # only those with company
     wanted = members.select("node").distinct().join(ids, "node").groupBy("node").agg(F.min("doc_id").alias("first"))
     wanted = wanted.select(F.col("node").alias("of"), "first")
@@ -321,6 +322,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     labels = near_links(named, ids, least, bands, rows)
     classed = written(_labelled(ids, "node", labels).withColumnRenamed("node_label", "class_node"), "near-classes")
     found = classed.groupBy(F.col("class_node").alias("c")).agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_rows"))
+    found = written(found, "near-class-sizes")
     return classed.join(found, F.col("class_node") == F.col("c")).select("doc_id", "class_id", "class_rows", "class_node", "node")
 
 

@@ -34,8 +34,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm import rolling
 from hearthline.llm.common import shuffle_partitions, written
+from hearthline.llm.rolling import BYTE_VALUES, join_hashes, mix, powers, span_hashes, text_buffer, window_hashes, words_of
 
 U64 = np.uint64
 PIECE = 1 << 20  # windows looked at together
@@ -57,10 +57,10 @@ def byte_units(q: int):
     def of(data: np.ndarray, offsets: np.ndarray):
         def grams(first: int, last: int) -> np.ndarray:
             part = data[first : last + q - 1]
-            up, down = rolling.powers(len(part) + 1)
+            up, down = powers(len(part) + 1)
             sums = np.zeros(len(part) + 1, dtype=np.uint64)
-            np.cumsum(rolling._BYTES[part] * up[: len(part)], out=sums[1:])
-            return rolling.mix((sums[q:] - sums[:-q]) * down[: len(part) - q + 1])
+            np.cumsum(BYTE_VALUES[part] * up[: len(part)], out=sums[1:])
+            return mix((sums[q:] - sums[:-q]) * down[: len(part) - q + 1])
 
         return grams, offsets
 
@@ -71,11 +71,11 @@ def word_units(q: int):
     """Grams of ``q`` words."""
 
     def of(data: np.ndarray, offsets: np.ndarray):
-        starts, ends, rows = rolling.words_of(data, offsets)
-        hashes = rolling.span_hashes(data, starts, ends)
+        starts, ends, rows = words_of(data, offsets)
+        hashes = span_hashes(data, starts, ends)
 
         def grams(first: int, last: int) -> np.ndarray:
-            return rolling.window_hashes(hashes[first : last + q - 1], q)
+            return window_hashes(hashes[first : last + q - 1], q)
 
         return grams, rows
 
@@ -84,7 +84,7 @@ def word_units(q: int):
 
 def double(names: np.ndarray, k: int) -> np.ndarray:
     """Names of 2 k units from the names of k units."""
-    return rolling.join_hashes(names[:-k], names[k:])
+    return join_hashes(names[:-k], names[k:])
 
 
 def empty_entries() -> Entries:
@@ -174,7 +174,7 @@ def runs_of(grams, rows: np.ndarray, q: int) -> Iterator[Entries]:
         row = np.searchsorted(rows, start + first, side="right") - 1
         yield {
             "key": names[anchor[start]],
-            "other": rolling.join_hashes(whole[start], whole[start + n - 1] + n.astype(np.uint64)),
+            "other": join_hashes(whole[start], whole[start + n - 1] + n.astype(np.uint64)),
             "oid": np.zeros(len(start), dtype=np.int64),
             "node": row,
             "pos": start + first - rows[row],
@@ -189,7 +189,7 @@ def window_names(grams, first: int, last: int, q: int) -> np.ndarray:
 
 def packed(entries: Entries, kind: int, buckets: int) -> Iterator[tuple[int, int, bytes]]:
     """Rows of entries, by the bucket of their name; settled ones by that of their text."""
-    by = rolling.mix(entries["node"].view(np.uint64)) if kind == SETTLED else entries["key"]
+    by = mix(entries["node"].view(np.uint64)) if kind == SETTLED else entries["key"]
     bucket = (by % U64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
@@ -248,7 +248,7 @@ def scan_runs(units, q: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
-            data, offsets = rolling.text_buffer(batch.column(2))
+            data, offsets = text_buffer(batch.column(2))
             oid, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             grams, rows = units(data, offsets)
             for part in runs_of(grams, rows, q):
@@ -370,7 +370,7 @@ def scan_windows(units, q: int, buckets: int):
                 pos, n = pos[at < 0], n[at < 0]
                 if not len(pos):
                     continue
-                data, offsets = rolling.text_buffer(batch.column(2).slice(i, 1))
+                data, offsets = text_buffer(batch.column(2).slice(i, 1))
                 grams, _ = units(data, offsets)
                 for low in range(0, int(pos[-1] + n[-1]), PIECE):
                     inside = (pos < low + PIECE) & (pos + n > low)
@@ -419,6 +419,7 @@ def repeated_windows(docs: DataFrame, units, q: int) -> DataFrame:
     oid = order_id(F.col("doc_id"))
     ids = written(named.select(oid.alias("oid"), "node").distinct(), "repeat-ids")
     least = ids.groupBy(F.col("node").alias("of")).agg(F.min("oid").alias("copy_of"))
+    least = written(least, "repeat-least")  # a table, so that the join can split a hot text
     copies = ids.join(least, F.col("node") == F.col("of")).where("oid <> copy_of").select("oid", "node", "copy_of")
     scanned = named.select(oid.alias("oid"), "node", "text").mapInArrow(scan_runs(units, q, buckets), PACKED)
     matched = scanned.groupBy("bucket").applyInArrow(match_grams(buckets), PACKED)

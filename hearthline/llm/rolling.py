@@ -13,7 +13,7 @@ import pyarrow as pa
 U64 = np.uint64
 CHUNK = 1 << 20  # bytes hashed at a time
 _BASE = 0x9E3779B97F4A7C15
-_BYTES = np.random.default_rng(20_240_101).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
+BYTE_VALUES = np.random.default_rng(20_240_101).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: list[np.ndarray] = []
@@ -77,7 +77,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         part = data[base : ends[to - 1]]
         up, down = powers(len(part) + 1)
         sums = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[part] * up[: len(part)], out=sums[1:])
+        np.cumsum(BYTE_VALUES[part] * up[: len(part)], out=sums[1:])
         first = starts[at:to] - base
         out[at:to] = mix((sums[ends[at:to] - base] - sums[first]) * down[first])
         at = to

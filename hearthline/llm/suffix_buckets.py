@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm import repeats
+from hearthline.llm.repeats import byte_units, read_told, repeated_windows
 
 GRAM = 25  # bytes of the first buckets; strings of four grams count as repeated
 
@@ -39,7 +39,7 @@ def _cut(width: int):
                 data = text.as_buffer().to_pybytes()
                 found = [(0, len(data))] if copy_of.is_valid and len(data) >= width else []
                 if not copy_of.is_valid and told.is_valid:
-                    pos, n, _, at = repeats.read_told(told.as_py())
+                    pos, n, _, at = read_told(told.as_py())
                     found = covered(pos[at >= 0], n[at >= 0], width)
                 edges = [0, *[x for span in found for x in span], len(data)]
                 kept.append(b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)))
@@ -65,7 +65,7 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM) -> DataFrame:
     looked at; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text", F.lit(0).alias("row"))
-    found = repeats.repeated_windows(docs, repeats.byte_units(gram), gram)
+    found = repeated_windows(docs, byte_units(gram), gram)
     schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     return found.mapInArrow(_cut(4 * gram), schema)
 
