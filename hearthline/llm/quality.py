@@ -203,7 +203,10 @@ def keep_good(docs: DataFrame) -> DataFrame:
     inner = F.struct(*[F.col(c) for c in docs.columns])
 
     def counted(frame):
-        return frame.select(inner.alias("_row"), "lang", "source", text_counts(F.col("text")).alias("_c"))
+        # in a generator: filters on the counts would else move below them, with a
+        # copy of all that counts for each
+        counts = F.explode(F.array(text_counts(F.col("text"))))
+        return frame.select(inner.alias("_row"), "lang", "source", counts.alias("_c"))
 
     sketch = written(sketches(counted(docs).select("lang", "source", "_c.*")), "quality-sketch")
     rows = counted(docs).select("_row", "lang", "source", "_c.*")
