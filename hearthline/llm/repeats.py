@@ -332,8 +332,10 @@ def tell(entries: Entries, ref: np.ndarray, at: np.ndarray) -> pa.Table:
     )
 
 
-def match_names(new_too: bool):
-    """Packed runs or windows of one bucket -> replies to their documents."""
+def match_names(new_too: bool, places: bool):
+    """Packed runs or windows of one bucket -> replies to their documents.
+
+    Without ``places`` they only say what repeats, not where: zeros take no room."""
 
     def run(table: pa.Table) -> pa.Table:
         found = gather([unpack(p) for p in _payloads(table, RUNS)])
@@ -346,7 +348,10 @@ def match_names(new_too: bool):
             parts.append(first)
             ref.append(first["oid"])
             at.append(np.full(len(first["key"]), -1))
-        return tell(gather(parts), np.concatenate(ref), np.concatenate(at))
+        refs, ats = np.concatenate(ref), np.concatenate(at)
+        if not places:
+            refs, ats = np.zeros_like(refs), np.minimum(ats, 0)
+        return tell(gather(parts), refs, ats)
 
     return run
 
@@ -404,13 +409,13 @@ def order_id(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))
 
 
-def repeated_windows(docs: DataFrame, units, q: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, units, q: int, places: bool = True) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, and ``row``, which is handed through) as
     doc_id, text, copy_of, told, row.
 
     ``copy_of`` is the least id of the documents with the same text, if it is smaller;
     ``told`` lists the repeated runs of windows of any other document, and the places
-    they repeat.  The texts are shuffled once, by id and text: the last refinement
+    they repeat (all 0 without ``places``).  The texts are shuffled once, by id and text: the last refinement
     and the result read the same shuffle.
     """
     buckets = shuffle_partitions(docs.sparkSession)
@@ -423,7 +428,7 @@ def repeated_windows(docs: DataFrame, units, q: int) -> DataFrame:
     copies = ids.join(least, F.col("node") == F.col("of")).where("oid <> copy_of").select("oid", "node", "copy_of")
     scanned = named.select(oid.alias("oid"), "node", "text").mapInArrow(scan_runs(units, q, buckets), PACKED)
     matched = scanned.groupBy("bucket").applyInArrow(match_grams(buckets), PACKED)
-    replies = matched.groupBy("bucket").applyInArrow(match_names(True), REPLIES)
+    replies = matched.groupBy("bucket").applyInArrow(match_names(True, places), REPLIES)
     # all replies to a document in one row, and how many of its runs are still open
     parts = F.collect_list(F.struct("pos", "n", "ref", "at"))
     runs = replies.groupBy("oid", "node").agg(parts.alias("told"), F.sum("open").alias("open"))
@@ -435,7 +440,7 @@ def repeated_windows(docs: DataFrame, units, q: int) -> DataFrame:
     # with ``row``, for the same columns as below: only then one shuffle serves both
     unsettled = beside(runs.where("open > 0"), "inner").select("oid", "node", "text", "told", "row")
     windows = unsettled.mapInArrow(scan_windows(units, q, buckets), PACKED)
-    more = windows.groupBy("bucket").applyInArrow(match_names(False), REPLIES)
+    more = windows.groupBy("bucket").applyInArrow(match_names(False, places), REPLIES)
     told = runs.select("oid", "node", F.explode("told").alias("t")).select("oid", "node", "t")
     told = told.union(more.select("oid", "node", F.struct("pos", "n", "ref", "at")))
     marked = told.withColumn("copy_of", F.lit(None).cast("long")).union(copies.select("oid", "node", F.lit(None), "copy_of"))

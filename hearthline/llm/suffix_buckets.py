@@ -65,7 +65,7 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM) -> DataFrame:
     looked at; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text", F.lit(0).alias("row"))
-    found = repeated_windows(docs, byte_units(gram), gram)
+    found = repeated_windows(docs, byte_units(gram), gram, places=False)
     schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     return found.mapInArrow(_cut(4 * gram), schema)
 
