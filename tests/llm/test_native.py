@@ -145,6 +145,33 @@ def test_differencing_balances_and_chunks_agree(spark):
     assert max(total.values()) - min(total.values()) < 5000
 
 
+@pytest.mark.parametrize("fine", [1000, 100])
+def test_all_groups_offset_a_large_one(spark, monkeypatch, fine):
+    """One group of 24 % of a shard's share, in one of ten chunks; made into units or not."""
+    monkeypatch.setattr(sharding, "FINE", fine, raising=False)
+    sizes = np.random.default_rng(1).integers(50, 150, 4001).tolist()
+    sizes[7] = sum(sizes) * 3 // 100
+    frame = spark.createDataFrame([(f"k{i}", s) for i, s in enumerate(sizes)], "key string, bytes long")
+    total = Counter()
+    placed = rows_of(sharding.balance_groups(frame, 8, chunk=400))
+    assert len(placed) == len({r["key"] for r in placed}) == 4001
+    for r in placed:
+        total[r["shard"]] += sizes[int(r["key"][1:])]
+    assert max(total.values()) < 1.002 * sum(sizes) / 8
+
+
+def test_units_are_bundled_more_than_once(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "FINE", 8, raising=False)
+    sizes = [1 + i % 7 for i in range(3000)] + [0] * 50 + [400]
+    frame = spark.createDataFrame([(f"k{i}", s) for i, s in enumerate(sizes)], "key string, bytes long")
+    placed = rows_of(sharding.balance_groups(frame, 4, chunk=5, fan_in=3))
+    assert len(placed) == len({r["key"] for r in placed}) == len(sizes)
+    total = Counter()
+    for r in placed:
+        total[r["shard"]] += sizes[int(r["key"][1:])]
+    assert max(total.values()) < 1.05 * sum(sizes) / 4
+
+
 def test_numbers_have_no_gaps(spark):
     frame = spark.range(500).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id") % 3).alias("k"), (F.col("id") % 90).alias("o"))
     by_key = defaultdict(list)
