@@ -396,11 +396,12 @@ def scan_windows(units, q: int, buckets: int):
                         }
                     )
                     count += len(starts)
+                # rows that repeat id and text are one document, and have their runs cut differently
                 if count >= ENTRIES:
-                    yield from row_batches(send_names(gather(held), buckets))
+                    yield from row_batches(send_names(one_of_copies(gather(held)), buckets))
                     held, count = [], 0
         if held:
-            yield from row_batches(send_names(gather(held), buckets))
+            yield from row_batches(send_names(one_of_copies(gather(held)), buckets))
 
     return run
 

@@ -118,3 +118,31 @@ def test_copies_in_any_order(spark):
     gone = plain_removed(told_apart(rows, spark), words, 20)
     got = lempel_ziv.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(7)).collect()
     assert Counter((r["doc_id"], r["n_removed"]) for r in got) == Counter((r[0], int(gone[r[0], r[1] or ""].sum())) for r in rows)
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_repeated_rows_with_a_shared_passage(spark, partitions):
+    """Rows that repeat id and text, part of which another text has too."""
+    passage = " ".join(f"p{i}" for i in range(30))
+
+    def around(name):
+        return " ".join(f"{name}{i}" for i in range(70)) + " " + passage + " " + " ".join(f"{name}{i}" for i in range(90, 160))
+
+    first = [(5, around("a"))] * 3 + [(2, around("b")), (9, around("c"))]
+    rows = [(*r, "en", "a", 0, "x", 1, "y", 2) for r in first]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(partitions)
+    ordered = told_apart(rows, spark)
+    gone = plain_removed(ordered, words, 20)
+    got = lempel_ziv.remove_repeats(docs).collect()
+    assert Counter((r["doc_id"], r["n_removed"]) for r in got) == Counter((i, int(gone[i, t].sum())) for i, t in first)
+    gone = plain_removed(ordered, str.encode, 100)
+    got = suffix_buckets.digest(suffix_buckets.remove_repeats(docs)).collect()
+    assert Counter((r["doc_id"], r["n_removed"]) for r in got) == Counter((i, int(gone[i, t].sum())) for i, t in first)
+
+
+def test_first_document_repeated(spark):
+    """The rows that hold a passage first keep it, however often they are there."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    first = [(1, "u v w " + passage + " x y z")] * 2 + [(2, "k l m " + passage + " n o")]
+    docs = spark.createDataFrame([(*r, "en", "a", 0, "x", 1, "y", 2) for r in first], SCHEMA).repartition(1)
+    assert Counter((r["doc_id"], r["n_removed"]) for r in lempel_ziv.remove_repeats(docs).collect()) == {(1, 0): 2, (2, 30): 1}
