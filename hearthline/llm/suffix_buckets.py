@@ -1,9 +1,9 @@
 """Substring deduplication by bucket refinement, on bytes.
 
-As in suffix sorting by bucket pointers, places of the text are first put into
-buckets by a short gram, and buckets are refined by the bucket identifiers that
-hold a gram, two grams, ... further on; identifiers found in one round are used
-again in the next.  Only as much of the order is made as tells equal strings of
+In place of suffix sorting by bucket pointers, anchors of the text are first put into
+buckets by a short gram, and what shares a bucket is told apart by hash names of two
+and four grams, each made of two of the names before.  No position is sorted by the
+buckets of later offsets, and no pointer is written back.  Only as much of the order is made as tells equal strings of
 ``4 * GRAM`` bytes from different ones, and buckets of one place are not refined
 at all.  The rounds and the way buckets are dealt out are in ``repeats``.
 """
