@@ -1,7 +1,7 @@
 """SQL that the queries of this package must agree with, for DuckDB.
 
 Differencing, hashes, compression, signatures, boundaries and strings of bytes are
-no SQL, or far too slow in it: op3 and op5 to op10 are tested in ``tests/llm``.
+no SQL, or far too slow in it: op3, op5 to op10 and op12 are tested in ``tests/llm``.
 """
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -148,4 +148,86 @@ FROM judged
 LEFT JOIN limits ON judged.lang IS NOT DISTINCT FROM limits.lang AND judged.source IS NOT DISTINCT FROM limits.source
 """
 
-ORACLE: dict[str, str] = {"op1_substrings": SUBSTRINGS, "op2_mixing": MIXING, "op4_quality": QUALITY}
+TRIE = r"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+codes AS (
+  SELECT conv_id, list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))) AS codes
+  FROM (SELECT DISTINCT conv_id FROM own)
+),
+heads AS (
+  SELECT conv_id, xor(list_reduce(codes, lambda crc, code: list_reduce(
+           list_prepend(xor(crc, code), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+           lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)), 4294967295) % 4 AS h
+  FROM codes
+),
+turns AS (
+  SELECT heads.conv_id, 0 AS part, pos, role, text FROM heads JOIN own ON own.conv_id = heads.conv_id - heads.conv_id % 20 AND pos <= h
+  UNION ALL
+  SELECT conv_id, 1, pos, role, text FROM own JOIN heads USING (conv_id) WHERE pos > h
+),
+rebuilt AS (
+  SELECT heads.conv_id, coalesce(t.path, []) AS path
+  FROM heads LEFT JOIN (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY part, pos) AS path FROM turns GROUP BY conv_id
+  ) t ON t.conv_id = heads.conv_id
+),
+members AS (SELECT conv_id, len(path) AS length, d, path[1:d] AS path FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (length = d) AS ends
+  FROM members GROUP BY d, path
+),
+families AS (
+  SELECT nodes.*, parents.conv_id AS parent_conv_id
+  FROM nodes LEFT JOIN nodes parents ON parents.d = nodes.d - 1 AND parents.path = nodes.path[1:nodes.d - 1]
+),
+children AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n FROM families WHERE d > 0 GROUP BY ALL),
+tops AS (
+  SELECT families.*, coalesce(children.n, 0) AS n_children,
+         CASE WHEN families.d > 0 THEN (n_convs - 1) * len(regexp_extract_all(path[families.d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved
+  FROM families LEFT JOIN children ON children.conv_id = families.conv_id AND children.d = families.d
+),
+below AS (
+  SELECT up, path[1:up] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM tops) GROUP BY up, path[1:up]
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ends, '')) AS ends_sha256
+FROM tops JOIN below ON below.up = tops.d AND below.path = tops.path
+"""
+
+TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS words FROM documents),
+items AS (SELECT item_id, {TERMS} AS words FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i:i + 9], ' ') AS phrase
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM items WHERE len(words) > 0)
+),
+windows AS (
+  SELECT r, n, i, array_to_string(words[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM phrases))
+),
+found AS (SELECT r, i, phrases.n, item_id FROM windows JOIN phrases ON windows.phrase = phrases.phrase AND windows.n = phrases.n),
+hit AS (SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest(range(0, n)) AS k FROM found) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(named.n, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit ON hit.r = docs.r LEFT JOIN named ON named.r = docs.r
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_substrings": SUBSTRINGS,
+    "op2_mixing": MIXING,
+    "op4_quality": QUALITY,
+    "op11_prefix_trie": TRIE,
+    "op13_decontamination": DECONTAMINATION,
+}

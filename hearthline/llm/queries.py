@@ -6,7 +6,21 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from hearthline.llm import fingerprints, language, lempel_ziv, mixing, near, packing, quality, sharding, suffix_buckets, tokens
+from hearthline.llm import (
+    alignment,
+    fingerprints,
+    language,
+    lempel_ziv,
+    mixing,
+    near,
+    packing,
+    phrase_index,
+    prefix_trie,
+    quality,
+    sharding,
+    suffix_buckets,
+    tokens,
+)
 from hearthline.testframes import table
 
 QUERIES = {}
@@ -88,3 +102,23 @@ def op9_sharding(spark, sf_dir):
 def op10_fingerprints(spark, sf_dir):
     """All documents, each beside its edited text and the next document."""
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    """The trie of all conversations, each rebuilt on the head of its group."""
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    """The tokens of all documents by two tokenizers, aligned, with corpus-wide counts."""
+    a_json = Path(TOKENIZERS, "byte_bpe_50k.json").read_bytes()
+    b_model = Path(TOKENIZERS, "piece_bpe_32k.model").read_bytes()
+    return alignment.align_documents(documents(spark, sf_dir), a_json, b_model)
+
+
+@query
+def op13_decontamination(spark, sf_dir):
+    """All documents with the words that windows of ten words of benchmark items cover."""
+    return phrase_index.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))

@@ -47,7 +47,7 @@ def test_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", list(COLUMNS))
