@@ -14,6 +14,8 @@ pairs, so neither links nor texts are shuffled by pair.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,6 +28,9 @@ from hearthline.llm.common import written
 SPACE = "▁"
 CHUNK = 1 << 22  # bytes of text in a chunk of documents
 LONGEST = 4096  # tokens compared at once
+BLANKS = 10_000  # a run of blanks that tiktoken is spared
+# Fixed value: how byte-level tokenizers cut a text before they merge.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 DOCUMENT = "chunk string, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 COUNTED = "chunk string, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 FIXED = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
@@ -75,50 +80,90 @@ def align(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[bool, int, int
         yield False, from_a, i, from_b, j
 
 
-def links(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int]) -> tuple[list[str], list[tuple[int, int]]]:
-    """Groups as text, and the links (a, b): pairs of tokens that share a byte."""
-    groups, found = [], []
-    for straight, i, to_a, j, to_b in align(ends_a, ends_b):
+def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token of either side whether it is the last of its group."""
+    last_a, last_b = bytearray(len(ends_a)), bytearray(len(ends_b))
+    for straight, i, to_a, j, to_b in align(ends_a.tolist(), ends_b.tolist()):
         if straight:
-            pairs = list(zip(ids_a[i:to_a], ids_b[j:to_b], strict=True))
-            groups.extend([f"{a}|{b}" for a, b in pairs])
-            found.extend(pairs)
-            continue
-        groups.append(",".join(map(str, ids_a[i:to_a])) + "|" + ",".join(map(str, ids_b[j:to_b])))
-        found.append((ids_a[i], ids_b[j]))
-        while i + 1 < to_a or j + 1 < to_b:  # the one that ends first gives way
-            if ends_a[i] < ends_b[j]:
-                i += 1
-            else:
-                j += 1
-            found.append((ids_a[i], ids_b[j]))
-    return groups, found
-
-
-def encoders(a_json: bytes, b_model: bytes) -> tuple[Callable, list[bytes], Callable, list[bytes]]:
-    """Functions from texts to lists of ids, and the bytes of each id, of both sides."""
-    import sentencepiece
+            last_a[i:to_a] = last_b[j:to_b] = b"\1" * (to_a - i)
+        else:
+            last_a[to_a - 1] = last_b[to_b - 1] = 1
+    return np.frombuffer(last_a, bool), np.frombuffer(last_b, bool)
+
+
+def group_text(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``: the ids of all groups, as decimals."""
+    upto_a, upto_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+    at_a = np.arange(len(ids_a)) + np.r_[0, upto_b][np.cumsum(last_a) - last_a]
+    at_b = np.arange(len(ids_b)) + upto_a[np.cumsum(last_b) - last_b]
+    ids, marks = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
+    ids[at_a], ids[at_b] = ids_a, ids_b
+    marks[at_a[last_a]], marks[at_b[last_b]] = ord("|"), ord(";")
+    powers = 10 ** np.arange(len(str(ids.max())), dtype=np.int64)[::-1]
+    letters = np.empty((len(ids), len(powers) + 1), np.uint8)
+    letters[:, :-1] = ids[:, None] // powers % 10 + ord("0")
+    letters[:, -1] = marks
+    shown = np.ones(letters.shape, bool)
+    shown[:, : len(powers) - 1] = ids[:, None] >= powers[:-1]
+    return letters[shown][:-1].tobytes()
+
+
+def linked(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids, on either side, of all pairs of tokens that share a byte: between two
+    neighbouring cuts of either side lies one pair."""
+    cuts = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    cuts = cuts[np.r_[True, cuts[1:] != cuts[:-1]]]
+    return ids_a[np.searchsorted(ends_a, cuts)], ids_b[np.searchsorted(ends_b, cuts)]
+
+
+def byte_encoder(a_json: bytes) -> tuple[Callable, list[bytes]]:
+    """A function from a text to the ids of a byte-level tokenizer, and each id's bytes.
+
+    Where ids are in the order of the merges, as is usual, tiktoken gives the same ids
+    several times faster; it cannot take very long runs of blanks, which the tokenizer's
+    own library encodes."""
+    import tiktoken
     from tokenizers import Tokenizer
 
-    first = Tokenizer.from_str(a_json.decode())
-    first.encode_special_tokens = True
+    whole = Tokenizer.from_str(a_json.decode())
+    whole.encode_special_tokens = True
     values = byte_values()
-    bytes_a = [b""] * (max(first.get_vocab().values()) + 1)
-    for token, at in first.get_vocab().items():
-        bytes_a[at] = bytes(values[c] for c in token) if all(c in values for c in token) else token.encode()
-    second = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-    bytes_b = []
-    for at in range(second.get_piece_size()):
-        piece = second.id_to_piece(at)
-        bytes_b.append(bytes([int(piece[3:5], 16)]) if second.is_byte(at) else piece.replace(SPACE, " ").encode())
-
-    def encode_a(texts):
-        return [e.ids for e in first.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_b(texts):
-        return second.encode(texts, num_threads=1)
+    vocabulary = whole.get_vocab()
+    token_bytes = [b""] * (max(vocabulary.values()) + 1)
+    for token, at in vocabulary.items():
+        token_bytes[at] = bytes(values[c] for c in token) if all(c in values for c in token) else token.encode()
+
+    def slow(text):
+        return whole.encode(text, add_special_tokens=False).ids
+
+    described = json.loads(a_json)
+    model, before = described["model"], described.get("pre_tokenizer") or {}
+    added = {x["content"] for x in described.get("added_tokens", ())}
+    merged = ["".join(x.split(" ") if isinstance(x, str) else x) for x in model.get("merges", ())]
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    plain = plain and described.get("normalizer") is None and not model.get("ignore_merges")
+    if not (plain and all(model["vocab"].get(x) == 256 + i for i, x in enumerate(merged))):
+        return slow, token_bytes
+    ranks = {token_bytes[at]: at for token, at in model["vocab"].items() if token not in added}
+    fast = tiktoken.Encoding("bytes", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+    blanks = re.compile(r"\s{%d}" % BLANKS)
+
+    def encode(text):
+        return slow(text) if blanks.search(text) else fast.encode_ordinary(text)
+
+    return encode, token_bytes
+
+
+def piece_encoder(b_model: bytes) -> tuple[Callable, list[bytes]]:
+    """The same of a sentence-piece tokenizer."""
+    import sentencepiece
 
-    return encode_a, bytes_a, encode_b, bytes_b
+    model = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+    token_bytes = []
+    for at in range(model.get_piece_size()):
+        piece = model.id_to_piece(at)
+        token_bytes.append(bytes([int(piece[3:5], 16)]) if model.is_byte(at) else piece.replace(SPACE, " ").encode())
+    return model.encode, token_bytes
 
 
 def aligned(docs: DataFrame, a_json: bytes, b_model: bytes) -> DataFrame:
@@ -126,12 +171,9 @@ def aligned(docs: DataFrame, a_json: bytes, b_model: bytes) -> DataFrame:
     they are linked, in chunks of at most ``CHUNK`` bytes of text or one document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
 
-        encode_a, bytes_a, encode_b, bytes_b = encoders(a_json, b_model)
+        (encode_a, bytes_a), (encode_b, bytes_b) = byte_encoder(a_json), piece_encoder(b_model)
         len_a, len_b = np.array([len(x) for x in bytes_a]), np.array([len(x) for x in bytes_b])
         part, chunk, held = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
@@ -144,14 +186,16 @@ def aligned(docs: DataFrame, a_json: bytes, b_model: bytes) -> DataFrame:
                 held += len(whole)
                 row = (f"{part}-{chunk}", doc_id, 0, 0, 0, 0, "", [], [])
                 if whole:
-                    a, b = encode_a([" " + text])[0], encode_b([text])[0]
-                    same = b"".join([bytes_a[x] for x in a]) == whole == b"".join([bytes_b[x] for x in b])
+                    a, b = encode_a(" " + text), encode_b(text)
+                    same = b"".join(map(bytes_a.__getitem__, a)) == whole == b"".join(map(bytes_b.__getitem__, b))
                     if same:
-                        ends = np.cumsum(len_a[a]).tolist(), np.cumsum(len_b[b]).tolist()
-                        groups, found = links(a, b, *ends)
-                        pairs, times = np.unique(np.array(found, np.int64) @ np.array([1 << 32, 1]), return_counts=True)
-                        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-                        row = (*row[:2], len(a), len(b), len(groups), len(found), digest, pairs, times.astype(np.int32))
+                        a, b = np.array(a, np.int64), np.array(b, np.int64)
+                        ends_a, ends_b = np.cumsum(len_a[a]), np.cumsum(len_b[b])
+                        last_a, last_b = group_ends(ends_a, ends_b)
+                        of_a, of_b = linked(a, b, ends_a, ends_b)
+                        pairs, times = np.unique(of_a << 32 | of_b, return_counts=True)
+                        digest = hashlib.sha256(group_text(a, b, last_a, last_b)).hexdigest()
+                        row = (*row[:2], len(a), len(b), int(last_a.sum()), len(of_a), digest, pairs, times.astype(np.int32))
                 rows.append(row)
                 if len(rows) >= 64 or held >= CHUNK:
                     yield packed(rows)

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from hearthline.llm import alignment
@@ -40,17 +41,19 @@ def test_walk():
             else:
                 found.append((list(range(i, to_a)), list(range(j, to_b))))
         assert found == expected
-        ids_a, ids_b = [100 + i for i in range(len(ends_a))], [500 + j for j in range(len(ends_b))]
+        ids_a, ids_b = [7 * i % 1200 for i in range(len(ends_a))], [13 * j % 1100 for j in range(len(ends_b))]
         starts_a, starts_b = [0, *ends_a], [0, *ends_b]
         shared = [
-            (100 + i, 500 + j)
+            (ids_a[i], ids_b[j])
             for i in range(len(ends_a))
             for j in range(len(ends_b))
             if max(starts_a[i], starts_b[j]) < min(ends_a[i], ends_b[j])
         ]
-        groups, linked = alignment.links(ids_a, ids_b, ends_a, ends_b)
-        assert sorted(linked) == sorted(shared)
-        assert groups == [",".join(str(100 + i) for i in a) + "|" + ",".join(str(500 + j) for j in b) for a, b in expected]
+        sides = [np.array(x) for x in (ids_a, ids_b, ends_a, ends_b)]
+        of_a, of_b = alignment.linked(*sides)
+        assert sorted(zip(of_a.tolist(), of_b.tolist(), strict=True)) == sorted(shared)
+        text = alignment.group_text(*sides[:2], *alignment.group_ends(*sides[2:])).decode()
+        assert text.split(";") == [",".join(str(ids_a[i]) for i in a) + "|" + ",".join(str(ids_b[j]) for j in b) for a, b in expected]
 
 
 def plain_documents(docs):
@@ -150,3 +153,26 @@ def test_long_runs(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert alignment.align_documents(frame, A.read_bytes(), B.read_bytes()).count() == 0
+
+
+@needs_files
+def test_both_ways_to_encode():
+    import json
+
+    described = json.loads(A.read_bytes())
+    described["model"]["merges"] = described["model"]["merges"][::-1][:1] + described["model"]["merges"]  # no longer in order
+    fast, bytes_a = alignment.byte_encoder(A.read_bytes())
+    for row in awkward_rows(11)[:30] + odd_rows():
+        text = " " + (row[1] or "")
+        assert b"".join(bytes_a[x] for x in fast(text)) == text.encode()
+        assert fast(text) == _own_library(text)
+    slow, _ = alignment.byte_encoder(json.dumps(described).encode())
+    assert slow.__name__ == "slow"
+
+
+def _own_library(text):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(str(A))
+    whole.encode_special_tokens = True
+    return whole.encode(text, add_special_tokens=False).ids
