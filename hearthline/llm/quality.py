@@ -199,7 +199,10 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that ``quality`` keeps, with the columns they came with.
 
     Texts are counted twice, for the sketches and for the filter, which is less work
-    than to shuffle them."""
+    than to shuffle them.  The limits are a table when they are joined, so Spark knows
+    how small they are and brings them to the texts.  Nulls, empty texts and repeated
+    rows are judged as in ``quality``; very long texts are one row like any other; other
+    columns are handed through, whatever their names; an empty table stays empty."""
     inner = F.struct(*[F.col(c) for c in docs.columns])
 
     def counted(frame):
@@ -210,4 +213,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     sketch = written(sketches(counted(docs).select("lang", "source", "_c.*")), "quality-sketch")
     rows = counted(docs).select("_row", "lang", "source", "_c.*")
-    return judged(rows, limits(sketch)).where("kept").select("_row.*")
+    return judged(rows, written(limits(sketch), "quality-limits")).where("kept").select("_row.*")

@@ -115,6 +115,12 @@ def test_verdicts(spark):
     assert quality.quality(empty(spark)).count() == 0 == quality.keep_good(empty(spark)).count()
 
 
+def test_texts_are_not_shuffled(spark):
+    plan = quality.keep_good(awkward(spark))._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Generate explode")]  # what happens to whole rows
+    assert "BroadcastHashJoin" in above and "Exchange" not in above and "SortMergeJoin" not in plan
+
+
 def test_noise_goes_and_clean_stays(spark):
     clean = [(i, f"word{i} is in a plain text of more than ten words, number {i * 7}", "en", "a") for i in range(60)]
     noisy = [(100 + i, " ".join(f"w{i}{k}%%% $$$" for k in range(12)), "en", "a") for i in range(6)]
