@@ -569,9 +569,9 @@ def vector_job(spark, sf_dir):
 
 @query
 def cosine_topk(spark, sf_dir):
-    """The five vectors closest to the first vector of every label."""
+    """The five vectors closest to every fiftieth vector."""
     corpus = tf.table(spark, sf_dir, "embeddings")
-    asked = dedup.first_per_key(corpus, ["label"], "vec_id")
+    asked = corpus.where("vec_id % 50 = 0")
     columns = [F.col("vec_id").alias("id"), F.col("embedding").alias("vector")]
     found = vectors.cosine_topk(corpus.select(*columns), asked.select(*columns), 5)
     return found.withColumn("score", F.round("score", 5))
