@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions.text import feature_prompt, leading_phrases
+from hearthline.sources.tables import find_table, read_table, write_table
 
 # A batch of texts in, one answer per text out.
 TextModel = Callable[[pd.Series], pd.Series]
@@ -40,3 +41,35 @@ def with_features(listings: DataFrame, model: TextModel | None = None) -> DataFr
     remarks = F.col("listingRemarks")
     answer = leading_phrases(remarks) if model is None else ask_model(feature_prompt(remarks), model)
     return listings.withColumn("top_features", answer)
+
+
+def prompt_key(prompt: Column) -> Column:
+    return F.sha2(prompt.cast("binary"), 256)
+
+
+def ask_new_prompts(listings: DataFrame, model: TextModel, answers: str, base: str | None = None) -> None:
+    """Ask ``model`` for every distinct prompt of ``listings`` that has no answer yet, and
+    append prompt_key and top_features to the table ``answers``.
+
+    Equal remarks, of whatever property, are one prompt and one call, in this run and in
+    later ones.  Only keys are compared with the kept answers; a prompt travels once.  A
+    run that fails keeps nothing; a task that is lost asks its prompts again.
+    """
+    spark = listings.sparkSession
+    prompt = feature_prompt(F.col("listingRemarks"))
+    asked = listings.where(F.col("listingRemarks").isNotNull()).select(prompt_key(prompt).alias("prompt_key"), prompt.alias("prompt"))
+    known = find_table(spark, answers, base)
+    if known is not None:
+        asked = asked.join(known.select("prompt_key"), "prompt_key", "left_anti")
+    asked = asked.dropDuplicates(["prompt_key"])
+    write_table(asked.select("prompt_key", ask_model(F.col("prompt"), model).alias("top_features")), answers, base)
+
+
+def with_kept_features(listings: DataFrame, model: TextModel, answers: str, base: str | None = None) -> DataFrame:
+    """Listings with ``top_features`` from the kept answers, after asking for what is new.
+
+    A prompt that two runs asked at once has two answers; the lower is taken."""
+    ask_new_prompts(listings, model, answers, base)
+    kept = read_table(listings.sparkSession, answers, base).groupBy("prompt_key").agg(F.min("top_features").alias("top_features"))
+    keyed = listings.withColumn("prompt_key", prompt_key(feature_prompt(F.col("listingRemarks"))))
+    return keyed.join(kept, "prompt_key", "left").drop("prompt_key")

@@ -216,6 +216,8 @@ SELECT cast(ingestion_timestamp AS date) AS extracted_date, count(*) AS total_ho
   count(DISTINCT mls) AS mls_unique_count, count(DISTINCT search_zipcode) AS search_zip_count,
   count(DISTINCT zip) AS total_zip_of_homes, count(DISTINCT "propertyId") AS total_properties
 FROM parsed GROUP BY 1""",
+    "profile_rollup": """SELECT cast(year(l_shipdate) AS int) AS extracted_year, count(*) AS total_rows,
+  count(DISTINCT l_partkey) AS total_parts, count(DISTINCT l_suppkey) AS total_suppliers FROM lineitem GROUP BY 1""",
     "profile_raw": """SELECT count(*) AS total_rows, count(DISTINCT l_orderkey) AS total_sources,
   count(DISTINCT l_suppkey) AS total_zipcodes FROM lineitem""",
     "profile_located": f"""WITH {_LOCATED}
@@ -279,3 +281,9 @@ FROM urls JOIN areas USING (zip) WHERE zip NOT LIKE '%3'""",
 SELECT state_name, count(*) AS homes, cast(sum(house_price) AS bigint) AS total_price, max(house_price) AS max_price
 FROM latest JOIN locations ON latest.zip = locations.zip GROUP BY state_name""",
 }
+# Other ways to the same rows.
+ORACLE |= {
+    "stream_dedup_keyed": ORACLE["stream_dedup"],
+    "stream_join_salted": ORACLE["stream_join"],
+    "model_features_kept": ORACLE["model_features"],
+}

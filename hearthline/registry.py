@@ -27,9 +27,9 @@ from hearthline.session import run_folder
 from hearthline.sources.areas import export_area_batch, read_area_batches, stream_area_batches
 from hearthline.sources.responses import captured_responses, fetch_responses
 from hearthline.sources.store import compact, push_records, read_store, upsert
-from hearthline.sources.tables import read_table, stream_table, write_table
-from hearthline.streaming.dedup import first_arrival_within, read_latest, run_first_arrival, start_latest
-from hearthline.streaming.stages import run_stage
+from hearthline.sources.tables import read_table, replace_parts, stream_table, write_table
+from hearthline.streaming.dedup import first_arrival_within, read_latest, run_first_arrival, run_first_arrival_keyed, start_latest
+from hearthline.streaming.stages import run_location_join, run_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -337,6 +337,18 @@ def profile_global(spark, sf_dir):
     )
 
 
+@query
+def profile_rollup(spark, sf_dir):
+    """Rows and distinct values per year, from daily sketches kept in two increments."""
+    base, items, edge = run_folder(spark, "profile"), _items(spark, sf_dir), datetime(1996, 6, 1)
+    distinct = {"total_parts": "l_partkey", "total_suppliers": "l_suppkey"}
+    for part in (items.where(F.col("l_shipdate") < F.lit(edge)), items.where(F.col("l_shipdate") >= F.lit(edge))):
+        sketches = profile.daily_sketches(part, "l_shipdate", distinct, "total_rows")
+        replace_parts(sketches.withColumn("month", F.date_format(profile.DAY, "yyyy-MM")), "sketches", ("month",), base)
+    kept = read_table(spark, "sketches", base)
+    return profile.roll_up(kept, {"extracted_year": F.year(profile.DAY)}, distinct, "total_rows")
+
+
 @query
 def profile_daily(spark, sf_dir):
     return profile.profile_daily(
@@ -487,6 +499,18 @@ def model_features(spark, sf_dir):
     )
 
 
+@query
+def model_features_kept(spark, sf_dir):
+    """The same with answers kept by prompt: half of the properties first, then all."""
+    base, remarks = run_folder(spark, "answers"), tf.remarks(spark, sf_dir)
+
+    def model(prompts):
+        return "chars " + prompts.str.len().astype(str)
+
+    features.ask_new_prompts(remarks.where("propertyId % 2 = 0"), model, "answers", base)
+    return features.with_kept_features(remarks, model, "answers", base).select("propertyId", "top_features")
+
+
 def _held(spark, df: DataFrame, name: str) -> DataFrame:
     """Written out and read again, as between two steps of the chain: what is
     read twice is then computed once."""
@@ -623,6 +647,14 @@ def stream_dedup(spark, sf_dir):
     return done.groupBy("propertyId").agg(F.count(F.lit(1)).alias("kept"))
 
 
+@query
+def stream_dedup_keyed(spark, sf_dir):
+    """First arrival per property from keyed state; the table is not read."""
+    rows = clean.reference_rows(_parsed_stream(spark, sf_dir, chain.NEEDED), TODAY)
+    done = run_first_arrival_keyed(rows, "reference", run_folder(spark, "stream"), ["propertyId"])
+    return done.groupBy("propertyId").agg(F.count(F.lit(1)).alias("kept"))
+
+
 @query
 def stream_dedup_bounded(spark, sf_dir):
     """The same with state bounded by event time."""
@@ -643,6 +675,15 @@ def stream_join(spark, sf_dir):
     return run_stage(joined, "located", run_folder(spark, "stream"))
 
 
+@query
+def stream_join_salted(spark, sf_dir):
+    """The same with hot zips dealt to several tasks of a micro-batch."""
+    rows = clean.reference_rows(_parsed_stream(spark, sf_dir, chain.NEEDED), TODAY)
+    columns = ("zip", "house_mls", "propertyId", "house_price", "age", "zip_lat", "zip_population")
+    base = run_folder(spark, "stream")
+    return run_location_join(rows, tf.locations(spark, sf_dir), "located", base, lambda joined: joined.select(*columns))
+
+
 @query
 def stream_features(spark, sf_dir):
     base = run_folder(spark, "stream")
