@@ -11,6 +11,8 @@ length, however many blocks it spans.
 from __future__ import annotations
 
 import base64
+import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,9 @@ EOD = 50_256  # free in the 50,256 ranks of the vocabulary
 # Fixed value: the pattern the public vocabularies split texts by.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCKS = "file long, block long, payload binary"
+LONG_RUN = 10_000  # blanks; the pattern matcher's stack does not hold some hundred thousand
+# Fixed value: the characters that the pattern takes for blanks.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
@@ -35,17 +40,32 @@ def encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def encode_text(coder: tiktoken.Encoding, text: str) -> list[int]:
+    """``coder.encode_ordinary`` for ``PATTERN``, also where blanks follow each other
+    without end: such a run is one piece for the pattern, but for its last blank, which
+    goes with what follows."""
+    ids, at = [], 0
+    for run in BLANKS.finditer(text):
+        last = run.end() - (run.end() < len(text))
+        ids += coder.encode_ordinary(text[at : run.start()])
+        ids += coder._encode_single_piece(text[run.start() : last])
+        at = last
+    return ids + coder.encode_ordinary(text[at:])
+
+
 def token_blocks(docs: DataFrame, ranks: bytes, pattern: str = PATTERN, eod: int = EOD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The token stream of each partition as a file in blocks: file, block, payload,
     and ``ids``, the doc_ids of the documents begun in the block's batch, in order.
 
     Blocks are cut at ``block_bytes`` without regard to documents.  Two bytes an
-    id.  A null or empty text is a document without tokens.
+    id.  A null or empty text is a document without tokens; a very long one is encoded
+    whole, by one task.
     """
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
 
     def run(batches):
         coder, end = encoding(*shared.value), np.array([eod], dtype="<u2").tobytes()
+        encode = partial(encode_text, coder) if shared.value[1] == PATTERN else coder.encode_ordinary
         file, block, rest = TaskContext.get().partitionId(), 0, bytearray()
         names = ["file", "block", "payload", "ids"]
 
@@ -62,7 +82,7 @@ def token_blocks(docs: DataFrame, ranks: bytes, pattern: str = PATTERN, eod: int
                 ids.append(doc_id.as_py())
                 text = text.as_py()
                 if text:
-                    rest += np.array(coder.encode_ordinary(text), dtype="<u2").tobytes()
+                    rest += np.array(encode(text), dtype="<u2").tobytes()
                 rest += end
                 while len(rest) >= block_bytes:
                     yield row(bytes(rest[:block_bytes]), ids)
