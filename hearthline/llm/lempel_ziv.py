@@ -2,13 +2,12 @@
 
 The reference of a document is all that comes before it: documents of smaller ids,
 and its own text further left.  The reference is indexed by its windows of
-``4 * GRAM`` words, the index cut into blocks by hash, and a document's windows are
-looked up in every block (``repeats``).  A document is then factored from left to
-right: where a window is in the reference, the factor is extended greedily for as
-long as the next windows follow at the same place of it.  Where a factor ends, the
-windows over its boundary are checked too, as they may stand elsewhere in the
-reference; they open factors that overlap the one before.  Every factor is long
-enough to be a duplicate span; what lies between factors is kept.
+``4 * GRAM`` words, the index cut into blocks by hash, and every window of a document
+is settled there (``repeats``): it is a hit if it also starts earlier.  Neighbouring hits
+whose first places in the reference follow each other are merged into one factor.  As a
+hit names the first place of its own window, factors are neither greedy nor the
+longest; what they cover is exactly what the hits cover.  Every factor is long enough
+to be a duplicate span; what lies between factors is kept.
 """
 
 from __future__ import annotations
