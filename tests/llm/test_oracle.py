@@ -37,6 +37,19 @@ COLUMNS = {
         **dict.fromkeys(("edited_sha256", "fingerprint", "edited_fingerprint"), "string"),
         **dict.fromkeys(("near_edited", "near_next"), "double"),
     },
+    "op11_prefix_trie": {
+        **dict.fromkeys(("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"), "bigint"),
+        "ends_sha256": "string",
+    },
+    "op12_alignment": {
+        **dict.fromkeys(("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), "bigint"),
+        "groups_sha256": "string",
+    },
+    "op13_decontamination": {
+        **dict.fromkeys(("doc_id", "n_words", "n_hit", "n_items"), "bigint"),
+        "items_sha256": "string",
+        "contaminated": "boolean",
+    },
 }
 
 
