@@ -69,14 +69,14 @@ def _quartiles(keys: str, name: str) -> str:
     return f"""
 {name}_cells AS (SELECT {listed}measure, cell, sum(n) AS n FROM cells GROUP BY {listed}measure, cell),
 {name}_ran AS (
-  SELECT {listed}measure, coalesce(pow(CAST(1.02 AS DOUBLE), cell), 0.0) AS value,
+  SELECT {listed}measure, coalesce(pow(CAST(1.005 AS DOUBLE), cell), 0.0) AS value,
          sum(n) OVER (PARTITION BY {listed}measure ORDER BY cell NULLS FIRST ROWS UNBOUNDED PRECEDING) AS up_to,
          sum(n) OVER (PARTITION BY {listed}measure) AS total
   FROM {name}_cells
 ),
 {name} AS (
   SELECT {listed}measure, max(total) AS n, min(value) FILTER (4 * up_to >= total) AS q1,
-         min(value) FILTER (4 * up_to >= 3 * total) AS q3
+         min(value) FILTER (4 * up_to >= 2 * total) AS q2, min(value) FILTER (4 * up_to >= 3 * total) AS q3
   FROM {name}_ran GROUP BY {listed}measure
 )"""
 
@@ -103,47 +103,61 @@ counted AS (
          CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-         CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines
+         CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines, len(list_distinct(words)) AS n_distinct
   FROM texts LEFT JOIN repeated ON texts.r = repeated.r
 ),
 judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          CAST(word_chars AS DOUBLE) / greatest(n_words, 1) AS word_length,
-         CAST(n_symbols AS DOUBLE) / greatest(n_words, 1) AS symbols,
-         CAST(n_dup_lines AS DOUBLE) / greatest(n_lines, 1) AS dup_lines
+         CAST(n_symbols + 1 AS DOUBLE) / (n_words + 50) AS symbols,
+         CAST(n_dup_lines + 1 AS DOUBLE) / (n_lines + 5) AS dup_lines,
+         1 - ln(greatest(n_distinct, 1)) / ln(greatest(n_words, 1) + 1) AS sameness
   FROM counted
 ),
 measured AS (
-  SELECT lang, source, unnest(['word_length', 'symbols', 'dup_lines']) AS measure,
-         unnest([word_length, symbols, dup_lines]) AS value
+  SELECT lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'sameness']) AS measure,
+         unnest([word_length, symbols, dup_lines, sameness]) AS value
   FROM judged WHERE NOT base_failed
 ),
 cells AS (
-  SELECT lang, source, measure, CASE WHEN value >= 0.001 THEN floor(ln(value) / ln(CAST(1.02 AS DOUBLE))) END AS cell, count(*) AS n
+  SELECT lang, source, measure, CASE WHEN value >= 0.001 THEN floor(ln(value) / ln(CAST(1.005 AS DOUBLE))) END AS cell, count(*) AS n
   FROM measured GROUP BY ALL
 ),
 {_quartiles("lang, source", "own")},
 {_quartiles("lang", "of_lang")},
 {_quartiles("", "overall")},
-chosen AS (
+language AS (
+  SELECT of_lang.lang, of_lang.measure,
+         (of_lang.n * of_lang.q1 + 200 * overall.q1) / (of_lang.n + 200) AS q1,
+         (of_lang.n * of_lang.q2 + 200 * overall.q2) / (of_lang.n + 200) AS q2,
+         (of_lang.n * of_lang.q3 + 200 * overall.q3) / (of_lang.n + 200) AS q3
+  FROM of_lang JOIN overall ON of_lang.measure = overall.measure
+),
+blended AS (
   SELECT own.lang, own.source, own.measure,
-         CASE WHEN own.n >= 200 THEN own.q1 WHEN of_lang.n >= 200 THEN of_lang.q1 ELSE overall.q1 END AS q1,
-         CASE WHEN own.n >= 200 THEN own.q3 WHEN of_lang.n >= 200 THEN of_lang.q3 ELSE overall.q3 END AS q3
-  FROM own
-  JOIN of_lang ON own.lang IS NOT DISTINCT FROM of_lang.lang AND own.measure = of_lang.measure
-  JOIN overall ON own.measure = overall.measure
+         (own.n * own.q1 + 200 * w.q1) / (own.n + 200) AS q1,
+         (own.n * own.q2 + 200 * w.q2) / (own.n + 200) AS q2,
+         (own.n * own.q3 + 200 * w.q3) / (own.n + 200) AS q3,
+         w.q2 AS wide, greatest(w.q2 - w.q1, 0.01 * w.q2) AS up, greatest(w.q3 - w.q2, 0.01 * w.q2) AS down
+  FROM own JOIN language w ON own.lang IS NOT DISTINCT FROM w.lang AND own.measure = w.measure
+),
+fenced AS (
+  SELECT lang, source, measure, least(greatest(q2, wide - 6 * down), wide + 6 * up) AS middle,
+         12 * least(greatest(q2 - q1, 0.01 * q2), 2 * up) AS above, 12 * least(greatest(q3 - q2, 0.01 * q2), 2 * down) AS below
+  FROM blended
 ),
 limits AS (
   SELECT lang, source,
-         max(q3 + greatest(6 * (q3 - q1), 4.0)) FILTER (measure = 'word_length') AS long,
-         max(q1 - greatest(6 * (q3 - q1), 3.0)) FILTER (measure = 'word_length') AS short,
-         max(q3 + greatest(6 * (q3 - q1), 0.1)) FILTER (measure = 'symbols') AS symbols_limit,
-         max(q3 + greatest(6 * (q3 - q1), 0.5)) FILTER (measure = 'dup_lines') AS dup_limit
-  FROM chosen GROUP BY lang, source
+         max(middle + above) FILTER (measure = 'word_length') AS long,
+         max(middle - below) FILTER (measure = 'word_length') AS short,
+         max(middle + above) FILTER (measure = 'symbols') AS symbols_limit,
+         max(middle + above) FILTER (measure = 'dup_lines') AS dup_limit,
+         max(middle + above) FILTER (measure = 'sameness') AS same_limit
+  FROM fenced GROUP BY lang, source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(word_length BETWEEN short AND long AND symbols <= symbols_limit
-         AND dup_lines <= dup_limit, false) AS kept
+         AND dup_lines <= dup_limit AND sameness <= same_limit, false) AS kept
 FROM judged
 LEFT JOIN limits ON judged.lang IS NOT DISTINCT FROM limits.lang AND judged.source IS NOT DISTINCT FROM limits.source
 """

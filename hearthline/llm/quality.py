@@ -4,9 +4,15 @@ Counts are taken from every whole text by built-in functions, inside its row: no
 word is ever a row of its own.  Fixed base rules reject the plainly broken texts.
 For all others each measure goes into a quantile sketch per language and source:
 a histogram of logarithmic cells, exact counts, so that sketches merge by adding
-and do not depend on how rows were dealt.  A measure's limits are fences around
-the quartiles of its group; a group that is too small uses the merged sketch of
-its language, or of all documents.  The limits are joined back and filter.
+and do not depend on how rows were dealt.
+
+A measure's limits lie around the median of its group, at a distance that is a
+multiple of the distance from the median to the quartile on the other side: junk
+that gathers on one side of the median does not widen the limit that is to stop
+it.  A group's quartiles are blended with its language's, and these with those of
+all documents, by numbers of documents and alike at every size; a group departs
+from its language only so far, so that a source full of junk cannot lift its own
+limits beyond that.  The limits are joined back and filter.
 """
 
 from __future__ import annotations
@@ -19,18 +25,20 @@ from hearthline.llm.common import NO_WORD, let, written
 WINDOW = 5  # words of a window that counts as repeated
 MIN_WORDS = 10
 MAX_REPEAT = 20  # per cent of words in repeated windows
-CELL = 0.02  # relative width of a sketch cell
+CELL = 0.005  # relative width of a sketch cell
 SMALLEST = 0.001  # values below count as 0
-MIN_GROUP = 200  # documents that a group's own limits need
-FENCE = 6.0  # times the distance of the quartiles
-# measure: (numerator, denominator, least distance of the upper and the lower limit
-# from the quartiles; None: no such limit)
-MEASURES = {
-    "word_length": ("word_chars", "n_words", 4.0, 3.0),
-    "symbols": ("n_symbols", "n_words", 0.1, None),
-    "dup_lines": ("n_dup_lines", "n_lines", 0.5, None),
-}
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+PRIOR = 200  # documents that the wider group's quartiles count as in a blend
+FENCE = 12.0  # limits: times the distance of the median and the opposite quartile
+LEAST = 0.01  # of the median: the least such distance
+SHIFT = 6.0  # language's distances that a group's median may lie off its language's
+WIDER = 2.0  # times its language's: the largest distance of a group
+# Rates are smoothed, so that a short text without any symbol or doubled line is
+# told from a long one: added to the count and to what it is divided by.
+SYMBOL_SMOOTHING = (1, 50)
+LINE_SMOOTHING = (1, 5)
+# measure: whether it has a lower limit too
+MEASURES = {"word_length": True, "symbols": False, "dup_lines": False, "sameness": False}
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct")
 
 
 def repeated_words(hashes: Column) -> Column:
@@ -76,6 +84,7 @@ def text_counts(text: Column) -> Column:
             F.size(found).cast("long").alias("n_words"),
             F.char_length(F.array_join(found, "")).cast("long").alias("word_chars"),
             repeated_words(F.transform(found, lambda w: F.xxhash64(w))).cast("long").alias("n_repeat_words"),
+            F.size(F.array_distinct(found)).cast("long").alias("n_distinct"),
         )
 
     def of_lines(found):
@@ -97,6 +106,7 @@ def text_counts(text: Column) -> Column:
             c["x"]["n_dup_lines"].alias("n_dup_lines"),
             c["w"]["n_repeat_words"].alias("n_repeat_words"),
             c["x"]["n_lines"].alias("n_lines"),
+            c["w"]["n_distinct"].alias("n_distinct"),
         ),
     )
 
@@ -106,8 +116,16 @@ def base_failed() -> Column:
 
 
 def measure(name: str) -> Column:
-    over, under, _, _ = MEASURES[name]
-    return F.col(over).cast("double") / F.greatest(F.col(under), F.lit(1))
+    """Characters a word; smoothed rates of symbols and doubled lines; sameness, which
+    is 0 where all words of a long text differ and 1 where all are the same."""
+    words = F.greatest(F.col("n_words"), F.lit(1))
+    if name == "word_length":
+        return F.col("word_chars").cast("double") / words
+    if name == "symbols":
+        return (F.col("n_symbols") + SYMBOL_SMOOTHING[0]).cast("double") / (F.col("n_words") + SYMBOL_SMOOTHING[1])
+    if name == "dup_lines":
+        return (F.col("n_dup_lines") + LINE_SMOOTHING[0]).cast("double") / (F.col("n_lines") + LINE_SMOOTHING[1])
+    return 1 - F.ln(F.greatest(F.col("n_distinct"), F.lit(1))) / F.ln(words + 1)
 
 
 def sketch_cell(value: Column) -> Column:
@@ -118,7 +136,7 @@ def sketch_cell(value: Column) -> Column:
 def sketches(counted: DataFrame) -> DataFrame:
     """lang, source, measure, cell, n of every document that passes the base rules.
 
-    Grows with the groups, at most about 1,000 cells a measure, not with the rows;
+    Grows with the groups, at most some 4,000 cells a measure, not with the rows;
     rows are added up before they are shuffled."""
     found = F.array(*[F.struct(F.lit(m).alias("measure"), sketch_cell(measure(m)).alias("cell")) for m in MEASURES])
     cells = counted.where(~base_failed()).select("lang", "source", F.inline(found))
@@ -126,8 +144,8 @@ def sketches(counted: DataFrame) -> DataFrame:
 
 
 def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """n, q1 and q3 per ``keys`` of a sketch: the lower edges of the cells that hold
-    the documents of rank ceil(n / 4) and ceil(3 n / 4)."""
+    """n, q1, q2 and q3 per ``keys`` of a sketch: the lower edges of the cells that hold
+    the documents of rank ceil(n / 4), ceil(n / 2) and ceil(3 n / 4)."""
     merged = sketch.groupBy(*keys, "cell").agg(F.sum("n").alias("n"))
     upward = Window.partitionBy(*keys).orderBy(F.col("cell").asc_nulls_first())
     ran = merged.select(
@@ -138,33 +156,45 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     )
     return ran.groupBy(*keys).agg(
         F.max("all").alias("n"),
-        F.min(F.when(4 * F.col("up_to") >= F.col("all"), F.col("value"))).alias("q1"),
-        F.min(F.when(4 * F.col("up_to") >= 3 * F.col("all"), F.col("value"))).alias("q3"),
+        *[F.min(F.when(4 * F.col("up_to") >= k * F.col("all"), F.col("value"))).alias(f"q{k}") for k in (1, 2, 3)],
     )
 
 
-def limits(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per language and source with ``low_*`` and ``high_*`` of each measure
-    (null: no limit).  Null languages and sources are groups like any other."""
-    own = quartiles(sketch, ["lang", "source", "measure"])
-    by_lang = quartiles(sketch, ["lang", "measure"]).select(
-        F.col("lang").alias("l_lang"), F.col("measure").alias("l_measure"), *[F.col(c).alias(f"l_{c}") for c in ("n", "q1", "q3")]
-    )
-    overall = quartiles(sketch, ["measure"]).select("measure", F.col("q1").alias("a_q1"), F.col("q3").alias("a_q3"))
-    found = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("measure") == F.col("l_measure"))).join(overall, "measure")
+def limits(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """One row per language and source with ``high_*`` of each measure and ``low_*``
+    where it has one.  Null languages and sources are groups like any other."""
 
-    def of(q):
-        by_language = F.when(F.col("l_n") >= min_group, F.col(f"l_{q}")).otherwise(F.col(f"a_{q}"))
-        return F.when(F.col("n") >= min_group, F.col(q)).otherwise(by_language)
+    def renamed(frame, prefix):
+        return frame.withColumnsRenamed({c: f"{prefix}{c}" for c in frame.columns})
 
-    found = found.select("lang", "source", "measure", of("q1").alias("q1"), of("q3").alias("q3"))
-    apart = FENCE * (F.col("q3") - F.col("q1"))
+    own = quartiles(sketch, ["lang", "source", "measure"])
+    by_lang = renamed(quartiles(sketch, ["lang", "measure"]), "l_")
+    overall = renamed(quartiles(sketch, ["measure"]), "a_")
+    found = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("measure") == F.col("l_measure")))
+    found = found.join(overall, F.col("measure") == F.col("a_measure"))
+
+    def blended(name, count, wider):
+        return (F.col(count) * F.col(name) + prior * F.col(wider)) / (F.col(count) + prior)
+
+    found = found.withColumns({f"l_q{k}": blended(f"l_q{k}", "l_n", f"a_q{k}") for k in (1, 2, 3)})
+    found = found.withColumns({f"q{k}": blended(f"q{k}", "n", f"l_q{k}") for k in (1, 2, 3)})
+
+    def apart(prefix, upper, lower):
+        return F.greatest(F.col(f"{prefix}{upper}") - F.col(f"{prefix}{lower}"), LEAST * F.col(f"{prefix}q2"))
+
+    up, down = apart("l_", "q2", "q1"), apart("l_", "q3", "q2")
+    middle = F.least(F.greatest(F.col("q2"), F.col("l_q2") - SHIFT * down), F.col("l_q2") + SHIFT * up)
+    found = found.select(
+        "lang", "source", "measure",
+        (middle + FENCE * F.least(apart("", "q2", "q1"), WIDER * up)).alias("high"),
+        (middle - FENCE * F.least(apart("", "q3", "q2"), WIDER * down)).alias("low"),
+    )
     columns = []
-    for name, (_, _, above, below) in MEASURES.items():
+    for name, has_low in MEASURES.items():
         here = F.col("measure") == name
-        columns.append(F.max(F.when(here, F.col("q3") + F.greatest(apart, F.lit(above)))).alias(f"high_{name}"))
-        if below is not None:
-            columns.append(F.max(F.when(here, F.col("q1") - F.greatest(apart, F.lit(below)))).alias(f"low_{name}"))
+        columns.append(F.max(F.when(here, F.col("high"))).alias(f"high_{name}"))
+        if has_low:
+            columns.append(F.max(F.when(here, F.col("low"))).alias(f"low_{name}"))
     return found.groupBy("lang", "source").agg(*columns)
 
 
@@ -176,9 +206,9 @@ def judged(counted: DataFrame, bounds: DataFrame) -> DataFrame:
         bounds, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left"
     )
     passes = ~base_failed()
-    for name, (_, _, _, below) in MEASURES.items():
+    for name, has_low in MEASURES.items():
         passes &= F.coalesce(measure(name) <= F.col(f"high_{name}"), F.lit(False))
-        if below is not None:
+        if has_low:
             passes &= F.coalesce(measure(name) >= F.col(f"low_{name}"), F.lit(False))
     return joined.withColumn("base_failed", base_failed()).withColumn("kept", passes).drop(*bounds.columns)
 

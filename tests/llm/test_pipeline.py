@@ -11,7 +11,7 @@ from helpers import awkward, awkward_rows, empty, words
 from test_native import fill
 from test_near import plain_classes
 from test_repeats import plain_removed, told_apart
-from test_texts import plain_limits
+from test_texts import plain_limits, plain_measure
 from hearthline.llm import quality
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -47,13 +47,13 @@ def check_quality(spark, before, after):
     assert Counter(r[0] for r in after) == Counter(r["doc_id"] for r in found if r["kept"])
     assert not Counter(map(str, after)) - Counter(map(str, before))
     rows = [r.asDict() for r in found]
-    limits = plain_limits(rows, quality.MIN_GROUP)
+    limits = plain_limits(rows, quality.PRIOR)
     for r in rows:
         failed = r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"]
         good = not failed
-        for name, (over, under, _, below) in quality.MEASURES.items():
-            value, key = r[over] / max(r[under], 1), (r["lang"], r["source"])
-            good = good and value <= limits[key, f"high_{name}"] and (below is None or value >= limits[key, f"low_{name}"])
+        for name, has_low in quality.MEASURES.items():
+            value, key = plain_measure(name, r), (r["lang"], r["source"])
+            good = good and value <= limits[key, f"high_{name}"] and (not has_low or value >= limits[key, f"low_{name}"])
         assert r["kept"] == good
 
 

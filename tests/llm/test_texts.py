@@ -4,6 +4,7 @@ import math
 import re
 import struct
 from collections import Counter, defaultdict
+from functools import reduce
 
 import numpy as np
 import pytest
@@ -30,6 +31,7 @@ def plain_counts(text):
         len(lines) - len(set(lines)),
         len(covered),
         len(lines),
+        len(set(found)),
     )
 
 
@@ -55,50 +57,105 @@ def test_counts(spark):
         assert tuple(r[c] for c in quality.COUNTS) == plain_counts(TEXTS[r["i"]]), TEXTS[r["i"]]
 
 
-def plain_limits(rows, min_group):
-    """Fences by sorting, in the cells that the sketch has."""
+def plain_measure(name, c):
+    n = max(c["n_words"], 1)
+    return {
+        "word_length": c["word_chars"] / n,
+        "symbols": (c["n_symbols"] + 1) / (c["n_words"] + 50),
+        "dup_lines": (c["n_dup_lines"] + 1) / (c["n_lines"] + 5),
+        "sameness": 1 - math.log(max(c["n_distinct"], 1)) / math.log(n + 1),
+    }[name]
+
+
+def plain_limits(rows, prior):
+    """Limits by sorting, in the cells that the sketch has."""
 
     def value(name, c):
-        over, under, _, _ = quality.MEASURES[name]
-        v = c[over] / max(c[under], 1)
-        return 0.0 if v < quality.SMALLEST else (1 + quality.CELL) ** math.floor(math.log(v) / math.log(1 + quality.CELL))
+        v, base = plain_measure(name, c), math.log(1 + quality.CELL)
+        return 0.0 if v < quality.SMALLEST else (1 + quality.CELL) ** math.floor(math.log(v) / base)
 
-    def at(values, q):
+    def at(values):
         values = sorted(values)
-        return values[math.ceil(len(values) * q / 4) - 1]
+        return [values[math.ceil(len(values) * k / 4) - 1] for k in (1, 2, 3)]
+
+    def blend(values, wider):
+        n = len(values)
+        return [(n * q + prior * w) / (n + prior) for q, w in zip(at(values), wider)]
 
     good = [r for r in rows if r["n_words"] >= 10 and 100 * r["n_repeat_words"] <= 20 * r["n_words"]]
     found = {}
-    for name, (_, _, above, below) in quality.MEASURES.items():
+    for name, has_low in quality.MEASURES.items():
         own, langs = defaultdict(list), defaultdict(list)
         for r in good:
             own[r["lang"], r["source"]].append(value(name, r))
             langs[r["lang"]].append(value(name, r))
         everything = [v for vs in langs.values() for v in vs]
         for key, values in own.items():
-            if len(values) < min_group:
-                values = langs[key[0]] if len(langs[key[0]]) >= min_group else everything
-            q1, q3 = at(values, 1), at(values, 3)
-            apart = quality.FENCE * (q3 - q1)
-            found[key, f"high_{name}"] = q3 + max(apart, above)
-            if below is not None:
-                found[key, f"low_{name}"] = q1 - max(apart, below)
+            l1, l2, l3 = wide = blend(langs[key[0]], at(everything))
+            up, down = max(l2 - l1, 0.01 * l2), max(l3 - l2, 0.01 * l2)
+            q1, q2, q3 = blend(values, wide)
+            middle = min(max(q2, l2 - 6 * down), l2 + 6 * up)
+            found[key, f"high_{name}"] = middle + 12 * min(max(q2 - q1, 0.01 * q2), 2 * up)
+            if has_low:
+                found[key, f"low_{name}"] = middle - 12 * min(max(q3 - q2, 0.01 * q2), 2 * down)
     return found
 
 
-@pytest.mark.parametrize("min_group", [1, 8, 10_000])
-def test_limits(spark, min_group):
+@pytest.mark.parametrize("prior", [0, 8, quality.PRIOR])
+def test_limits(spark, prior):
     docs = awkward(spark)
     counted = docs.select("doc_id", "lang", "source", quality.text_counts(F.col("text")).alias("c")).select("doc_id", "lang", "source", "c.*").cache()
     rows = [r.asDict() for r in counted.collect()]
-    want = plain_limits(rows, min_group)
-    got = quality.limits(quality.sketches(counted), min_group).collect()
+    want = plain_limits(rows, prior)
+    got = quality.limits(quality.sketches(counted), prior).collect()
     assert {(r["lang"], r["source"]) for r in got} == {key for key, _ in want}
     for (key, column), limit in want.items():
         [r] = [r for r in got if (r["lang"], r["source"]) == key]
         assert r[column] == pytest.approx(limit)
 
 
+def counted_documents(spark, groups):
+    """Counts of documents: (source, how many, symbols a word), of 40 to 139 words."""
+    parts = []
+    for source, n, rate in groups:
+        words = 40 + F.col("id") % 100
+        parts.append(
+            spark.range(n).select(
+                F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit(source).alias("source"), words.alias("n_words"),
+                (words * (4.5 + (F.col("id") % 11) / 10)).cast("long").alias("word_chars"),
+                (words * rate).cast("long").alias("n_symbols"), F.lit(0).cast("long").alias("n_dup_lines"),
+                F.lit(0).cast("long").alias("n_repeat_words"), (1 + F.col("id") % 7).alias("n_lines"),
+                (words * (0.8 + (F.col("id") % 9) / 100)).cast("long").alias("n_distinct"),
+            )
+        )
+    return reduce(lambda a, b: a.union(b), parts)
+
+
+@pytest.mark.parametrize("others", [0, 1000])
+@pytest.mark.parametrize("n", [40, 150, 250, 5000])
+def test_junk_goes_whatever_the_size_of_its_source(spark, n, others):
+    junk = n * 3 // 10
+    counted = counted_documents(spark, [("a", n - junk, 0), ("a", junk, 0.6), ("b", others, 0)])
+    kept = quality.judged(counted, quality.limits(quality.sketches(counted))).where("kept")
+    assert kept.where("n_symbols > 0").count() == 0 and kept.count() == n - junk + others
+
+
+def test_a_source_of_junk_does_not_lift_its_limits(spark):
+    counted = counted_documents(spark, [("a", 100, 0), ("a", 900, 0.6), ("b", 1500, 0)])
+    kept = quality.judged(counted, quality.limits(quality.sketches(counted))).where("kept")
+    assert kept.where("n_symbols > 0").count() == 0 and kept.count() == 1600
+
+
+def test_limits_come_from_the_sketch(spark):
+    """On the test table, no least distance and no bound by the language is at work."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    counted = docs.select("lang", "source", quality.text_counts(F.col("text")).alias("c")).select("lang", "source", "c.*")
+    sketch = quality.sketches(counted)
+    own = quality.quartiles(sketch, ["lang", "source", "measure"]).collect()
+    assert len(own) == 4 * 80
+    assert sum(r["q2"] - r["q1"] > quality.LEAST * r["q2"] for r in own) / len(own) > 0.95
+
+
 def test_verdicts(spark):
     docs = awkward(spark)
     rows = awkward_rows()
