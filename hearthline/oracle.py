@@ -165,6 +165,13 @@ ORACLE: dict[str, str] = {
     "area_copy": f"WITH {_AREAS} SELECT * FROM areas",
     "fetch_transport": _TRANSPORTED,
     "stream_fetch": _TRANSPORTED,
+    "fetch_retried": f"""WITH {_AREAS}, urls AS (SELECT *, cast(zip AS bigint) % 4 AS failures FROM (SELECT {_URL_COLUMNS} FROM areas))
+SELECT zip AS zipcode, api_url AS source_url,
+  CASE WHEN failures = 3 THEN 'busy' ELSE 'answer ' || failures END AS raw_json,
+  CASE WHEN failures = 3 THEN 503 ELSE 200 END AS http_status_code,
+  TIMESTAMP '2026-01-31 13:45:00' + to_seconds(CASE failures WHEN 0 THEN 0 WHEN 1 THEN 60 ELSE 180 END) AS ingestion_timestamp,
+  cast(least(failures + 1, 3) AS int) AS attempt
+FROM urls""",
     "fetch_captured": f"""WITH {_AREAS}, urls AS (SELECT {_URL_COLUMNS} FROM areas), wanted AS (
   SELECT cast(page_id AS varchar) AS zip, url AS api_url FROM pages UNION ALL SELECT zip, api_url FROM urls)
 SELECT zip AS zipcode, api_url AS source_url,

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from datetime import date, datetime
-from functools import reduce
+from datetime import date, datetime, timedelta
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,7 @@ from hearthline.operators.parse import parse_listings
 from hearthline.plans import batch, chain, views
 from hearthline.plans.vector_job import push_new
 from hearthline.session import run_folder
+from hearthline.sources import attempts
 from hearthline.sources.areas import export_area_batch, read_area_batches, stream_area_batches
 from hearthline.sources.responses import captured_responses, fetch_responses
 from hearthline.sources.store import compact, push_records, read_store, upsert
@@ -148,6 +149,30 @@ def fetch_transport(spark, sf_dir):
     return fetch_responses(_area_urls(spark, sf_dir), _transport, AS_OF)
 
 
+def _late_answer(tried: int, url: str, referer: str, timeout: float) -> tuple[int, str]:
+    """Answers an area after as many failures as its number leaves over by four."""
+    area = int(url.rsplit("=", 1)[1])
+    return (200, f"answer {tried}") if area % 4 <= tried else (503, "busy")
+
+
+@query
+def fetch_retried(spark, sf_dir):
+    """Every area's URL, listed twice, tried up to three times: the last response of each.
+
+    The runs at 30 and 90 seconds come too early for what failed last.
+    """
+    base = run_folder(spark, "attempts")
+    listed = _area_urls(spark, sf_dir)
+    write_table(listed.unionByName(listed), "urls", base)
+    for tried, seconds in ((0, 0), (1, 30), (1, 60), (2, 90), (2, 180), (3, 900)):
+        now = AS_OF + timedelta(seconds=seconds)
+        transport = partial(_late_answer, tried)
+        attempts.gather_due(spark, "urls", "responses", transport, AS_OF, now, base, attempts=3, first_wait=60)
+    return read_table(spark, "responses", base).where("next_attempt IS NULL").select(
+        "zipcode", "source_url", "raw_json", "http_status_code", "ingestion_timestamp", "attempt"
+    )
+
+
 @query
 def fetch_captured(spark, sf_dir):
     """Pages as captured responses; areas were never captured and fail."""

@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import queue
 import threading
+import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,6 +25,7 @@ Transport = Callable[[str, str, float], tuple[int, str]]
 FAILED = 500
 TIMEOUT = 10.0
 _ROWS_PER_FRAME = 64  # bodies are large: few of them are held at a time
+HUNG = 16  # calls of a task that may hang besides those it waits for
 
 
 def fetch_responses(
@@ -32,32 +35,47 @@ def fetch_responses(
     tasks: int | None = None,
     threads: int = 1,
     timeout: float = TIMEOUT,
+    rate: float | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Call ``transport`` once per row, in the executors.
 
     ``urls`` has ``zip, api_url, refereral_url``.  A call that raises gives
     status 500 and its message as JSON; other statuses are kept as they come.  So
     does one that is not back after ``timeout`` seconds, whatever it does with the
-    timeout it is given: it costs its own row and a thread, not the task.
+    timeout it is given: it costs its own row and a thread, not the task.  While
+    ``threads + HUNG`` calls of a task are out, the next waits ``timeout`` seconds for
+    one to end and fails, uncalled, if none does.
 
     URLs are dealt out to ``tasks`` tasks, two per core unless said otherwise: a row
     is small and its call is slow, so a scan would put far too many in one task.
     ``threads`` overlaps the waiting within a task.  A lost task fetches its rows
     again, as any retry does.
-    """
 
-    def call(row: tuple) -> tuple:
-        area, url, referer = row
-        try:
-            status, text = _in_time(lambda: transport(url, referer, timeout), timeout)
-        except Exception as error:  # a failed request is a result, not a failed job
-            status, text = FAILED, json.dumps({"error": str(error)})
-        now = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-        return area, url, text, status, now, now.date(), now.hour
+    With ``rate``, a host gets at most so many calls a second: each task takes its
+    share, ``rate / tasks``, and spaces its calls to a host evenly.  A host's calls are
+    dealt over all tasks, so one that has most of the URLs still gets its full rate.
 
-    names = [part.split()[0] for part in RESPONSE_SCHEMA.split(", ")]
+    ``carry`` names integer columns of ``urls`` that are handed through.
+    """
+    tasks = tasks or 2 * urls.sparkSession.sparkContext.defaultParallelism
+    names = [part.split()[0] for part in RESPONSE_SCHEMA.split(", ")] + list(carry)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slots = threading.BoundedSemaphore(threads + HUNG)
+        pace = _Pace(rate / tasks) if rate else None
+
+        def call(row: tuple) -> tuple:
+            area, url, referer, *rest = row
+            try:
+                if pace:
+                    pace.wait(url)
+                status, text = _in_time(lambda: transport(url, referer, timeout), timeout, slots)
+            except Exception as error:  # a failed request is a result, not a failed job
+                status, text = FAILED, json.dumps({"error": str(error)})
+            now = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+            return area, url, text, status, now, now.date(), now.hour, *rest
+
         with ThreadPoolExecutor(threads) as pool:
             for frame in frames:
                 rows = list(frame.itertuples(index=False, name=None))
@@ -65,13 +83,27 @@ def fetch_responses(
                     done = pool.map(call, rows[start : start + _ROWS_PER_FRAME])
                     yield pd.DataFrame(list(done), columns=names)
 
-    wanted = urls.select(F.col("zip").cast("string"), "api_url", "refereral_url")
-    tasks = tasks or 2 * urls.sparkSession.sparkContext.defaultParallelism
-    return wanted.repartition(tasks).mapInPandas(run, RESPONSE_SCHEMA)
+    wanted = urls.select(F.col("zip").cast("string"), "api_url", "refereral_url", *carry)
+    return wanted.repartition(tasks).mapInPandas(run, RESPONSE_SCHEMA + "".join(f", {name} int" for name in carry))
 
 
-def _in_time(call: Callable, seconds: float):
-    """The result of ``call``, or a TimeoutError; a call that hangs is left behind."""
+class _Pace:
+    """Spaces calls to one host evenly, at most ``rate`` a second."""
+
+    def __init__(self, rate: float) -> None:
+        self.step, self.lock, self.free = 1 / rate, threading.Lock(), {}
+
+    def wait(self, url: str | None) -> None:
+        host = urlsplit(url or "").netloc
+        with self.lock:
+            now = time.monotonic()
+            turn = max(now, self.free.get(host, now))
+            self.free[host] = turn + self.step
+        time.sleep(turn - now)
+
+
+def _in_time(call: Callable, seconds: float, slots: threading.BoundedSemaphore):
+    """The result of ``call``, or a TimeoutError; a call that hangs keeps its slot."""
     done: queue.SimpleQueue = queue.SimpleQueue()
 
     def run() -> None:
@@ -79,6 +111,11 @@ def _in_time(call: Callable, seconds: float):
             done.put((call(), None))
         except Exception as error:
             done.put((None, error))
+        finally:
+            slots.release()
+
+    if not slots.acquire(timeout=seconds):
+        raise TimeoutError(f"too many calls hang; not called in {seconds:g} s")
 
     threading.Thread(target=run, daemon=True).start()
     try:

@@ -5,7 +5,8 @@ import os
 import shutil
 import sys
 import threading
-from datetime import datetime
+import time
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -20,7 +21,7 @@ from hearthline.operators.parse import parse_listings
 from hearthline.plans import batch, chain
 from hearthline.plans.vector_job import push_new
 from hearthline.sources import areas as area_files
-from hearthline.sources import responses, store, tables
+from hearthline.sources import attempts, responses, store, tables
 from hearthline.streaming import dedup, stages
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -317,6 +318,83 @@ def test_a_hung_call_costs_one_row(spark):
     assert json.loads(rows["3"].raw_json) == {"error": "no response in 0.5 s"}
 
 
+def test_hung_calls_hold_a_bounded_number_of_threads(spark):
+    def hang(url, referer, timeout):
+        threading.Event().wait()
+
+    urls_ = _wanted(spark, responses.HUNG + 3)
+    texts = [r.raw_json for r in responses.fetch_responses(urls_, hang, AS_OF, tasks=1, timeout=0.1).collect()]
+    assert sum("no response" in t for t in texts) == responses.HUNG + 1
+    assert sum("too many calls hang" in t for t in texts) == 2
+
+
+def test_calls_to_a_host_are_spaced():
+    pace = responses._Pace(20)
+    start = time.monotonic()
+    for _ in range(5):
+        pace.wait("http://one/x")
+        pace.wait("http://two/x")
+    assert 0.19 < time.monotonic() - start < 0.6
+    pace.wait(None)
+
+
+def _gather(spark, folder, answer, minutes, **options):
+    now = AS_OF + timedelta(minutes=minutes)
+    attempts.gather_due(spark, "urls", "log", answer, AS_OF, now, folder, tasks=2, **options)
+    return tables.read_table(spark, "log", folder)
+
+
+def test_failed_urls_are_tried_again(spark, folder):
+    """Fails twice, then answers: one answer a URL, whatever is listed how often."""
+    twice = _wanted(spark, 6).unionByName(_wanted(spark, 3)).unionByName(
+        spark.createDataFrame([("9", None, "r")], "zip string, api_url string, refereral_url string")
+    )
+    tables.write_table(twice, "urls", folder)
+
+    def fail(url, referer, timeout):
+        raise ValueError("down")
+
+    assert _gather(spark, folder, fail, 0).count() == 7
+    assert _gather(spark, folder, fail, 0.5).count() == 7  # too early
+    assert _gather(spark, folder, fail, 1).count() == 14
+    assert _gather(spark, folder, lambda u, r, t: (200, u), 2).count() == 14  # the second wait is twice as long
+    log = _gather(spark, folder, lambda u, r, t: (200, u), 3)
+    assert log.count() == 21 and attempts.answered(log, AS_OF).select("source_url").distinct().count() == 7
+    assert _gather(spark, folder, fail, 60).count() == 21  # nothing is left to do
+    assert attempts.given_up(log, AS_OF).count() == 0
+    states = {(r.attempts, r.answered, r.next_attempt) for r in attempts.url_states(log, AS_OF).collect()}
+    assert states == {(3, True, None)}
+    # a new cycle begins: all are due again
+    later = AS_OF + timedelta(days=1)
+    assert attempts.due_urls(tables.read_table(spark, "urls", folder), log, later, later).count() == 7
+
+
+def test_urls_are_given_up(spark, folder):
+    tables.write_table(_wanted(spark, 4), "urls", folder)
+    for minutes in (0, 1, 3, 60):
+        log = _gather(spark, folder, lambda u, r, t: (404, u), minutes, attempts=2)
+    assert log.count() == 8 and attempts.given_up(log, AS_OF).count() == 4
+    assert attempts.answered(log, AS_OF).count() == 0
+
+
+def test_a_run_that_lost_rows_is_taken_up(spark, folder):
+    """Rows of a run that were not written are fetched by the next run, the others are not."""
+    tables.write_table(_wanted(spark, 4), "urls", folder)
+    log = _gather(spark, folder, lambda u, r, t: (200, u), 0)
+    kept = log.where("source_url <> 'u2'")
+    due = attempts.due_urls(_wanted(spark, 4), kept, AS_OF, AS_OF).collect()
+    assert [(r.api_url, r.attempt) for r in due] == [("u2", 1)]
+    empty = attempts.due_urls(_wanted(spark, 0), kept, AS_OF, AS_OF)
+    assert empty.count() == 0
+
+
+def test_states_read_no_bodies_and_only_the_days_of_the_cycle(spark, folder):
+    tables.write_table(_wanted(spark, 4), "urls", folder)
+    log = _gather(spark, folder, lambda u, r, t: (200, u), 0)
+    plan = plan_of(attempts.url_states(log, AS_OF))
+    assert "raw_json" not in plan and "PartitionFilters: [isnotnull(processed_date" in plan
+
+
 def test_captured(spark):
     captures = spark.createDataFrame([("u1", "one"), ("u3", None)], "url string, body string")
     rows = {r.zipcode: r for r in responses.captured_responses(_wanted(spark, 4), captures, AS_OF).collect()}
