@@ -213,6 +213,9 @@ SELECT zip, "propertyId", house_mls, house_price, zip_lat, zip_lng, zip_populati
 SELECT "propertyId", zip, house_price, age, zip_lat, zip_population FROM located""",
     "join_features": f"""WITH {_LATEST}, found AS ({_FEATURES})
 SELECT latest."propertyId", house_mls, house_price, found.top_features
+FROM latest JOIN found ON latest."propertyId" = found."propertyId\"""",
+    "join_features_bucketed": f"""WITH {_LATEST}, found AS ({_FEATURES})
+SELECT latest."propertyId", house_mls, house_price, found.top_features
 FROM latest JOIN found ON latest."propertyId" = found."propertyId\"""",
     "profile_global": f"""WITH {_PARSED}
 SELECT count(*) AS row_count, count(DISTINCT search_zipcode) AS total_zip_codes,

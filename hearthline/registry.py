@@ -28,7 +28,7 @@ from hearthline.sources import attempts
 from hearthline.sources.areas import export_area_batch, read_area_batches, stream_area_batches
 from hearthline.sources.responses import captured_responses, fetch_responses
 from hearthline.sources.store import compact, push_records, read_store, upsert
-from hearthline.sources.tables import read_table, replace_parts, stream_table, write_table
+from hearthline.sources.tables import read_table, replace_parts, stream_table, write_bucketed, write_table
 from hearthline.streaming.dedup import first_arrival_within, read_latest, run_first_arrival, run_first_arrival_keyed, start_latest
 from hearthline.streaming.stages import run_location_join, run_stage
 
@@ -40,6 +40,7 @@ TODAY = date(2026, 1, 31)
 API_URL = "https://api.example/search?zip=%s"
 REFERRAL_URL = "https://www.example/zip/%s/%s/%s"
 SAMPLE = 100
+BUCKETS = 16
 
 BRIEF = ("search_zipcode", "mls#", "house_price", "hoa", "baths", "zip", "propertyId", "yearBuilt", "isHot")
 
@@ -345,6 +346,19 @@ def join_features(spark, sf_dir):
     )
 
 
+@query
+def join_features_bucketed(spark, sf_dir):
+    """The same join of two tables bucketed by property, which are not shuffled for it."""
+    base = run_folder(spark, "bucketed")
+    tag = base.rsplit("-", 1)[1]
+    latest = _latest(spark, sf_dir, chain.NEEDED).select("propertyId", "house_mls", "house_price")
+    sides = {f"latest_{tag}": latest, f"features_{tag}": features.top_features(tf.remarks(spark, sf_dir))}
+    for name, rows in sides.items():
+        write_bucketed(rows, name, "propertyId", BUCKETS, f"{base}/{name}")
+    listings, found = map(spark.table, sides)
+    return joins.join_features(listings, found).select("propertyId", "house_mls", "house_price", "top_features")
+
+
 # -- profiles -----------------------------------------------------------------
 
 

@@ -61,6 +61,20 @@ def write_table(
         writer.parquet(table_path(name, base))
 
 
+def write_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int, path: str | None = None, mode: str = "overwrite"
+) -> None:
+    """Write a catalog table in ``buckets`` buckets of ``key``, one file each.
+
+    Tables with equal buckets of an equally typed key are joined and grouped by it
+    without a shuffle, as often as they are read; the one shuffle is paid here.  For
+    keys that no row is hot in: a key's rows are in one bucket.  Choose buckets so that
+    one holds some hundreds of megabytes.  With ``path`` the files lie there.
+    """
+    writer = df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key)
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
+
+
 def replace_parts(df: DataFrame, name: str, parts: tuple[str, ...], base: str | None = None) -> None:
     """Write the parts of a table that ``df`` has rows of, in place of what they held."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hearthline.functions.text import error_body, fill_template, is_number, json_map, leading_phrases, template_columns
 from hearthline.model import EMBEDDING_TEMPLATE
 from hearthline.operators import clean, dedup, features, joins, profile, urls
+from hearthline.sources import tables
 
 AS_OF = datetime(2026, 1, 31, 13, 45)
 
@@ -181,3 +182,23 @@ def test_model_sees_prompts_and_no_nulls(spark):
     df = spark.createDataFrame([(1, "nice, big"), (2, None), (3, "")], "propertyId long, listingRemarks string")
     rows = features.top_features(df, lambda prompts: prompts.str.slice(-9)).orderBy("propertyId").collect()
     assert [r.top_features for r in rows] == ["nice, big", None, "ed property\n"[-9:]]
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, folder):
+    left = spark.range(200).select(F.col("id").alias("propertyId"), (F.col("id") * 2).alias("house_price"))
+    right = spark.range(150, 400).select(F.col("id").alias("propertyId"), F.lit("f").alias("top_features"))
+    names = ("bucketed_listings", "bucketed_features")
+    for name, rows in zip(names, (left, right)):
+        tables.write_bucketed(rows, name, "propertyId", 8, f"{folder}/{name}")
+        tables.write_bucketed(rows, name, "propertyId", 8, f"{folder}/{name}")  # done again
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = joins.join_features(*map(spark.table, names))
+        assert sorted(tuple(r) for r in joined.collect()) == [(i, i * 2, "f") for i in range(150, 200)]
+        assert "Exchange" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
+        assert "Exchange" in plan_of(joins.join_features(left, right))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in names:
+            tables.drop_table(spark, name)
