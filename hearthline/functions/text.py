@@ -33,6 +33,12 @@ def object_text(text: Column) -> Column:
     return F.when(text.startswith("{") & text.endswith("}"), text)
 
 
+def trimmed(text: Column) -> Column:
+    """Without blanks around it; a text between braces has none, and trimming goes
+    through all characters of it."""
+    return F.when(object_text(text).isNotNull(), text).otherwise(F.btrim(text, F.lit(JSON_BLANKS)))
+
+
 def json_map(text: Column) -> Column:
     """JSON object text -> ``map<string,string>``; null where it is not one."""
     return F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})

@@ -1,10 +1,12 @@
 """Response bodies -> typed listing rows, on built-in JSON expressions.
 
-A body is read once to cut its array of homes into one JSON text per home, so
-that a broken home spoils only itself; each home is then read once with types.
+A body is read once, with types.  If all of it could be converted and nothing in
+it is a JSON null, a block that came out null was not there, and the homes stand as
+read.  Other bodies are read again to cut their array of homes into one JSON text per
+home, so that a broken home spoils only itself; each home is then read with types.
 Whether a block such as ``price`` is missing (home kept, column null) or present
-but not an object (home dropped) cannot be seen in a typed read: for homes with
-a null block, and only for them, the keys are looked up.
+but not an object (home dropped) cannot be seen in a typed read: for those homes
+with a null block, and only for them, the keys are looked up.
 """
 
 from __future__ import annotations
@@ -15,10 +17,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.functions.text import JSON_BLANKS, cut_prefix, object_text
+from hearthline.functions.text import cut_prefix, object_text, trimmed
 from hearthline.model import LISTING_COLUMNS, LISTING_FIELDS, NEARBY_HOMES
 
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
+BROKEN = "_broken"
+# Of the read of whole bodies: what fails in it is read again.
+WHOLE_OPTIONS = {**JSON_OPTIONS, "allowNonNumericNumbers": "false", "columnNameOfCorruptRecord": BROKEN}
 
 
 def _nested_ddl(tree: dict) -> str:
@@ -45,15 +50,59 @@ def _home_tree(columns: Collection[str]) -> dict:
 BLOCKS = tuple(name for name, sub in _home_tree(()).items() if isinstance(sub, dict))
 
 
-def home_texts(text: Column, homes_path: str = NEARBY_HOMES) -> Column:
-    """The array under ``homes_path`` as one JSON text per element."""
-    tree: dict | str = "array<string>"
+def _document_ddl(homes_path: str, homes: str) -> str:
+    tree: dict | str = homes
     for part in reversed(homes_path.split(".")):
         tree = {part: tree}
-    document = F.from_json(object_text(text), f"struct<{_nested_ddl(tree)}>", JSON_OPTIONS)
+    return _nested_ddl(tree)
+
+
+def _at(document: Column, homes_path: str) -> Column:
     return reduce(lambda node, part: node[part], homes_path.split("."), document)
 
 
+def home_texts(text: Column, homes_path: str = NEARBY_HOMES) -> Column:
+    """The array under ``homes_path`` as one JSON text per element."""
+    ddl = f"struct<{_document_ddl(homes_path, 'array<string>')}>"
+    return _at(F.from_json(object_text(text), ddl, JSON_OPTIONS), homes_path)
+
+
+def _plain(body: Column, document: Column, homes_path: str, columns: Collection[str]) -> Column:
+    """Whether a typed read says all of a body: nothing failed, nothing is null, and no
+    home is odd.
+
+    Odd is a position block without a position, as only its keys tell why, and a text
+    column with a number beyond all doubles, which is copied with quotes around it.
+    """
+    texts = [path for name, path, kind in LISTING_FIELDS if name in columns and kind == "string"]
+
+    def odd(home: Column) -> Column:
+        spot = home["latLong"]
+        text = F.concat_ws("", *[_at(home, path) for path in texts])
+        return (spot.isNotNull() & spot["value"].isNull()) | F.contains(text, F.lit('Infinity"'))
+
+    none_odd = ~F.coalesce(F.exists(_at(document, homes_path), odd), F.lit(False))
+    return F.coalesce(document[BROKEN].isNull() & ~F.contains(body, F.lit("null")) & none_odd, F.lit(False))
+
+
+def _homes(body: Column, homes_path: str, columns: Collection[str]) -> Column:
+    """The homes of a body as ``home`` and, where they have to be looked at again, ``text``."""
+    home_ddl = f"struct<{_nested_ddl(_home_tree(columns))}>"
+    document_ddl = f"struct<{_document_ddl(homes_path, f'array<{home_ddl}>')},{BROKEN}:string>"
+
+    def of(document: Column) -> Column:
+        no_text = F.array().cast("array<string>").alias("text")
+        read = F.arrays_zip(no_text, _at(document, homes_path).alias("home"))
+        again = F.transform(
+            home_texts(body, homes_path),
+            lambda text: F.struct(text.alias("text"), F.from_json(text, home_ddl, JSON_OPTIONS).alias("home")),
+        )
+        return F.when(_plain(body, document, homes_path, columns), read).otherwise(again)
+
+    # The lambda is what makes Spark read the document once, however often it is looked at.
+    return F.flatten(F.transform(F.array(F.from_json(object_text(body), document_ddl, WHOLE_OPTIONS)), of))
+
+
 def _hoa_tolerated(home: Column) -> Column:
     """A fee block that is a list or a text passes unless it holds ``value``."""
     raw = F.get_json_object(home, "$.hoa")
@@ -111,20 +160,14 @@ def parse_listings(
     bodies = responses.select(
         area.alias("search_zipcode"),
         stamp.alias("ingestion_timestamp"),
-        F.btrim(cut_prefix(F.col(body)), F.lit(JSON_BLANKS)).alias("body"),
+        trimmed(cut_prefix(F.col(body))).alias("body"),
     )
-    texts = bodies.select(
-        "search_zipcode",
-        "ingestion_timestamp",
-        F.explode(home_texts(F.col("body"), homes_path)).alias("text"),
-    )
-    # The typed read sits in a generator: a filter moves below a projection and
-    # would make Spark read each home twice, but it stays above a generator.
-    home_ddl = f"struct<{_nested_ddl(_home_tree(columns))}>"
-    typed = F.struct("text", F.from_json("text", home_ddl, JSON_OPTIONS).alias("home"))
-    homes = texts.select("search_zipcode", "ingestion_timestamp", F.explode(F.array(typed)).alias("h"))
+    # The reads sit in a generator: a filter moves below a projection and would make
+    # Spark read each text twice, but it stays above a generator.
+    found = F.explode(_homes(F.col("body"), homes_path, columns)).alias("h")
+    homes = bodies.select("search_zipcode", "ingestion_timestamp", found).where("h.home IS NOT NULL")
     for condition in _sound(F.col("h.text"), F.col("h.home")):
-        homes = homes.where(condition)
+        homes = homes.where(F.when(F.col("h.text").isNull(), True).otherwise(condition))
     fields = [F.col(f"h.home.{path}").alias(name) for name, path, _ in LISTING_FIELDS if name in columns]
     area_field = ["search_zipcode"] if "search_zipcode" in columns else []
     return homes.select(*area_field, *fields, "ingestion_timestamp")

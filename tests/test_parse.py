@@ -7,8 +7,8 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.model import EXACT_HOMES, LISTING_COLUMNS, LISTING_FIELDS, NEARBY_HOMES_OLD
-from hearthline.operators.parse import BLOCKS, parse_listings
+from hearthline.model import EXACT_HOMES, LISTING_COLUMNS, LISTING_FIELDS, NEARBY_HOMES, NEARBY_HOMES_OLD
+from hearthline.operators.parse import BLOCKS, _homes, parse_listings
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -180,3 +180,32 @@ def test_against_a_walk_over_random_documents(spark, seed):
     ours = parse_listings(raw).drop("ingestion_timestamp")
     assert ours.count() > 100
     assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
+
+
+def test_sound_bodies_are_read_once(spark):
+    """A home that has to be looked at again comes with its text, others without."""
+    bare = {k: v for k, v in SOUND.items() if k not in ("hoa", "pricePerSqFt", "latLong")}
+    again = [
+        {**SOUND, "price": None}, {**SOUND, "hoa": "none"}, {**SOUND, "beds": None}, {**SOUND, "listingRemarks": "null"},
+        {**SOUND, "latLong": {}}, {**SOUND, "propertyId": "7"}, "3",
+    ]
+    rows = [(0, body(h)[4:]) for h in (SOUND, bare, {})] + [(1, body(h)[4:]) for h in again]
+    found = spark.createDataFrame(rows, "again int, body string").select("again", F.inline(_homes(F.col("body"), NEARBY_HOMES, LISTING_COLUMNS)))
+    assert sorted((r.again, r.text is not None) for r in found.collect()) == [(0, False)] * 3 + [(1, True)] * len(again)
+
+
+def test_numbers_that_are_not_finite(spark):
+    words = ["NaN", "-Infinity", "1e400", "-1e400", '"NaN"', '"\\"Infinity\\""', '"\\u0022NaN\\u0022"']
+    rows = parse(spark, *[body('{"propertyId":1,"beds":%s,"latLong":{"value":{"latitude":%s}}}' % (w, w)) for w in words]).collect()
+    found = {r.search_zipcode: (r.beds, str(r.latitude)) for r in rows}
+    assert [found[str(i)] for i in range(len(words))] == [
+        ("NaN", "nan"), ("-Infinity", "-inf"), ("Infinity", "inf"), ("-Infinity", "-inf"), ("NaN", "nan"),
+        ('"Infinity"', "None"), ('"NaN"', "None"),
+    ]
+
+
+def test_last_of_a_repeated_block(spark):
+    """Keys of a position block are looked up in its first mention."""
+    spot = '"latLong":{"value":{"latitude":1}}'
+    homes = ['{"propertyId":1,%s,"latLong":{}}' % spot, '{"propertyId":2,"latLong":{},%s}' % spot, '{"propertyId":3,"latLong":{}}']
+    assert ids(parse(spark, *map(body, homes))) == [2, 3]
