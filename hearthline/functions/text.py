@@ -16,12 +16,12 @@ from hearthline.model import (
 )
 
 JSON_BLANKS = " \t\n\r"
-_NO_LIMIT = 2147483647
+NO_LIMIT = 2147483647
 
 
 def cut_prefix(raw: Column, length: int = BODY_PREFIX_LENGTH) -> Column:
     """The text behind the prefix, which is cut unread."""
-    return F.substring(raw, length + 1, _NO_LIMIT)
+    return F.substring(raw, length + 1, NO_LIMIT)
 
 
 def object_text(text: Column) -> Column:

@@ -67,9 +67,14 @@ def home_texts(text: Column, homes_path: str = NEARBY_HOMES) -> Column:
     return _at(F.from_json(object_text(text), ddl, JSON_OPTIONS), homes_path)
 
 
-def _plain(body: Column, document: Column, homes_path: str, columns: Collection[str]) -> Column:
-    """Whether a typed read says all of a body: nothing failed, nothing is null, and no
-    home is odd.
+def _may_be_plain(body: Column) -> Column:
+    """Without a null, and without half a character pair, which no text can be made of."""
+    half = F.contains(body, F.lit("\\u")) & (F.contains(body, F.lit("\\ud")) | F.contains(body, F.lit("\\uD")))
+    return ~(F.contains(body, F.lit("null")) | half)
+
+
+def _plain(document: Column, homes_path: str, columns: Collection[str]) -> Column:
+    """Whether a typed read says all of a body: nothing failed, and no home is odd.
 
     Odd is a position block without a position, as only its keys tell why, and a text
     column with a number beyond all doubles, which is copied with quotes around it.
@@ -82,7 +87,7 @@ def _plain(body: Column, document: Column, homes_path: str, columns: Collection[
         return (spot.isNotNull() & spot["value"].isNull()) | F.contains(text, F.lit('Infinity"'))
 
     none_odd = ~F.coalesce(F.exists(_at(document, homes_path), odd), F.lit(False))
-    return F.coalesce(document[BROKEN].isNull() & ~F.contains(body, F.lit("null")) & none_odd, F.lit(False))
+    return document.isNotNull() & document[BROKEN].isNull() & none_odd
 
 
 def _homes(body: Column, homes_path: str, columns: Collection[str]) -> Column:
@@ -95,12 +100,13 @@ def _homes(body: Column, homes_path: str, columns: Collection[str]) -> Column:
         read = F.arrays_zip(no_text, _at(document, homes_path).alias("home"))
         again = F.transform(
             home_texts(body, homes_path),
-            lambda text: F.struct(text.alias("text"), F.from_json(text, home_ddl, JSON_OPTIONS).alias("home")),
+            lambda text: F.struct(text.alias("text"), F.from_json(F.when(text.startswith("{"), text), home_ddl, JSON_OPTIONS).alias("home")),
         )
-        return F.when(_plain(body, document, homes_path, columns), read).otherwise(again)
+        return F.when(_plain(document, homes_path, columns), read).otherwise(again)
 
+    whole = F.when(_may_be_plain(body), object_text(body))
     # The lambda is what makes Spark read the document once, however often it is looked at.
-    return F.flatten(F.transform(F.array(F.from_json(object_text(body), document_ddl, WHOLE_OPTIONS)), of))
+    return F.flatten(F.transform(F.array(F.from_json(whole, document_ddl, WHOLE_OPTIONS)), of))
 
 
 def _hoa_tolerated(home: Column) -> Column:
