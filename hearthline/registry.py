@@ -506,7 +506,9 @@ def watermark_parse(spark, sf_dir):
 
     The first run ends at an instant that responses of both writes have."""
     base = run_folder(spark, "parse")
-    raw = tf.responses(spark, sf_dir)
+    # dealt by day before bodies are made: one file a day, not one a day and task
+    days = F.to_date(F.col("l_shipdate").cast("timestamp"))
+    raw = tf.as_responses(_items(spark, sf_dir).repartition(days))
     split = datetime(1998, 6, 1)
     at, late = F.col("ingestion_timestamp"), F.col("source_url").endswith("7")
     days = ("processed_date",)
