@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -24,6 +25,10 @@ SETTINGS = {
     ),
 }
 
+# Line items become bodies of fifty times their size: a scan task of the usual 128 MB
+# would sort several millions of wide listings, and spill.
+SPLIT_KEY, SPLIT_MB = "spark.sql.files.maxPartitionBytes", 16
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -33,6 +38,15 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def limit_splits(spark: SparkSession, mb: int = SPLIT_MB) -> SparkSession:
+    """Scan tasks of ``mb`` at most; a lower setting of the session stays."""
+    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmg]?)b?", spark.conf.get(SPLIT_KEY).strip().lower()).groups()
+    if int(number) * units[unit or "b"] > mb << 20:
+        spark.conf.set(SPLIT_KEY, f"{mb}m")
+    return spark
+
+
 def build(master: str = "local[*]", app: str = "hearthline", **conf: str) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     for key, value in {"spark.ui.enabled": "false", **SETTINGS, **conf}.items():

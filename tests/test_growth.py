@@ -1,11 +1,17 @@
 """What keeps work from growing: keyed streams, salted joins, kept answers, sketches."""
 
+import glob
+import json
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pandas as pd
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
+from hearthline import registry, session
+from hearthline import testframes as tf
 from hearthline.operators import features, joins, profile
 from hearthline.sources import tables
 from hearthline.streaming import dedup, stages
@@ -127,3 +133,58 @@ def test_sketches(spark, folder):
     assert abs(all_days.many / exact[2] - 1) < 0.08  # five standard errors
     by_month = {r.month: (r.n, r.few) for r in profile.roll_up(kept, {"month": F.month("day")}, distinct, "n", 12).collect()}
     assert by_month == {r[0]: (r[1], r[2]) for r in days.groupBy(F.month("at")).agg(F.count(F.lit(1)), F.count_distinct("few")).collect()}
+
+
+ITEMS = (
+    "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+)
+
+
+def write_items(spark, folder, n=70):
+    days = [datetime(1998, 5, 30) + timedelta(days=i % 5) for i in range(n)]
+    rows = [(i, i % 9, i % 4, i % 7 + 1, 2.0, None if i % 10 == 0 else -50.0 + 3 * i, 0.02, "ARN"[i % 3], "FO"[i % 2], days[i]) for i in range(n)]
+    spark.createDataFrame(rows, ITEMS).repartition(6).write.parquet(f"{folder}/lineitem.parquet")
+
+
+def test_one_json_text_per_projection(spark, folder):
+    """Two make a projection so long that the JVM does not compile it."""
+    write_items(spark, folder)
+    for frame in (tf.dirty_responses(spark, folder), tf.pair_responses(spark, folder, "payload.homes")):
+        assert max(line.count("StructsToJson") for line in plan_of(frame).split("\n")) == 1
+
+
+def test_second_home_is_the_first_at_half_the_price(spark, folder):
+    write_items(spark, folder)
+    found = tf.pair_responses(spark, folder, "payload.homes").collect()
+    prices = set()
+    for first, second in (json.loads(r.raw_json[4:])["payload"]["homes"] for r in found):
+        price = first.pop("price").get("value")
+        prices.add(price)
+        assert second.pop("price").get("value") == (None if price is None else int(price / 2)) and first == second
+    assert None in prices and min(p for p in prices if p is not None) < 0 and len(found) == 70
+
+
+def test_homes_found_twice_are_made_once(spark, folder):
+    write_items(spark, folder)
+    assert plan_of(registry.QUERIES["latest_found_twice"](spark, folder)).count("FileScan") == 1
+
+
+def test_responses_of_a_day_are_one_file(spark, folder):
+    write_items(spark, folder)
+    before = set(glob.glob(f"{session.shared_folder(spark)}/parse-*"))
+    assert registry.QUERIES["watermark_parse"](spark, folder).count() == 70
+    (made,) = set(glob.glob(f"{session.shared_folder(spark)}/parse-*")) - before
+    files = {day: len(glob.glob(f"{day}/*.parquet")) for day in glob.glob(f"{made}/raw_data/processed_date=*")}
+    split = f"{made}/raw_data/processed_date=1998-06-01"  # written twice
+    assert len(files) == 5 and all(n == 1 for day, n in files.items() if day != split) and files[split] <= 2
+
+
+def test_scan_tasks_are_small(spark):
+    before = spark.conf.get(session.SPLIT_KEY)
+    try:
+        for given, kept in (("134217728b", "16m"), ("128m", "16m"), ("1m", "1m"), ("64k", "64k"), ("4096", "4096")):
+            spark.conf.set(session.SPLIT_KEY, given)
+            assert session.limit_splits(spark).conf.get(session.SPLIT_KEY) == kept
+    finally:
+        spark.conf.set(session.SPLIT_KEY, before)
