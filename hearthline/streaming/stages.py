@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -45,14 +46,18 @@ def run_location_join(
     The zips that hold more than a task's share of a micro-batch are found from counts,
     then its rows are joined and ``columns`` of them written as the part of the table
     that the batch names; a batch that is run again replaces its part.  A micro-batch is
-    read twice, its zips only for the counts.
+    computed once and kept on the executors' disks until it is joined.
     """
     spark, path = stream.sparkSession, table_path(name, base)
 
     def add(rows: DataFrame, batch: int) -> None:
         parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        hot = hot_keys(rows, "zip", 2 * parts)
-        upsert(columns(join_location_salted(rows, locations, hot, min(salts, parts))), path, batch)
+        rows.persist(StorageLevel.DISK_ONLY)
+        try:
+            hot = hot_keys(rows, "zip", 2 * parts)
+            upsert(columns(join_location_salted(rows, locations, hot, min(salts, parts))), path, batch)
+        finally:
+            rows.unpersist()
 
     (
         stream.writeStream.queryName(name)

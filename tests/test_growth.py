@@ -188,3 +188,22 @@ def test_scan_tasks_are_small(spark):
             assert session.limit_splits(spark).conf.get(session.SPLIT_KEY) == kept
     finally:
         spark.conf.set(session.SPLIT_KEY, before)
+
+
+def test_a_micro_batch_is_computed_once(spark, folder, no_help):
+    rows = spark.createDataFrame(listing_rows(900, 60), "propertyId long, zip string, at int")
+    rows.repartition(3).write.parquet(f"{folder}/raw")
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    stream = tables.stream_table(spark, "raw", folder).mapInArrow(counted, rows.schema)
+    places = spark.createDataFrame(place_rows(50), PLACES)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    done = stages.run_location_join(stream, places, "located", folder, lambda j: j.select("propertyId", "zip", "zip_lat"))
+    expected = sorted(map(repr, joins.join_location(rows, places).select("propertyId", "zip", "zip_lat").collect()))
+    assert sorted(map(repr, done.collect())) == expected and made.value == 900
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
