@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline import testframes as tf
-from hearthline.functions.text import feature_prompt, is_number, json_map
+from hearthline.functions.text import feature_prompt, is_number, json_map, template_columns
 from hearthline.model import CONTROL_SCHEMA, EXACT_HOMES, LISTING_COLUMNS, NEARBY_HOMES_OLD, UPSERT_CHUNK
 from hearthline.operators import clean, dedup, features, increment, joins, profile, urls, vectors
 from hearthline.operators.parse import parse_listings
@@ -41,6 +41,8 @@ API_URL = "https://api.example/search?zip=%s"
 REFERRAL_URL = "https://www.example/zip/%s/%s/%s"
 SAMPLE = 100
 BUCKETS = 16
+# Listing columns that the embedding texts are made of.
+TEXT_COLUMNS = tuple(c for c in LISTING_COLUMNS if c in {*chain.NEEDED, *template_columns(), "listingRemarks"})
 
 BRIEF = ("search_zipcode", "mls#", "house_price", "hoa", "baths", "zip", "propertyId", "yearBuilt", "isHot")
 
@@ -568,7 +570,7 @@ def _plain_density(located: DataFrame) -> DataFrame:
 
 def _texts(spark, sf_dir):
     """Features as a column of the listing they come from: no join, one parse."""
-    latest = features.with_features(_latest(spark, sf_dir))
+    latest = features.with_features(_latest(spark, sf_dir, TEXT_COLUMNS))
     return vectors.embedding_texts(_plain_density(joins.join_location(latest, tf.locations(spark, sf_dir))))
 
 

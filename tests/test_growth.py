@@ -207,3 +207,12 @@ def test_a_micro_batch_is_computed_once(spark, folder, no_help):
     expected = sorted(map(repr, joins.join_location(rows, places).select("propertyId", "zip", "zip_lat").collect()))
     assert sorted(map(repr, done.collect())) == expected and made.value == 900
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_embedding_texts_read_only_their_columns(spark, folder):
+    write_items(spark, folder)
+    spark.createDataFrame([(i, 0, 1.0 * i) for i in range(4)], "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{folder}/supplier.parquet")
+    spark.createDataFrame([(0, "A")], "n_nationkey int, n_name string").write.parquet(f"{folder}/nation.parquet")
+    for name in ("embedding_text", "vector_records"):
+        found = registry.QUERIES[name](spark, folder)
+        assert "posterFrameUrl:" not in plan_of(found) and found.count() > 0
