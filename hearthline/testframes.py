@@ -6,6 +6,8 @@ line item, so that no key, however hot, gathers rows in one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,14 @@ def _value(column: Column) -> Column:
     return F.struct(column.alias("value"))
 
 
+def _remarks() -> Column:
+    return F.concat(
+        F.lit("Part "), F.col("l_partkey").cast("string"), F.lit(", flag "), F.col("l_returnflag"),
+        F.lit(". Line "), F.col("l_linenumber").cast("string"), F.lit(", , status "),
+        F.col("l_linestatus"), F.lit("\n quiet street, fenced yard"),
+    )
+
+
 def home(price: Column | None = None) -> Column:
     """One home object per line item: every field there in some rows, most in all.
 
@@ -104,16 +114,102 @@ def home(price: Column | None = None) -> Column:
         (F.col("l_suppkey") % 2 == 0).alias("has3DTour"),
         (F.col("l_suppkey") % 3 == 0).alias("isActiveKeyListing"),
         (F.col("l_partkey") % 5 == 0).alias("isNewConstruction"),
-        F.concat(
-            F.lit("Part "), F.col("l_partkey").cast("string"), F.lit(", flag "), F.col("l_returnflag"),
-            F.lit(". Line "), F.col("l_linenumber").cast("string"), F.lit(", , status "),
-            F.col("l_linestatus"), F.lit("\n quiet street, fenced yard"),
-        ).alias("listingRemarks"),
+        _remarks().alias("listingRemarks"),
         F.concat(F.lit("https://scan.example/"), F.col("l_orderkey").cast("string")).alias("scanUrl"),
         F.when(open_house, F.concat(F.lit("https://poster.example/"), line)).alias("posterFrameUrl"),
     )
 
 
+def _number(value: Column) -> Column:
+    """As JSON writes a double: what is no number has quotes."""
+    text = value.cast("string")
+    return F.when(F.abs(value) < float("inf"), text).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+
+
+def _written(template: str, **values: Column) -> Column:
+    """The template with ``<name>`` replaced by columns, which need no escaping; null if one is."""
+    parts = re.split(r"<(\w+)>", template)
+    return F.concat(*[values[part] if at % 2 else F.lit(part) for at, part in enumerate(parts)])
+
+
+def home_text(price: Column | None = None) -> Column:
+    """``home`` as JSON text, its fields in another order, in less time than ``to_json``.
+
+    Fields of one column of the line item are written as one text, which is left out
+    where that column is null; objects around a null stay, empty.  Only what holds text
+    of the table goes through ``to_json``, which escapes it.
+    """
+    price = F.expr("cast(l_extendedprice as bigint)") if price is None else price
+    order, part, supplier, line = (F.col(name) for name in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    zipcode, flag, open_house = zip_text(supplier), F.col("l_returnflag"), F.col("l_linestatus") == "O"
+    text = {"order": order.cast("string"), "part": part.cast("string"), "line": line.cast("string"), "zip": zipcode}
+
+    def value(name: str, column: Column) -> Column:
+        return F.coalesce(_written(f'"{name}":{{"value":<v>}}', v=column.cast("string")), F.lit(f'"{name}":{{}}'))
+
+    fields = F.concat_ws(
+        ",",
+        _written(
+            '"mlsId":{"value":"<mls>"},"mlsStatus":"<status>","lotSize":{"value":7000},"fullbaths":1,"stories":1.0,'
+            '"state":"TX","countryCode":"US"',
+            mls=F.concat_ws("-", F.lit("M"), "l_orderkey", "l_linenumber"),
+            status=F.when(open_house, "Active").otherwise("Sold"),
+        ),
+        value("price", price),
+        F.when(flag != "N", value("hoa", line * 25)),
+        value("sqFt", F.expr("cast(l_quantity as int) * 100")),
+        F.when(flag == "A", value("pricePerSqFt", line * 10)),
+        F.when(flag != "R", _written('"partialBaths":<n>', n=(line % 3).cast("string"))),
+        F.coalesce(
+            _written(
+                '"latLong":{"value":{"latitude":<lat>,"longitude":<lng>}}',
+                lat=_number(F.col("l_tax") + 30), lng=_number(-F.col("l_tax") - 94),
+            ),
+            F.lit('"latLong":{"value":{}}'),
+        ),
+        F.coalesce(
+            _written(
+                '"streetLine":{"value":"<order> Main St"},"listingId":<order>,"scanUrl":"https://scan.example/<order>"', **text
+            ),
+            F.lit('"streetLine":{}'),
+        ),
+        F.coalesce(
+            _written(
+                '"city":"City <supplier>","postalCode":{"value":"<zip>"},"listingType":<type>,"dataSourceId":<source>,'
+                '"yearBuilt":{"value":<year>},"has3DTour":<has3d>,"isActiveKeyListing":<active>',
+                **text, supplier=supplier.cast("string"), type=(supplier % 3).cast("string"), source=(supplier % 11).cast("string"),
+                year=F.expr("cast(1950 + l_suppkey % 70 as int)").cast("string"),
+                has3d=(supplier % 2 == 0).cast("string"), active=(supplier % 3 == 0).cast("string"),
+            ),
+            F.lit('"postalCode":{},"yearBuilt":{}'),
+        ),
+        _written('"zip":"<zip><more>"', zip=zipcode, more=F.when(line == 7, "-1234").otherwise("")),
+        _written(
+            '"beds":<line>,"baths":<baths>,"searchStatus":<search>,"propertyType":<line>,"uiPropertyType":<ui>,'
+            '"hasVirtualTour":<virtual>,"hasVideoTour":<video>',
+            **text, baths=F.expr("cast(l_linenumber as double) / 2").cast("string"), search=(line % 4).cast("string"),
+            ui=(line + 1).cast("string"), virtual=(line % 2 == 0).cast("string"), video=(line % 3 == 0).cast("string"),
+        ),
+        _written(
+            '"propertyId":<part>,"marketId":<market>,"url":"/TX/home/<part>","isNewConstruction":<new>',
+            **text, market=(part % 13).cast("string"), new=(part % 5 == 0).cast("string"),
+        ),
+        F.when(
+            open_house,
+            _written(
+                '"openHouseStartFormatted":"May <line>","openHouseEventName":"Open House - <line>",'
+                '"posterFrameUrl":"https://poster.example/<line>"',
+                **text,
+            ),
+        ),
+        _written('"isHot":<hot>', hot=open_house.cast("string")),
+    )
+    escaped = F.to_json(F.struct(
+        _value(F.concat(F.lit("Ward "), "l_returnflag")).alias("location"), _remarks().alias("listingRemarks"),
+    ))
+    return F.concat(F.lit("{"), fields, F.lit(","), F.substring(escaped, 2, NO_LIMIT))
+
+
 def body_of(homes: Column, path: str = "payload.homes") -> Column:
     """Prefix and JSON text with ``homes`` (JSON texts) put under ``path``."""
     *outer, leaf = path.split(".")
@@ -136,7 +232,7 @@ def _response(body: Column, status: Column) -> list[Column]:
 
 def as_responses(rows: DataFrame, path: str = "payload.homes", homes: Column | None = None) -> DataFrame:
     """Line items -> responses; works on a stream of line items just as well."""
-    homes = F.array(F.to_json(home())) if homes is None else homes
+    homes = F.array(home_text()) if homes is None else homes
     return rows.select(*_response(body_of(homes, path), F.lit(200)))
 
 
@@ -151,7 +247,7 @@ def pair_responses(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     # long that the JVM no longer compiles it.
     price = F.concat(F.lit('"price":{"value":'), half, F.lit("}"))
     second = F.coalesce(F.regexp_replace("whole", F.lit(r'"price":\{[^}]*\}'), price), F.col("whole"))
-    return as_responses(items(spark, sf_dir).withColumn("whole", F.to_json(home())), path, F.array(F.col("whole"), second))
+    return as_responses(items(spark, sf_dir).withColumn("whole", home_text()), path, F.array(F.col("whole"), second))
 
 
 def dirty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +270,7 @@ def dirty_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 7, body_of(F.array(F.lit("{'propertyId':1}"))))
         .otherwise(sound)
     )
-    return items(spark, sf_dir).withColumn("whole", F.to_json(home())).select(
+    return items(spark, sf_dir).withColumn("whole", home_text()).select(
         *_response(body, F.when(kind == 2, 500).otherwise(200))
     )
 
