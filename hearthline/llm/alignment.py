@@ -17,6 +17,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ SPACE = "▁"
 CHUNK = 1 << 22  # bytes of text in a chunk of documents
 LONGEST = 4096  # tokens compared at once
 BLANKS = 10_000  # a run of blanks that tiktoken is spared
+KEPT = 1 << 22  # letters of the words whose ids a worker keeps
 # Fixed value: how byte-level tokenizers cut a text before they merge.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 DOCUMENT = "chunk string, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
@@ -91,6 +93,18 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
     return np.frombuffer(last_a, bool), np.frombuffer(last_b, bool)
 
 
+@cache
+def decimals(digits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of all numbers of up to so many digits: their digits and a place for a mark behind,
+    and which of these are shown."""
+    numbers, powers = np.arange(10**digits)[:, None], 10 ** np.arange(digits)[::-1]
+    letters = np.zeros((10**digits, digits + 1), np.uint8)
+    letters[:, :-1] = numbers // powers % 10 + ord("0")
+    shown = np.ones(letters.shape, bool)
+    shown[:, : digits - 1] = numbers >= powers[:-1]
+    return letters, shown
+
+
 def group_text(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
     """``a1,a2|b1;a3|b2,b3``: the ids of all groups, as decimals."""
     upto_a, upto_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
@@ -99,12 +113,8 @@ def group_text(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b:
     ids, marks = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
     ids[at_a], ids[at_b] = ids_a, ids_b
     marks[at_a[last_a]], marks[at_b[last_b]] = ord("|"), ord(";")
-    powers = 10 ** np.arange(len(str(ids.max())), dtype=np.int64)[::-1]
-    letters = np.empty((len(ids), len(powers) + 1), np.uint8)
-    letters[:, :-1] = ids[:, None] // powers % 10 + ord("0")
+    letters, shown = (x.take(ids, axis=0) for x in decimals(len(str(ids.max()))))
     letters[:, -1] = marks
-    shown = np.ones(letters.shape, bool)
-    shown[:, : len(powers) - 1] = ids[:, None] >= powers[:-1]
     return letters[shown][:-1].tobytes()
 
 
@@ -166,6 +176,56 @@ def piece_encoder(b_model: bytes) -> tuple[Callable, list[bytes]]:
     return model.encode, token_bytes
 
 
+def by_words(encode: Callable, token_bytes: list[bytes]) -> Callable:
+    """From a text to its ids by ``piece_encoder``, or none if they do not give back space
+    and text.  Ids of words are kept, until the words have more than ``KEPT`` letters.
+
+    Where no piece holds a space behind something else, none reaches from one word into
+    the next, so a text's ids are those of its words, each with the space before it.  New
+    words are encoded as one text, in which pieces with a space in front are first in
+    their word.  Texts with two spaces in a row, or one at an end, are encoded whole."""
+    known: dict[str, bytes] = {}
+    held = 0
+    first = np.array([x.startswith(b" ") for x in token_bytes])
+    apart = not any(re.search(rb"[^ ] ", x) for x in token_bytes)
+
+    def encoded(text: str) -> np.ndarray | None:
+        ids = encode(text)
+        same = b"".join(map(token_bytes.__getitem__, ids)) == b" " + text.encode()
+        return np.array(ids, np.int64) if same else None
+
+    def ids_of(text: str) -> np.ndarray | None:
+        nonlocal held
+        words = text.split(" ")
+        if not apart or "" in words:
+            return encoded(text)
+        new = [*set(words).difference(known)]
+        if new:
+            joined = " ".join(new)
+            ids = encoded(joined)
+            starts = [] if ids is None else np.flatnonzero(first[ids]).tolist()
+            if len(starts) != len(new):
+                return encoded(text)
+            whole, width = ids.tobytes(), ids.itemsize
+            cuts = [at * width for at in (*starts, len(ids))]
+            known.update(zip(new, map(whole.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
+            held += len(joined)
+        found = np.frombuffer(b"".join(map(known.__getitem__, words)), np.int64)
+        if held > KEPT:
+            known.clear()
+            held = 0
+        return found
+
+    return ids_of
+
+
+@lru_cache(1)
+def encoders(a_json: bytes, b_model: bytes) -> tuple[Callable, list[bytes], Callable, list[bytes]]:
+    """Both sides' encoders and token bytes, which a worker keeps from task to task."""
+    (encode_a, bytes_a), (encode_b, bytes_b) = byte_encoder(a_json), piece_encoder(b_model)
+    return encode_a, bytes_a, by_words(encode_b, bytes_b), bytes_b
+
+
 def aligned(docs: DataFrame, a_json: bytes, b_model: bytes) -> DataFrame:
     """Per row: counts, the hash of the groups and the distinct pairs with how often
     they are linked, in chunks of at most ``CHUNK`` bytes of text or one document."""
@@ -173,7 +233,7 @@ def aligned(docs: DataFrame, a_json: bytes, b_model: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        (encode_a, bytes_a), (encode_b, bytes_b) = byte_encoder(a_json), piece_encoder(b_model)
+        encode_a, bytes_a, ids_b, bytes_b = encoders(a_json, b_model)
         len_a, len_b = np.array([len(x) for x in bytes_a]), np.array([len(x) for x in bytes_b])
         part, chunk, held = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
@@ -186,10 +246,9 @@ def aligned(docs: DataFrame, a_json: bytes, b_model: bytes) -> DataFrame:
                 held += len(whole)
                 row = (f"{part}-{chunk}", doc_id, 0, 0, 0, 0, "", [], [])
                 if whole:
-                    a, b = encode_a(" " + text), encode_b(text)
-                    same = b"".join(map(bytes_a.__getitem__, a)) == whole == b"".join(map(bytes_b.__getitem__, b))
-                    if same:
-                        a, b = np.array(a, np.int64), np.array(b, np.int64)
+                    a, b = encode_a(" " + text), ids_b(text)
+                    if b is not None and b"".join(map(bytes_a.__getitem__, a)) == whole:
+                        a = np.array(a, np.int64)
                         ends_a, ends_b = np.cumsum(len_a[a]), np.cumsum(len_b[b])
                         last_a, last_b = group_ends(ends_a, ends_b)
                         of_a, of_b = linked(a, b, ends_a, ends_b)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -155,6 +156,31 @@ def test_empty_table(spark):
     assert alignment.align_documents(frame, A.read_bytes(), B.read_bytes()).count() == 0
 
 
+@needs_files
+def test_words_are_encoded_once(monkeypatch):
+    encode, token_bytes = alignment.piece_encoder(B.read_bytes())
+    asked = []
+    ids_of = alignment.by_words(lambda text: asked.append(text) or encode(text), token_bytes)
+    texts = ["one word and one more", "and more of one word", "word", "ends\n here;\r ", "two  spaces", "a▁b one", "a▁b", "\tone\n"]
+    texts += [row[1] for row in awkward_rows(13) + odd_rows() if row[1]]
+    for kept in (alignment.KEPT, 20):
+        monkeypatch.setattr(alignment, "KEPT", kept)
+        for text in texts * 2:
+            found, whole = ids_of(text), encode(text)
+            same = b"".join(token_bytes[x] for x in whole) == b" " + text.encode()
+            assert (None if found is None else found.tolist()) == (whole if same else None)
+    assert sorted(asked[0].split()) == ["and", "more", "one", "word"] and asked[1:3] == ["of", "ends\n here;\r "]
+
+
+@needs_files
+def test_pieces_that_reach_into_the_next_word():
+    def encode(text):  # "b c" is one piece of this tokenizer
+        return [{"b c": 1, " ": 0, "a": 2, "b": 3, "c": 4}[x] for x in re.findall("b c|.", " " + text)]
+
+    ids_of = alignment.by_words(encode, [b" ", b"b c", b"a", b"b", b"c"])
+    assert ids_of("a b").tolist() == encode("a b") and ids_of("a b c").tolist() == encode("a b c") == [0, 2, 0, 1]
+
+
 @needs_files
 def test_both_ways_to_encode():
     import json
