@@ -122,8 +122,8 @@ def home(price: Column | None = None) -> Column:
 
 def _number(value: Column) -> Column:
     """As JSON writes a double: what is no number has quotes."""
-    text = value.cast("string")
-    return F.when(F.abs(value) < float("inf"), text).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+    quote = F.when(F.abs(value) < float("inf"), "").otherwise('"')
+    return F.concat(quote, value.cast("string"), quote)
 
 
 def _written(template: str, **values: Column) -> Column:
@@ -136,85 +136,92 @@ def home_text(price: Column | None = None) -> Column:
     """``home`` as JSON text, its fields in another order, in less time than ``to_json``.
 
     Fields of one column of the line item are written as one text, which is left out
-    where that column is null; objects around a null stay, empty.  Only what holds text
-    of the table goes through ``to_json``, which escapes it.
+    where that column is null; objects around a null stay, empty.  All fields are parts of
+    one ``concat``, each with its comma, so that no text is copied part by part.  Only what
+    holds text of the table goes through ``to_json``, which escapes it.
     """
     price = F.expr("cast(l_extendedprice as bigint)") if price is None else price
     order, part, supplier, line = (F.col(name) for name in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     zipcode, flag, open_house = zip_text(supplier), F.col("l_returnflag"), F.col("l_linestatus") == "O"
     text = {"order": order.cast("string"), "part": part.cast("string"), "line": line.cast("string"), "zip": zipcode}
+    nothing = F.lit("")
 
     def value(name: str, column: Column) -> Column:
-        return F.coalesce(_written(f'"{name}":{{"value":<v>}}', v=column.cast("string")), F.lit(f'"{name}":{{}}'))
-
-    fields = F.concat_ws(
-        ",",
-        _written(
-            '"mlsId":{"value":"<mls>"},"mlsStatus":"<status>","lotSize":{"value":7000},"fullbaths":1,"stories":1.0,'
-            '"state":"TX","countryCode":"US"',
-            mls=F.concat_ws("-", F.lit("M"), "l_orderkey", "l_linenumber"),
-            status=F.when(open_house, "Active").otherwise("Sold"),
-        ),
+        return F.coalesce(_written(f'"{name}":{{"value":<v>}},', v=column.cast("string")), F.lit(f'"{name}":{{}},'))
+
+    def some(template: str, **values: Column) -> Column:
+        return F.coalesce(_written(template, **values), nothing)
+
+    escaped = F.to_json(F.struct(
+        _value(F.concat(F.lit("Ward "), "l_returnflag")).alias("location"), _remarks().alias("listingRemarks"),
+    ))
+    return F.concat(
+        F.lit('{"mlsId":{"value":"'),
+        F.concat_ws("-", F.lit("M"), "l_orderkey", "l_linenumber"),
+        F.lit('"},"mlsStatus":"'),
+        F.when(open_house, "Active").otherwise("Sold"),
+        F.lit('","lotSize":{"value":7000},"fullbaths":1,"stories":1.0,"state":"TX","countryCode":"US",'),
         value("price", price),
-        F.when(flag != "N", value("hoa", line * 25)),
+        F.when(flag != "N", value("hoa", line * 25)).otherwise(nothing),
         value("sqFt", F.expr("cast(l_quantity as int) * 100")),
-        F.when(flag == "A", value("pricePerSqFt", line * 10)),
-        F.when(flag != "R", _written('"partialBaths":<n>', n=(line % 3).cast("string"))),
+        F.when(flag == "A", value("pricePerSqFt", line * 10)).otherwise(nothing),
+        F.when(flag != "R", some('"partialBaths":<n>,', n=(line % 3).cast("string"))).otherwise(nothing),
         F.coalesce(
             _written(
-                '"latLong":{"value":{"latitude":<lat>,"longitude":<lng>}}',
+                '"latLong":{"value":{"latitude":<lat>,"longitude":<lng>}},',
                 lat=_number(F.col("l_tax") + 30), lng=_number(-F.col("l_tax") - 94),
             ),
-            F.lit('"latLong":{"value":{}}'),
+            F.lit('"latLong":{"value":{}},'),
         ),
         F.coalesce(
             _written(
-                '"streetLine":{"value":"<order> Main St"},"listingId":<order>,"scanUrl":"https://scan.example/<order>"', **text
+                '"streetLine":{"value":"<order> Main St"},"listingId":<order>,"scanUrl":"https://scan.example/<order>",', **text
             ),
-            F.lit('"streetLine":{}'),
+            F.lit('"streetLine":{},'),
         ),
         F.coalesce(
             _written(
                 '"city":"City <supplier>","postalCode":{"value":"<zip>"},"listingType":<type>,"dataSourceId":<source>,'
-                '"yearBuilt":{"value":<year>},"has3DTour":<has3d>,"isActiveKeyListing":<active>',
+                '"yearBuilt":{"value":<year>},"has3DTour":<has3d>,"isActiveKeyListing":<active>,',
                 **text, supplier=supplier.cast("string"), type=(supplier % 3).cast("string"), source=(supplier % 11).cast("string"),
                 year=F.expr("cast(1950 + l_suppkey % 70 as int)").cast("string"),
                 has3d=(supplier % 2 == 0).cast("string"), active=(supplier % 3 == 0).cast("string"),
             ),
-            F.lit('"postalCode":{},"yearBuilt":{}'),
+            F.lit('"postalCode":{},"yearBuilt":{},'),
         ),
-        _written('"zip":"<zip><more>"', zip=zipcode, more=F.when(line == 7, "-1234").otherwise("")),
-        _written(
+        some('"zip":"<zip><more>",', zip=zipcode, more=F.when(line == 7, "-1234").otherwise("")),
+        some(
             '"beds":<line>,"baths":<baths>,"searchStatus":<search>,"propertyType":<line>,"uiPropertyType":<ui>,'
-            '"hasVirtualTour":<virtual>,"hasVideoTour":<video>',
+            '"hasVirtualTour":<virtual>,"hasVideoTour":<video>,',
             **text, baths=F.expr("cast(l_linenumber as double) / 2").cast("string"), search=(line % 4).cast("string"),
             ui=(line + 1).cast("string"), virtual=(line % 2 == 0).cast("string"), video=(line % 3 == 0).cast("string"),
         ),
-        _written(
-            '"propertyId":<part>,"marketId":<market>,"url":"/TX/home/<part>","isNewConstruction":<new>',
+        some(
+            '"propertyId":<part>,"marketId":<market>,"url":"/TX/home/<part>","isNewConstruction":<new>,',
             **text, market=(part % 13).cast("string"), new=(part % 5 == 0).cast("string"),
         ),
         F.when(
             open_house,
-            _written(
+            some(
                 '"openHouseStartFormatted":"May <line>","openHouseEventName":"Open House - <line>",'
-                '"posterFrameUrl":"https://poster.example/<line>"',
+                '"posterFrameUrl":"https://poster.example/<line>",',
                 **text,
             ),
-        ),
-        _written('"isHot":<hot>', hot=open_house.cast("string")),
+        ).otherwise(nothing),
+        some('"isHot":<hot>,', hot=open_house.cast("string")),
+        F.substring(escaped, 2, NO_LIMIT),
     )
-    escaped = F.to_json(F.struct(
-        _value(F.concat(F.lit("Ward "), "l_returnflag")).alias("location"), _remarks().alias("listingRemarks"),
-    ))
-    return F.concat(F.lit("{"), fields, F.lit(","), F.substring(escaped, 2, NO_LIMIT))
 
 
-def body_of(homes: Column, path: str = "payload.homes") -> Column:
-    """Prefix and JSON text with ``homes`` (JSON texts) put under ``path``."""
+def _body(homes: Column, path: str) -> Column:
     *outer, leaf = path.split(".")
     head = "".join(f'{{"{part}":' for part in outer) + f'{{"{leaf}":['
-    return F.concat(F.lit(PREFIX + head), F.concat_ws(",", homes), F.lit("]" + "}" * (len(outer) + 1)))
+    return F.concat(F.lit(PREFIX + head), homes, F.lit("]" + "}" * (len(outer) + 1)))
+
+
+def body_of(homes: Column, path: str = "payload.homes") -> Column:
+    """Prefix and JSON text with ``homes`` (JSON texts) put under ``path``."""
+    return _body(F.concat_ws(",", homes), path)
 
 
 def _response(body: Column, status: Column) -> list[Column]:
@@ -232,8 +239,8 @@ def _response(body: Column, status: Column) -> list[Column]:
 
 def as_responses(rows: DataFrame, path: str = "payload.homes", homes: Column | None = None) -> DataFrame:
     """Line items -> responses; works on a stream of line items just as well."""
-    homes = F.array(home_text()) if homes is None else homes
-    return rows.select(*_response(body_of(homes, path), F.lit(200)))
+    body = _body(home_text(), path) if homes is None else body_of(homes, path)
+    return rows.select(*_response(body, F.lit(200)))
 
 
 def responses(spark: SparkSession, sf_dir: str, path: str = "payload.homes") -> DataFrame:

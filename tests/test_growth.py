@@ -247,3 +247,20 @@ def test_few_fields_go_through_to_json(spark, folder):
     finally:
         spark.conf.set("spark.sql.debug.maxToStringFields", before)
     assert line.count("StructField(") <= 5
+
+
+def test_bodies_are_joined_once(spark, folder):
+    """Every further joining of parts copies the whole body again."""
+    n = write_odd_items(spark, folder)
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        (line,) = (line for line in plan_of(tf.responses(spark, folder)).split("\n") if "StructsToJson" in line)
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    assert line.count("concat_ws(") == 1  # that of the number of a listing
+    items = tf.items(spark, folder)
+    one, listed = (
+        sorted(r.raw_json for r in tf.as_responses(items, homes=homes).collect()) for homes in (None, F.array(tf.home_text()))
+    )
+    assert len(one) == n and one == listed
