@@ -17,12 +17,21 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+FREE_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """The frame as a table in the shared folder: computed once, its lineage cut,
-    and still there when an executor is lost."""
+    and still there when an executor is lost.  With ``free``, what was shuffled for it
+    goes from the disks at once, not when the driver happens to collect its garbage."""
     spark = df.sparkSession
     path = run_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_KEY)
+    spark.conf.set(FREE_KEY, "true" if free else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_KEY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,9 +9,11 @@ out:
 1. *Grams.*  Every window has an anchor: its least gram of ``q`` units, by hash,
    the leftmost on ties.  Equal windows have equal anchors in equal places, and an
    anchor serves a run of neighbouring windows, so that one unit in about 1.5 q is
-   an anchor.  A run whose gram is nowhere else is unique and done.
+   an anchor.  A run whose gram is nowhere else is unique and done.  Wide anchors
+   have 2 q units: one unit in about q is one, but far fewer are shared by chance.
 2. *Runs.*  The other runs are named by what their windows cover together.  A run
-   whose name has come earlier is a repeat, all its windows with it.
+   whose name has come earlier is a repeat, all its windows with it.  If all runs of
+   a gram have one name, the first of them is new as a whole and done.
 3. *Windows.*  Only runs that differ but share a gram are looked at window by window.
 
 A name of 2 k units is the hash of the names of k units at its start and k units
@@ -138,9 +140,10 @@ def one_of_copies(entries: Entries) -> Entries:
     return take(rows, new)
 
 
-def runs_of(grams, rows: np.ndarray, q: int) -> Iterator[Entries]:
-    """All runs of windows: key (the gram), other (the run's name), pos and n, and the
-    row in ``node``.  Looked at in pieces; a cut only makes runs shorter."""
+def runs_of(grams, rows: np.ndarray, q: int, wide: bool = False) -> Iterator[Entries]:
+    """All runs of windows: key (the anchor), other (the run's name), pos and n, and the
+    row in ``node``.  Anchors have ``q`` units, or twice as many if ``wide``.  Looked at
+    in pieces; a cut only makes runs shorter."""
     width, total = 4 * q, int(rows[-1])
     bits = U64(PIECE.bit_length() + 1)
     low = (U64(1) << bits) - U64(1)
@@ -150,9 +153,11 @@ def runs_of(grams, rows: np.ndarray, q: int) -> Iterator[Entries]:
         if end - first < width:
             break
         names = grams(first, end - q + 1)
-        whole = double(double(names, q), 2 * q)
+        pairs = double(names, q)
+        whole = double(pairs, 2 * q)
+        names = pairs if wide else names
         least = (names & ~low) | np.arange(len(names), dtype=np.uint64)
-        span, reach = width - q + 1, 1
+        span, reach = width - (2 * q if wide else q) + 1, 1
         while reach * 2 <= span:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
@@ -214,19 +219,41 @@ def first_here(entries: Entries) -> tuple[Entries, Entries, np.ndarray]:
     return take(rows, new), take(rows, ~new), group[~new]
 
 
+def by_gram(entries: Entries) -> tuple[Entries, np.ndarray, Entries, Entries]:
+    """The first entry of each name of each gram and whether its gram has more names,
+    in these entries or by a witness; the other entries, and for those their first."""
+    real = entries["n"] > 0
+    witnessed = np.unique(entries["key"][~real])
+    rows = take(entries, real)
+    rows = take(rows, np.lexsort((rows["pos"], rows["node"], rows["oid"], rows["other"], rows["key"])))
+    gram = np.ones(len(rows["key"]), dtype=bool)
+    gram[1:] = rows["key"][1:] != rows["key"][:-1]
+    name = gram.copy()
+    name[1:] |= rows["other"][1:] != rows["other"][:-1]
+    of_gram, first = np.cumsum(gram) - 1, take(rows, name)
+    mixed = (np.bincount(of_gram, name)[of_gram] > 1)[name] | np.isin(first["key"], witnessed)
+    return first, mixed, take(rows, ~name), take(first, (np.cumsum(name) - 1)[~name])
+
+
+def by_name(entries: Entries) -> Entries:
+    """Runs under their own names."""
+    return entries | {"key": entries["other"], "other": np.zeros_like(entries["other"])}
+
+
 def send_runs(entries: Entries, buckets: int) -> Iterator[tuple[int, int, bytes]]:
-    """What a batch sends: a run whose gram is met once goes to the gram's bucket; one
-    whose gram is met more often needs no company and goes to its own name's bucket,
-    with one witness to the gram's."""
-    entries = one_of_copies(entries)
-    new = np.r_[True, entries["key"][1:] != entries["key"][:-1]]
-    group = np.cumsum(new) - 1
-    often = np.bincount(group)[group] > 1
-    witness = take(entries, often & new)
-    witness = witness | {"n": np.zeros_like(witness["n"]), "pos": np.full_like(witness["pos"], -1)}
-    yield from packed(gather([take(entries, ~often), witness]), GRAMS, buckets)
-    shared = take(entries, often)
-    yield from send_names(shared | {"key": shared["other"], "other": np.zeros_like(shared["other"])}, buckets)
+    """What a batch sends.  Runs of a name after the first are settled here.  The first
+    goes to its gram's bucket if the gram has that name only; a gram of more names
+    needs no company: they go to the buckets of the names, with one witness to the
+    gram's."""
+    first, mixed, later, of = by_gram(one_of_copies(entries))
+    alone, open_ = take(first, ~mixed), take(first, mixed)
+    witness = np.ones(len(open_["key"]), dtype=bool)
+    witness[1:] = open_["key"][1:] != open_["key"][:-1]
+    witness = take(open_, witness)
+    witness |= {"other": np.zeros_like(witness["other"]), "n": np.zeros_like(witness["n"]), "pos": np.full_like(witness["pos"], -1)}
+    yield from packed(gather([alone, witness]), GRAMS, buckets)
+    yield from packed(by_name(open_), RUNS, buckets)
+    yield from packed(settled(later, of), SETTLED, buckets)
 
 
 def send_names(entries: Entries, buckets: int) -> Iterator[tuple[int, int, bytes]]:
@@ -242,7 +269,7 @@ def settled(later: Entries, first: Entries) -> Entries:
     return later | {"key": first["oid"].view(np.uint64) if len(later["key"]) else later["key"], "other": first["pos"].astype(np.uint64)}
 
 
-def scan_runs(units, q: int, buckets: int):
+def scan_runs(units, q: int, buckets: int, wide: bool = False):
     """Rows (oid, node, text) -> packed runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +278,7 @@ def scan_runs(units, q: int, buckets: int):
             data, offsets = text_buffer(batch.column(2))
             oid, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             grams, rows = units(data, offsets)
-            for part in runs_of(grams, rows, q):
+            for part in runs_of(grams, rows, q, wide):
                 row = part["node"]
                 part["oid"], part["node"] = oid[row], node[row]
                 held.append(part)
@@ -271,7 +298,9 @@ def _payloads(table: pa.Table, kind: int) -> list[bytes]:
 
 
 def match_grams(buckets: int):
-    """Packed runs of one gram bucket -> those with company, to the buckets of their names."""
+    """Packed runs of one gram bucket -> those of grams of more than one name, to the
+    buckets of the names; later runs of a name, settled.  A gram of one name has no
+    windows to look at: the first of its runs is new as a whole, the others repeat it."""
 
     def run(table: pa.Table) -> pa.Table:
         out = []
@@ -279,13 +308,9 @@ def match_grams(buckets: int):
             out += [(table.column("bucket")[0].as_py(), kind, payload) for payload in _payloads(table, kind)]
         payloads = _payloads(table, GRAMS)
         if payloads:
-            entries = one_of_copies(gather([unpack(p) for p in payloads]))
-            new = np.r_[True, entries["key"][1:] != entries["key"][:-1]]
-            group = np.cumsum(new) - 1
-            # a witness stands for two or more
-            weight = np.where(entries["n"] == 0, 2, 1)
-            shared = take(entries, (np.bincount(group, weight)[group] > 1) & (entries["n"] > 0))
-            out += list(send_names(shared | {"key": shared["other"], "other": np.zeros_like(shared["other"])}, buckets))
+            first, mixed, later, of = by_gram(one_of_copies(gather([unpack(p) for p in payloads])))
+            out += list(packed(by_name(take(first, mixed)), RUNS, buckets))
+            out += list(packed(settled(later, of), SETTLED, buckets))
         return _table(out)
 
     return run
@@ -410,30 +435,30 @@ def order_id(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))
 
 
-def repeated_windows(docs: DataFrame, units, q: int, places: bool = True) -> DataFrame:
+def repeated_windows(docs: DataFrame, units, q: int, places: bool = True, wide: bool = False) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, and ``row``, which is handed through) as
     doc_id, text, copy_of, told, row.
 
     ``copy_of`` is the least id of the documents with the same text, if it is smaller;
     ``told`` lists the repeated runs of windows of any other document, and the places
-    they repeat (all 0 without ``places``).  The texts are shuffled once, by id and text: the last refinement
+    they repeat (all 0 without ``places``).  Anchors are wide on demand.  The texts are shuffled once, by id and text: the last refinement
     and the result read the same shuffle.
     """
     buckets = shuffle_partitions(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"), "row")
     oid = order_id(F.col("doc_id"))
-    ids = written(named.select(oid.alias("oid"), "node").distinct(), "repeat-ids")
+    ids = written(named.select(oid.alias("oid"), "node").distinct(), "repeat-ids", free=True)
     least = ids.groupBy(F.col("node").alias("of")).agg(F.min("oid").alias("copy_of"))
-    least = written(least, "repeat-least")  # a table, so that the join can split a hot text
+    least = written(least, "repeat-least", free=True)  # a table, so that the join can split a hot text
     copies = ids.join(least, F.col("node") == F.col("of")).where("oid <> copy_of").select("oid", "node", "copy_of")
-    scanned = named.select(oid.alias("oid"), "node", "text").mapInArrow(scan_runs(units, q, buckets), PACKED)
+    scanned = named.select(oid.alias("oid"), "node", "text").mapInArrow(scan_runs(units, q, buckets, wide), PACKED)
     matched = scanned.groupBy("bucket").applyInArrow(match_grams(buckets), PACKED)
     replies = matched.groupBy("bucket").applyInArrow(match_names(True, places), REPLIES)
     # all replies to a document in one row, and how many of its runs are still open
     parts = F.collect_list(F.struct("pos", "n", "ref", "at"))
     runs = replies.groupBy("oid", "node").agg(parts.alias("told"), F.sum("open").alias("open"))
-    runs = written(runs, "repeat-runs")
+    runs = written(runs, "repeat-runs", free=True)
 
     def beside(side: DataFrame, how: str) -> DataFrame:
         return named.join(side, (order_id(F.col("doc_id")) == side.oid) & (named.node == side.node), how).drop(side.node)

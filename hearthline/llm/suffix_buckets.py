@@ -1,7 +1,7 @@
 """Substring deduplication by bucket refinement, on bytes.
 
 In place of suffix sorting by bucket pointers, anchors of the text are first put into
-buckets by a short gram, and what shares a bucket is told apart by hash names of two
+buckets by a gram of half a window, and what shares a bucket is told apart by hash names of two
 and four grams, each made of two of the names before.  No position is sorted by the
 buckets of later offsets, and no pointer is written back.  Only as much of the order is made as tells equal strings of
 ``4 * GRAM`` bytes from different ones, and buckets of one place are not refined
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from hearthline.llm.repeats import byte_units, read_told, repeated_windows
 
-GRAM = 25  # bytes of the first buckets; strings of four grams count as repeated
+GRAM = 25  # bytes; the first buckets go by two grams, strings of four count as repeated
 
 
 def covered(pos: np.ndarray, n: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -65,7 +65,7 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM) -> DataFrame:
     looked at; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text", F.lit(0).alias("row"))
-    found = repeated_windows(docs, byte_units(gram), gram, places=False)
+    found = repeated_windows(docs, byte_units(gram), gram, places=False, wide=True)
     schema = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     return found.mapInArrow(_cut(4 * gram), schema)
 

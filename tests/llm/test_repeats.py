@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from helpers import SCHEMA, awkward, awkward_rows, empty, words
 from hearthline.llm import lempel_ziv, repeats, suffix_buckets
+from hearthline.llm.common import FREE_KEY, written
 
 
 def told_apart(rows, spark):
@@ -146,3 +148,60 @@ def test_first_document_repeated(spark):
     first = [(1, "u v w " + passage + " x y z")] * 2 + [(2, "k l m " + passage + " n o")]
     docs = spark.createDataFrame([(*r, "en", "a", 0, "x", 1, "y", 2) for r in first], SCHEMA).repartition(1)
     assert Counter((r["doc_id"], r["n_removed"]) for r in lempel_ziv.remove_repeats(docs).collect()) == {(1, 0): 2, (2, 30): 1}
+
+
+def open_runs(monkeypatch, spark, texts):
+    """How many runs of ``texts`` op3 looks at window by window, bytes it removes, and at
+    most how many places there are where a run is cut."""
+    tables = {}
+    monkeypatch.setattr(repeats, "written", lambda df, name, **more: tables.setdefault(name, written(df, name, **more)))
+    rows = [(i, text, "en", "a", 0, "x", 1, "y", 2) for i, text in enumerate(texts)]
+    got = suffix_buckets.digest(suffix_buckets.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(3))).collect()
+    gone = plain_removed(told_apart(rows, spark), str.encode, 100)
+    assert Counter((r["doc_id"], r["n_removed"]) for r in got) == Counter((i, int(m.sum())) for (i, _), m in gone.items())
+    return tables["repeat-runs"].agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0], sum(int(m.sum()) for m in gone.values()), sum(map(len, texts)) // repeats.PIECE
+
+
+def letters(rng, n):
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+
+def test_phrases_shared_by_chance_open_no_runs(monkeypatch, spark):
+    """Phrases of 45 bytes recur in all texts, but never the same two in a row."""
+    rng = random.Random(4)
+    phrases = [letters(rng, 45) for _ in range(40)]
+    pairs = [(a, b) for a in range(40) for b in range(40) if a != b]
+    rng.shuffle(pairs)
+    texts = ["".join(phrases[a] + phrases[b] + letters(rng, 60) for a, b in pairs[k : k + 10]) for k in range(0, 200, 10)]
+    found, gone, cuts = open_runs(monkeypatch, spark, texts)
+    assert gone == 0 and found <= 2 * cuts
+
+
+def test_passages_open_only_runs_at_their_edges(monkeypatch, spark):
+    """A run that all texts have alike has no window to look at, nor has the first of them."""
+    rng = random.Random(5)
+    passage = letters(rng, 4000)
+    texts = [letters(rng, 500) + passage + letters(rng, 500) for _ in range(4)]
+    found, gone, cuts = open_runs(monkeypatch, spark, texts)
+    assert gone >= 3 * 4000 and found <= 8 * len(texts) + 4 * cuts
+
+
+def test_shuffles_of_a_written_table_go(spark, sizes):
+    """Not when the driver happens to collect its garbage."""
+
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())}
+
+    def left_by(free):
+        before = shuffled()
+        frame = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        assert written(frame, "free", free=free).count() == 7
+        until = time.time() + 20
+        while free and time.time() < until and any(x.startswith("shuffle") for x in shuffled() - before):
+            time.sleep(0.1)
+        return sum(x.startswith("shuffle") for x in shuffled() - before)
+
+    setting = spark.conf.get(FREE_KEY)
+    assert left_by(True) < left_by(False)
+    assert spark.conf.get(FREE_KEY) == setting
