@@ -27,11 +27,13 @@ def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = run_folder(spark, name)
     before = spark.conf.get(FREE_KEY)
-    spark.conf.set(FREE_KEY, "true" if free else before)
+    if free:
+        spark.conf.set(FREE_KEY, "true")
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(FREE_KEY, before)
+        if free:
+            spark.conf.set(FREE_KEY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
